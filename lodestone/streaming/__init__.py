@@ -1,0 +1 @@
+"""No operator here works on streams: every input is a finished table or file."""
