@@ -167,17 +167,21 @@ def duplicates_removed(web_urls: DataFrame) -> DataFrame:
     ).withColumn("n_removed", F.col("n_urls") - F.col("n_distinct"))
 
 
-def result_records(results: DataFrame, pos: str) -> DataFrame:
-    """URL records straight from search results, one file per category slug.
+def filed_results(results: DataFrame, pos: str) -> DataFrame:
+    """Search results under the file of their category slug.
 
     When two categories share a slug, the file of the later one replaces the other's.
     """
     filed = results.withColumn("file_path", category_slug(F.col("category")))
     categories = filed.groupBy("file_path", "category").agg(F.min(pos).alias("_first"))
     written = categories.groupBy("file_path").agg(F.max_by("category", "_first").alias("category"))
-    kept = skew_join(filed, written, ["file_path", "category"], [pos], "left_semi")
+    return skew_join(filed, written, ["file_path", "category"], [pos], "left_semi")
+
+
+def result_records(filed: DataFrame, pos: str) -> DataFrame:
+    """URL records straight from filed search results."""
     return (
-        kept.select("file_path", F.col(pos).alias("entry_pos"), "category", "question", F.posexplode("urls").alias("url_pos", "url"))
+        filed.select("file_path", F.col(pos).alias("entry_pos"), "category", "question", F.posexplode("urls").alias("url_pos", "url"))
         .withColumn("is_pdf", F.lit(False))
         .where(is_valid_url(F.col("url")))
     )

@@ -45,7 +45,7 @@ def retrieve_urls(
 
 def capture(records: DataFrame, files: DataFrame, pages: DataFrame, root: str = "") -> Capture:
     """URL records to stored documents, their metadata and the scrape tally."""
-    dimension = U.url_dimension(U.web_only(U.dedupe_per_file(records)))
+    dimension = durable(U.url_dimension(U.web_only(U.dedupe_per_file(records))), "urls")
     items = durable(C.fetch(dimension, pages), "scraped")
     rows = C.capture_metadata(items, dimension, files, root)
     return Capture(
@@ -98,9 +98,8 @@ def generate_and_categorise(attempts: DataFrame, category_replies: DataFrame) ->
 
 def full_run(questions: DataFrame, pages: DataFrame, replies: DataFrame, index: S.PageIndex | None = None, pos: str = "qid") -> DataFrame:
     """Questions to the final counts: search, capture, pairs, report."""
-    results = durable(S.retrieve(questions, index or index_pages(pages)).select(pos, "category", "question", "urls"), "results")
-    records = U.result_records(results, pos)
-    captured = capture(records, records.select("file_path"), pages)
+    results = S.retrieve(questions, index or index_pages(pages)).select(pos, "category", "question", "urls")
+    filed = durable(U.filed_results(results, pos), "results")
+    captured = capture(U.result_records(filed, pos), filed.select("file_path"), pages)
     pairs = build_qna(captured.documents, replies)
-    filed = records.select(F.lit(1).cast("long").alias("n_urls"))
-    return stage_counts(filed, captured.documents, pairs)
+    return stage_counts(filed.select(F.size("urls").alias("n_urls")), captured.documents, pairs)
