@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lodestone.functions import html as H
 from lodestone.functions.urls import content_path
-from lodestone.operators.skew import skew_join
+from lodestone.operators.skew import salted_join
 
 # Fixed values used where nothing better is known.
 NO_CATEGORY = "Uncategorized"
@@ -30,7 +30,7 @@ def pages_to_markdown(pages: DataFrame) -> DataFrame:
 def fetch(requested: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages of the requested URLs as scrape items; the page id is the item position."""
     wanted = pages.select(F.col("page_id").alias("item_pos"), "url", "html")
-    found = skew_join(wanted, requested.select("url"), ["url"], ["item_pos"], "left_semi")
+    found = salted_join(wanted, requested.select("url"), ["url"], ["item_pos"], "left_semi")
     return pages_to_markdown(found)
 
 
@@ -82,7 +82,7 @@ def capture_metadata(items: DataFrame, dimension: DataFrame, files: DataFrame, r
     )
     known = dimension.select("url", "category", "question", "input_file", F.lit(True).alias("_known"))
     fallback = files.agg(F.min("file_path").alias("_first_file"))
-    joined = skew_join(good, known, ["url"], ["item_pos"]).crossJoin(fallback)
+    joined = salted_join(good, known, ["url"], ["item_pos"]).crossJoin(fallback)
     known_flag = F.col("_known").isNotNull()
     source = F.when(known_flag, F.col("input_file")).otherwise(F.col("_first_file"))
     return joined.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lodestone.operators.skew import skew_join
+from lodestone.operators.skew import salted_join
 
 BLOCK_ROWS = 4096
 
@@ -26,7 +26,7 @@ def with_group_position(rows: DataFrame, group: str, pos: str) -> DataFrame:
     """
     keyed = rows.withColumn("_key", _key(group))
     groups = keyed.groupBy("_key").agg(F.min(pos).alias(f"{group}_pos"))
-    return skew_join(keyed, groups, ["_key"], [pos]).drop("_key")
+    return salted_join(keyed, groups, ["_key"], [pos]).drop("_key")
 
 
 def nested_blocks(

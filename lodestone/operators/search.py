@@ -1,27 +1,30 @@
 """Top-k page retrieval: the table job behind every search.
 
 A page's score for a query is the sum of its impacts over the query's words. Impacts
-are whole numbers, so sums do not depend on their order. ``top_pages`` is exact and
-never pairs all pages with a word with all queries that hold it:
+are whole numbers, so sums do not depend on their order. ``top_pages`` is exact. A
+query whose words have short page lists reads them all. For the others it does not
+pair all pages with all queries that share a common word:
 
 1. Each query's rarest words name at least k pages. Their full scores give a floor:
    no page below the k-th of them can be a result.
 2. The floor is spent on the query's commonest words. A page that beats the floor
    must exceed some word's share of it, so a common word whose share covers its
-   largest impact is never read, the word at the edge is read down to its share, and
+   largest impact is not read, the word at the edge is read down to its share, and
    only the rare rest is read in full.
-3. The pages so found get their full scores and the best k stay.
+3. The pages so found get the impacts of the words that were not read, looked up by
+   page, and the best k stay.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodestone.functions.text import words
 from lodestone.functions.urls import host, host_suffixes, path_extension
-from lodestone.operators.skew import skew_join
+from lodestone.operators.skew import salted_join
 from lodestone.session import durable
 
 # Result counts, and the constants of the published BM25 formula.
@@ -33,6 +36,8 @@ BM25_B = 0.75
 IMPACT_UNIT = 1_000_000
 MATCH_UNIT = 1 << 32
 SPLIT_ROWS = 65_536
+SPLIT_PAIRS = 10_000_000
+SHORT_LISTS = 32_768
 NO_RESULTS = "no results found"
 NO_QUESTION = "invalid question"
 
@@ -43,9 +48,10 @@ OPERATOR = r"(?i)(^|\s)(?:site|filetype):\S+"
 
 @dataclass(frozen=True)
 class PageIndex:
-    """``documents(page_id, url, n_words)`` and ``postings(token, page_id, tf, n_words)``.
+    """``documents(page_id, url, n_words)`` and ``postings(token, page_id, tf, n_words, df)``.
 
-    Postings repeat the page length so that weighting them needs no join by page.
+    Postings repeat the page's length and the word's page count, so weighting them
+    needs no join.
     """
 
     documents: DataFrame
@@ -53,16 +59,17 @@ class PageIndex:
 
 
 def build_index(documents: DataFrame) -> PageIndex:
-    """Index ``(page_id, url, body)``. Both tables are written once and read often."""
-    split = durable(
-        documents.select("page_id", "url", words(F.col("body")).alias("_words")).withColumn("n_words", F.size("_words").cast("long")),
-        "words",
-    )
-    postings = (
+    """Index ``(page_id, url, body)``. All tables are written once and read often."""
+    listed = documents.select("page_id", "url", words(F.col("body")).alias("_words"))
+    split = durable(listed.withColumn("n_words", F.size("_words").cast("long")), "words")
+    counted = (
         split.select("page_id", "n_words", F.explode("_words").alias("token"))
         .groupBy("page_id", "token")
         .agg(F.count(F.lit(1)).alias("tf"), F.max("n_words").alias("n_words"))
     )
+    counted = durable(counted, "counts")
+    frequency = counted.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    postings = salted_join(counted, frequency, ["token"], ["page_id"], "inner")
     return PageIndex(split.select("page_id", "url", "n_words"), durable(postings, "postings"))
 
 
@@ -114,24 +121,25 @@ def page_scopes(documents: DataFrame, scopes: DataFrame) -> DataFrame:
     types = F.array_distinct(F.array(F.lit(""), path_extension(url)))
     every = F.flatten(F.transform(sites, lambda s: F.transform(types, lambda t: _scope(s, t))))
     own = documents.select("page_id", F.explode(F.array_distinct(every)).alias("scope"))
-    return skew_join(own, scopes, ["scope"], ["page_id"], "left_semi")
+    return salted_join(own, scopes, ["scope"], ["page_id"], "left_semi")
 
 
-def bm25_impacts(index: PageIndex) -> DataFrame:
-    """``(token, page_id, impact)``: BM25 weights in millionths, rounded per word."""
+def bm25_impacts(index: PageIndex, postings: DataFrame) -> DataFrame:
+    """Add ``impact`` to postings: BM25 weights in millionths, rounded per word."""
     corpus = index.documents.agg(F.count(F.lit(1)).alias("_n"), F.avg("n_words").alias("_avg"))
-    frequency = index.postings.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
-    rows = skew_join(index.postings, frequency, ["token"], ["page_id"])
-    rows = rows.crossJoin(F.broadcast(corpus))
-    idf = F.log(1 + (F.col("_n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
+    idf = F.log(1 + (F.col("_n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("n_words") / F.col("_avg")
     weight = idf * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + BM25_K1 * norm)
-    return rows.select("token", "page_id", F.round(weight * IMPACT_UNIT).cast("long").alias("impact")).where("impact > 0")
+    rows = postings.crossJoin(F.broadcast(corpus))
+    return rows.withColumn("impact", F.round(weight * IMPACT_UNIT).cast("long")).drop("_n", "_avg").where("impact > 0")
 
 
-def match_impacts(index: PageIndex) -> DataFrame:
+def match_impacts(index: PageIndex, postings: DataFrame) -> DataFrame:
     """Impacts that rank by matched distinct words, then by how often they occur."""
-    return index.postings.select("token", "page_id", (F.lit(MATCH_UNIT) + F.col("tf")).alias("impact"))
+    return postings.withColumn("impact", F.lit(MATCH_UNIT) + F.col("tf"))
+
+
+Weigh = Callable[[PageIndex, DataFrame], DataFrame]
 
 
 def _level(impact: Column) -> Column:
@@ -139,60 +147,127 @@ def _level(impact: Column) -> Column:
     return F.length(F.bin(impact))
 
 
-def _scored(pairs: DataFrame, terms: DataFrame, impacts: DataFrame) -> DataFrame:
-    """Full score of every ``(query_id, page_id)`` pair."""
-    wanted = skew_join(pairs, terms.select("query_id", "token"), ["query_id"], ["page_id"], "inner")
-    found = skew_join(wanted, impacts, ["token", "page_id"], ["query_id"], "inner")
-    return found.groupBy("query_id", "page_id").agg(F.sum("impact").alias("score"))
+def _looked_up(pairs: DataFrame, terms: DataFrame, scoped: DataFrame) -> DataFrame:
+    """Impacts of the given words on the given ``(query_id, page_id)`` pairs."""
+    wanted = salted_join(pairs, terms.select("query_id", "scope", "token"), ["query_id"], ["page_id"], "inner")
+    lists = scoped.select("scope", "token", "page_id", "impact")
+    return wanted.join(lists, ["scope", "token", "page_id"]).select("query_id", "page_id", "impact")
+
+
+def _total(impacts: DataFrame) -> DataFrame:
+    return impacts.groupBy("query_id", "page_id").agg(F.sum("impact").alias("score"))
+
+
+def _read_all(terms: DataFrame, scoped: DataFrame) -> DataFrame:
+    """Impacts of all pages of all words.
+
+    A word in many queries is split so that no task makes more than SPLIT_PAIRS rows:
+    its queries are dealt out to the parts and its pages go to each of them.
+    """
+    parts = F.ceil(F.col("df") * F.col("m") / F.lit(SPLIT_PAIRS)).cast("int")
+    asking = terms.select(
+        "query_id", "scope", "token", F.pmod(F.xxhash64("query_id"), parts).cast("int").alias("part")
+    )
+    lists = scoped.select("scope", "token", "page_id", "impact", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    return asking.join(lists, ["scope", "token", "part"]).select("query_id", "page_id", "impact")
 
 
-def top_pages(queries: DataFrame, impacts: DataFrame, documents: DataFrame, k: int) -> DataFrame:
+def top_pages(queries: DataFrame, index: PageIndex, weigh: Weigh, k: int, short_lists: int = SHORT_LISTS) -> DataFrame:
     """The best ``k`` pages of each query ``(query_id, scope, terms)``, ranked from 1.
 
     Ties go to the smaller page id.
     """
     asked = queries.where(F.col("scope").isNotNull()).select("query_id", "scope", F.explode("terms").alias("token"))
-    asked = durable(asked, "terms")
-    used = durable(skew_join(impacts, asked.select("token").distinct(), ["token"], ["page_id"], "left_semi"), "impacts")
-    placed = used.join(page_scopes(documents, asked.select("scope").distinct()), "page_id")
-    wanted = asked.select("scope", "token").distinct()
-    scoped = durable(skew_join(placed, wanted, ["scope", "token"], ["page_id"], "left_semi"), "scoped-impacts")
+    asked = durable(asked, "asked")
+    used = salted_join(index.postings, asked.select("token").distinct(), ["token"], ["page_id"], "left_semi")
+    places = page_scopes(index.documents, asked.select("scope").distinct())
+    placed = weigh(index, used).select("token", "page_id", "impact", "df").join(places, "page_id")
+    wanted = asked.groupBy("scope", "token").agg(F.count(F.lit(1)).alias("m"))
+    scoped = durable(salted_join(placed, wanted, ["scope", "token"], ["page_id"], "inner"), "impacts")
 
-    by_word = Window.partitionBy("scope", "token").orderBy(F.desc("impact"), "page_id")
-    leaders = scoped.withColumn("_r", F.row_number().over(by_word)).where(F.col("_r") <= k).drop("_r")
     stats = scoped.groupBy("scope", "token").agg(
-        F.count(F.lit(1)).alias("n"), F.max("impact").alias("top"), F.min("impact").alias("low")
+        F.count(F.lit(1)).alias("n"),
+        F.max("impact").alias("top"),
+        F.min("impact").alias("low"),
+        F.max("df").alias("df"),
+        F.max("m").alias("m"),
+    )
+    reach = F.sum("n").over(Window.partitionBy("query_id"))
+    terms = durable(salted_join(asked, stats, ["scope", "token"], ["query_id"], "inner").withColumn("reach", reach), "terms")
+    short, long = terms.where(F.col("reach") <= short_lists), terms.where(F.col("reach") > short_lists)
+    scores = _total(_read_all(short, scoped))
+    if not long.isEmpty():
+        scores = scores.unionByName(_floor_scores(long, scoped, k))
+    return (
+        scores.withColumn("rank", F.row_number().over(_best()))
+        .where(F.col("rank") <= k)
+        .select("query_id", "page_id", "score", "rank")
     )
-    terms = durable(skew_join(asked, stats, ["scope", "token"], ["query_id"], "inner"), "query-words")
 
-    rarest = Window.partitionBy("query_id").orderBy("n", "token").rowsBetween(Window.unboundedPreceding, -1)
-    naming = terms.withColumn("_enough", F.coalesce(F.max(F.col("n") >= k).over(rarest), F.lit(False))).where(~F.col("_enough"))
-    named = skew_join(naming.select("query_id", "scope", "token"), leaders, ["scope", "token"], ["query_id"], "inner")
-    named = durable(named.select("query_id", "page_id").distinct(), "named-pages")
-    first = durable(_scored(named, terms, used), "first-scores")
 
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "page_id")
+def _best() -> Window:
+    return Window.partitionBy("query_id").orderBy(F.desc("score"), "page_id")
+
+
+def _floor_scores(terms: DataFrame, scoped: DataFrame, k: int) -> DataFrame:
+    """Full scores of every page that can be among a query's best ``k``, and of some more."""
+    by_word = Window.partitionBy("scope", "token").orderBy(F.desc("impact"), "page_id")
+    leaders = scoped.withColumn("_r", F.row_number().over(by_word)).where(F.col("_r") <= k).select("scope", "token", "page_id")
+    rarer = Window.partitionBy("query_id").orderBy("n", "token").rowsBetween(Window.unboundedPreceding, -1)
+    enough = F.coalesce(F.max(F.col("n") >= k).over(rarer), F.lit(False))
+    naming = terms.withColumn("_enough", enough).where(~F.col("_enough")).select("query_id", "scope", "token")
+    named = salted_join(naming, leaders, ["scope", "token"], ["query_id"], "inner").select("query_id", "page_id").distinct()
+    first = durable(_total(_looked_up(durable(named, "named"), terms, scoped)), "first-scores")
     floor = (
-        first.withColumn("_r", F.row_number().over(best))
+        first.withColumn("_r", F.row_number().over(_best()))
         .where(F.col("_r") == k)
         .select("query_id", F.col("score").alias("floor"), F.col("page_id").alias("floor_page"))
     )
-    commonest = Window.partitionBy("query_id").orderBy(F.desc("n"), "token")
-    spent = F.coalesce(F.sum("top").over(commonest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shared = (
+    shares = _shares(terms, floor)
+    found = _above_shares(shares, scoped)
+    pairs = found.groupBy("query_id", "page_id").agg(F.sum(F.when(~F.col("edge"), F.col("impact")).otherwise(0)).alias("impact"))
+    pairs = durable(pairs.join(first.select("query_id", "page_id"), ["query_id", "page_id"], "left_anti"), "pairs")
+    unread = shares.where(F.col("share") > 0)
+    rest = _looked_up(pairs.select("query_id", "page_id"), unread, scoped)
+    return first.unionByName(_total(pairs.unionByName(rest)))
+
+
+def _shares(terms: DataFrame, floor: DataFrame) -> DataFrame:
+    """Each word's share of its query's floor; ``edge`` marks the last word with one.
+
+    Where looking up the unread words could cost more than reading every list, all
+    shares are nothing and every list is read.
+    """
+    query = Window.partitionBy("query_id")
+    commonest = query.orderBy(F.desc("n"), "token").rowsBetween(Window.unboundedPreceding, -1)
+    spent = F.coalesce(F.sum("top").over(commonest), F.lit(0))
+    budget = F.greatest(F.coalesce("floor", F.lit(0)) - spent, F.lit(0))
+    read = F.sum(F.when(F.col("_budget") < F.col("top"), F.col("n")).otherwise(0)).over(query)
+    unread = F.sum((F.col("_budget") > 0).cast("int")).over(query)
+    return (
         terms.join(floor, "query_id", "left")
-        .withColumn("_left", F.greatest(F.coalesce("floor", F.lit(0)) - spent, F.lit(0)))
-        .withColumn("share", F.least("top", "_left"))
-        .withColumn("edge", (F.col("share") > 0) & (F.col("_left") <= F.col("top")))
-        .where((F.col("share") < F.col("top")) | F.col("edge"))
+        .withColumn("_budget", budget)
+        .withColumn("_all", read * (1 + unread) >= F.col("reach"))
+        .withColumn("share", F.when(F.col("_all"), 0).otherwise(F.least("top", "_budget")))
+        .withColumn("edge", (F.col("share") > 0) & (F.col("_budget") <= F.col("top")))
+        .drop("_budget", "_all")
     )
-    pieces = F.ceil(F.col("n") / F.lit(SPLIT_ROWS)).cast("int")
+
+
+def _above_shares(shares: DataFrame, scoped: DataFrame) -> DataFrame:
+    """Page lists above the words' shares, split so that no task reads a whole long list.
+
+    A page that only equals the floor can replace its page if its id is smaller; all
+    its impacts then equal the shares, so the edge word alone finds it.
+    """
+    pieces = F.ceil(F.col("df") / F.lit(SPLIT_ROWS)).cast("int")
     reads = (
-        shared.withColumn("level", F.explode(F.sequence(_level(F.greatest("share", "low")), _level(F.col("top")))))
+        shares.where((F.col("share") < F.col("top")) | F.col("edge"))
+        .withColumn("level", F.explode(F.sequence(_level(F.greatest("share", "low")), _level(F.col("top")))))
         .withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
         .select("query_id", "scope", "token", "level", "piece", "share", "edge", "floor_page")
     )
-    banded = skew_join(scoped, stats.select("scope", "token", "n"), ["scope", "token"], ["page_id"], "inner").select(
+    banded = scoped.select(
         "scope",
         "token",
         _level(F.col("impact")).alias("level"),
@@ -203,17 +278,10 @@ def top_pages(queries: DataFrame, impacts: DataFrame, documents: DataFrame, k: i
     beats = (F.col("impact") > F.col("share")) | (
         F.col("edge") & (F.col("impact") == F.col("share")) & (F.col("page_id") < F.col("floor_page"))
     )
-    found = reads.join(banded, ["scope", "token", "level", "piece"]).where(beats)
-    rest = found.select("query_id", "page_id").distinct().join(named, ["query_id", "page_id"], "left_anti")
-    return (
-        first.unionByName(_scored(durable(rest, "found-pages"), terms, used))
-        .withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("query_id", "page_id", "score", "rank")
-    )
+    return reads.join(banded, ["scope", "token", "level", "piece"]).where(beats)
 
 
-def search(questions: DataFrame, index: PageIndex, impacts: DataFrame, k: int) -> DataFrame:
+def search(questions: DataFrame, index: PageIndex, weigh: Weigh, k: int) -> DataFrame:
     """Add ``urls`` and ``error`` to rows with a ``query``.
 
     Rows that ask for the same words in the same scope are searched once. A row
@@ -225,12 +293,12 @@ def search(questions: DataFrame, index: PageIndex, impacts: DataFrame, k: int) -
     distinct = keyed.select("query_id", "scope", "terms").groupBy("query_id").agg(
         F.any_value("scope").alias("scope"), F.any_value("terms").alias("terms")
     )
-    ranked = top_pages(distinct, impacts, index.documents, k).join(index.documents.select("page_id", "url"), "page_id")
+    ranked = top_pages(distinct, index, weigh, k).join(index.documents.select("page_id", "url"), "page_id")
     hits = ranked.where(F.col("url").isNotNull()).groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "url"))).alias("_hits")
     )
     spread = [c for c in questions.columns if c != "urls"]
-    joined = skew_join(keyed.drop("scope", "terms", "urls"), hits, ["query_id"], spread)
+    joined = salted_join(keyed.drop("scope", "terms", "urls"), hits, ["query_id"], spread)
     none = F.array().cast("array<string>")
     return joined.withColumn("urls", F.coalesce(F.transform("_hits", lambda h: h["url"]), none)).withColumn(
         "error",
@@ -262,13 +330,13 @@ def retrieve(
 ) -> DataFrame:
     """Results of all questions ``(…, question, dorks, urls)`` in one table."""
     supplied, open_rows = supplied_urls(prepare_queries(questions, dorks, honour_overrides))
-    searched = search(open_rows, index, bm25_impacts(index), k)
+    searched = search(open_rows, index, bm25_impacts, k)
     return supplied.withColumn("error", F.lit(None).cast("string")).unionByName(searched)
 
 
 def retrieve_two_engines(questions: DataFrame, index: PageIndex, k: int = SECOND_RESULT_COUNT) -> DataFrame:
     """Both rankings side by side; operators and supplied URLs play no part here."""
     rows = questions.drop("dorks", "urls").withColumn("query", F.col("question"))
-    first = search(rows, index, bm25_impacts(index), k).withColumn("engine", F.lit("bm25"))
-    second = search(rows, index, match_impacts(index), k).withColumn("engine", F.lit("matches"))
+    first = search(rows, index, bm25_impacts, k).withColumn("engine", F.lit("bm25"))
+    second = search(rows, index, match_impacts, k).withColumn("engine", F.lit("matches"))
     return first.unionByName(second)

@@ -4,49 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-HOT_SHARE = 256
-HOT_ROWS = 1_000_000
-SALTS = 64
+SALTS = 16
 
 
-def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold more than 1/HOT_SHARE of ``rows``: fewer than HOT_SHARE of them."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    limit = F.greatest(F.col("_total") / HOT_SHARE, F.lit(hot_rows))
-    return counts.crossJoin(F.broadcast(total)).where(F.col("_n") > limit).select(*keys)
-
-
-def _mark(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-    same = [df[k].eqNullSafe(marks[f"_hot_{k}"]) for k in keys]
-    return df.join(F.broadcast(marks), same, "left").drop(*[f"_hot_{k}" for k in keys])
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    spread: list[str],
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
+def salted_join(
+    left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
     """Equi-join whose left side may have hot keys, nulls included.
 
-    ``right`` holds a bounded number of rows per key. Rows of a hot key are spread
-    over SALTS tasks by a hash of the ``spread`` columns and the right rows of that
-    key are repeated once per salt; all other keys join as they are. The broadcast
-    list of hot keys has fewer than HOT_SHARE rows whatever the input.
+    ``right`` holds a bounded number of rows per key. The rows of every left key are
+    spread over ``salts`` tasks by a hash of the ``spread`` columns, and the right
+    rows are repeated once per salt. Where the right side turns out small, adaptive
+    execution broadcasts it; where one salt is still too large, it splits that too.
     """
-    hot = hot_keys(left, keys, hot_rows)
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    salted = _mark(left, hot, keys).withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    copies = _mark(right, hot, keys).withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-    )
-    joined = salted.drop("_hot").join(copies.drop("_hot"), [*keys, "_salt"], how)
-    return joined.drop("_salt")
+    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
 def count_before(rows: DataFrame, pos: str, flag: Column, name: str) -> DataFrame:

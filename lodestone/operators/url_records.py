@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lodestone.functions import json as J
 from lodestone.functions.text import category_slug
 from lodestone.functions.urls import is_valid_url
-from lodestone.operators.skew import skew_join
+from lodestone.operators.skew import salted_join
 
 NO_CATEGORY = "Uncategorized"
 
@@ -175,7 +175,7 @@ def filed_results(results: DataFrame, pos: str) -> DataFrame:
     filed = results.withColumn("file_path", category_slug(F.col("category")))
     categories = filed.groupBy("file_path", "category").agg(F.min(pos).alias("_first"))
     written = categories.groupBy("file_path").agg(F.max_by("category", "_first").alias("category"))
-    return skew_join(filed, written, ["file_path", "category"], [pos], "left_semi")
+    return salted_join(filed, written, ["file_path", "category"], [pos], "left_semi")
 
 
 def result_records(filed: DataFrame, pos: str) -> DataFrame:

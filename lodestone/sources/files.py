@@ -69,9 +69,15 @@ def read_generated_questions(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema("question string").option("multiLine", "true").json(list(paths))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Share a scan of few files among all cores; larger scans stay as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """The page corpus that stands in for the web: ``(page_id, url, html)``."""
-    return spark.read.parquet(path).select("page_id", "url", "html")
+    return spread(spark.read.parquet(path).select("page_id", "url", "html"))
 
 
 def read_replies(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lodestone.sources.files import read_pages
+
 LINKS = 10
 TURNS = 64
 
@@ -119,7 +121,7 @@ def question_documents(spark: SparkSession, sf_dir: str, form: str) -> DataFrame
 
 def scrape_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scrape replies ``(item_pos, url, html)``: empty URLs, empty pages, redirects."""
-    pages = table(spark, sf_dir, "pages")
+    pages = read_pages(spark, f"{sf_dir}/pages.parquet")
     plain = pages.selectExpr(
         "page_id * 2 as item_pos",
         "case when page_id % 37 = 5 then '' when page_id % 29 = 3 then concat(url, '/moved') else url end as url",

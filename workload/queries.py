@@ -33,7 +33,7 @@ def _index(spark: SparkSession, sf: str) -> S.PageIndex:
     """The page index, built once per session and read by every search."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _indexes:
-        _indexes[key] = jobs.index_pages(I.table(spark, sf, "pages"))
+        _indexes[key] = jobs.index_pages(files.read_pages(spark, f"{sf}/pages.parquet"))
     return _indexes[key]
 
 
@@ -253,19 +253,25 @@ def page_words(spark, sf):
 
 
 def bm25_impacts(spark, sf):
-    return S.bm25_impacts(_index(spark, sf))
+    index = _index(spark, sf)
+    return S.bm25_impacts(index, index.postings).select("token", "page_id", "impact")
 
 
-def _top(spark, sf, query, k=S.RESULT_COUNT, impacts=S.bm25_impacts):
-    index = _index(spark, sf)
+def _top(spark, sf, query, k=S.RESULT_COUNT, weigh=S.bm25_impacts, short_lists=S.SHORT_LISTS):
     rows = I.questions(spark, sf).select(F.col("qid").alias("query_id"), query.alias("query"))
-    return S.top_pages(S.with_search_terms(rows), impacts(index), index.documents, k).withColumnRenamed("query_id", "qid")
+    best = S.top_pages(S.with_search_terms(rows), _index(spark, sf), weigh, k, short_lists)
+    return best.withColumnRenamed("query_id", "qid")
 
 
 def corpus_top_k(spark, sf):
     return _top(spark, sf, F.col("question"))
 
 
+def corpus_top_k_by_floor(spark, sf):
+    """The same ranking with every query taking the way meant for long page lists."""
+    return _top(spark, sf, F.col("question"), short_lists=0)
+
+
 def matches_top_k(spark, sf):
     return _top(spark, sf, F.col("question"), S.SECOND_RESULT_COUNT, S.match_impacts)
 
@@ -483,6 +489,7 @@ ALL = [
     page_words,
     bm25_impacts,
     corpus_top_k,
+    corpus_top_k_by_floor,
     matches_top_k,
     dork_site_filter,
     dork_filetype_filter,
