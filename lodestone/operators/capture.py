@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lodestone.functions import html as H
+from lodestone.functions.json import computed_once
 from lodestone.functions.urls import content_path
 from lodestone.operators.skew import salted_join
 
@@ -15,8 +16,8 @@ SOURCE_TYPE = "web"
 UNKNOWN_SOURCE = "unknown"
 
 
-def pages_to_markdown(pages: DataFrame) -> DataFrame:
-    """``(item_pos, url, html)`` to ``(item_pos, markdown, metadata)``."""
+def with_metadata(pages: DataFrame) -> DataFrame:
+    """Add title, description and language of ``(url, html)`` rows as ``metadata``."""
     html = F.col("html")
     metadata = F.struct(
         F.col("url").alias("sourceURL"),
@@ -24,7 +25,16 @@ def pages_to_markdown(pages: DataFrame) -> DataFrame:
         H.description(html).alias("description"),
         H.language(html).alias("language"),
     )
-    return pages.select("item_pos", H.to_markdown(html).alias("markdown"), metadata.alias("metadata"))
+    return pages.withColumn("metadata", metadata)
+
+
+def pages_to_markdown(pages: DataFrame) -> DataFrame:
+    """``(item_pos, url, html)`` to ``(item_pos, markdown, metadata)``.
+
+    The Markdown is computed once even where later steps filter on it.
+    """
+    converted = computed_once(with_metadata(pages), markdown=H.to_markdown(F.col("html")))
+    return converted.select("item_pos", "markdown", "metadata")
 
 
 def fetch(requested: DataFrame, pages: DataFrame) -> DataFrame:

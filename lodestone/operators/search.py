@@ -38,6 +38,7 @@ MATCH_UNIT = 1 << 32
 SPLIT_ROWS = 65_536
 SPLIT_PAIRS = 10_000_000
 SHORT_LISTS = 32_768
+READ_ALL_FACTOR = 1
 NO_RESULTS = "no results found"
 NO_QUESTION = "invalid question"
 
@@ -183,7 +184,9 @@ def top_pages(queries: DataFrame, index: PageIndex, weigh: Weigh, k: int, short_
     places = page_scopes(index.documents, asked.select("scope").distinct())
     placed = weigh(index, used).select("token", "page_id", "impact", "df").join(places, "page_id")
     wanted = asked.groupBy("scope", "token").agg(F.count(F.lit(1)).alias("m"))
-    scoped = durable(salted_join(placed, wanted, ["scope", "token"], ["page_id"], "inner"), "impacts")
+    scoped = salted_join(placed, wanted, ["scope", "token"], ["page_id"], "inner")
+    # A file holds whole pages, so sums per query and page meet early when the queries are broadcast.
+    scoped = durable(scoped.repartition("page_id"), "impacts")
 
     stats = scoped.groupBy("scope", "token").agg(
         F.count(F.lit(1)).alias("n"),
@@ -247,7 +250,7 @@ def _shares(terms: DataFrame, floor: DataFrame) -> DataFrame:
     return (
         terms.join(floor, "query_id", "left")
         .withColumn("_budget", budget)
-        .withColumn("_all", read * (1 + unread) >= F.col("reach"))
+        .withColumn("_all", READ_ALL_FACTOR * read * (1 + unread) >= F.col("reach"))
         .withColumn("share", F.when(F.col("_all"), 0).otherwise(F.least("top", "_budget")))
         .withColumn("edge", (F.col("share") > 0) & (F.col("_budget") <= F.col("top")))
         .drop("_budget", "_all")

@@ -129,7 +129,7 @@ def html_to_markdown(spark, sf):
 
 
 def page_metadata(spark, sf):
-    return _items(spark, sf).select("item_pos", "metadata.*")
+    return C.with_metadata(I.scrape_items(spark, sf)).select("item_pos", "metadata.*")
 
 
 def capture_metadata(spark, sf):
