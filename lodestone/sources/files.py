@@ -1,8 +1,15 @@
-"""Readers. A missing or empty folder gives an empty table, unless asked to be strict."""
+"""Readers. A missing or empty folder gives an empty table, unless asked to be strict.
+
+Files without any content are not listed: Spark skips them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import glob
+import os
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestone.functions.urls import relative_path
 
@@ -14,10 +21,13 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
-def _below(column, root: str):
-    """File path below ``root``, without the scheme the file system puts in front."""
-    plain = F.url_decode(F.regexp_replace(F.replace(column, F.lit("+"), F.lit("%2B")), "^file:/+", "/"))
-    return relative_path(plain, root)
+# Scheme and authority in front of a path.
+PREFIX = r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?"
+
+
+def _below(column: Column, root: str) -> Column:
+    """File path below ``root``, however the file system spells its scheme."""
+    return relative_path(F.regexp_replace(column, PREFIX, ""), re.sub(PREFIX, "", root))
 
 
 def _whole_files(spark: SparkSession, root: str, glob: str, strict: bool) -> DataFrame:
@@ -32,15 +42,42 @@ def _whole_files(spark: SparkSession, root: str, glob: str, strict: bool) -> Dat
 def read_json_documents(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
     """All ``*.json`` files below ``root`` as ``(file_path, content)``.
 
-    Hadoop hides names that start with an underscore or a dot; pass such files by
-    explicit path to ``read_json_file``.
+    Spark never lists names that start with an underscore, which category slugs may
+    do; ``read_mounted_json`` does.
     """
     found = _whole_files(spark, root, "*.json", strict)
     return found.select(_below(F.col("path"), root).alias("file_path"), F.col("content").cast("string").alias("content"))
 
 
+def read_mounted_json(spark: SparkSession, root: str) -> DataFrame:
+    """Like ``read_json_documents`` for a folder that all machines have mounted.
+
+    Only names that start with a dot are left out. The names are listed once, the
+    files are read by the tasks; text that is not UTF-8 is null.
+    """
+    if not os.path.isdir(root):
+        raise FileNotFoundError(root)
+    names = sorted(glob.glob("**/*.json", root_dir=root, recursive=True))
+
+    def read(batches):
+        import pandas as pd
+
+        def text(name):
+            try:
+                with open(os.path.join(root, name), encoding="utf-8", newline="") as source:
+                    return source.read()
+            except UnicodeDecodeError:
+                return None
+
+        for batch in batches:
+            yield pd.DataFrame({"file_path": batch.file_path, "content": batch.file_path.map(text)})
+
+    listed = spark.createDataFrame([(n,) for n in names], "file_path string")
+    return spread(listed).mapInPandas(read, "file_path string, content string")
+
+
 def read_json_file(spark: SparkSession, *paths: str) -> DataFrame:
-    """Named JSON files as ``(doc, content)``; hidden names are read too."""
+    """Named JSON files as ``(doc, content)``."""
     return spark.read.text(list(paths), wholetext=True).select(
         F.col("_metadata.file_path").alias("doc"), F.col("value").alias("content")
     )

@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-import posixpath
-
 from pyspark.sql import DataFrame, functions as F
 
-from lodestone.functions.text import category_slug
 from lodestone.operators.url_records import filed_results
 
 FILE_ROWS = 1_000_000
 
 
-def write_results(results: DataFrame, target: str, pos: str = "qid", engine: str | None = None) -> None:
+def _filed(results: DataFrame, pos: str) -> DataFrame:
+    return filed_results(results, pos).withColumn("slug", F.regexp_replace("file_path", r"\.json$", "")).drop("file_path")
+
+
+def write_results(results: DataFrame, target: str, pos: str = "qid") -> None:
     """Search results as JSON lines in one folder per category slug.
 
     A folder replaced by a later category with the same slug holds that category only.
     """
-    filed = filed_results(results, pos).withColumn("slug", F.regexp_replace("file_path", r"\.json$", "")).drop("file_path")
-    path = posixpath.join(target, engine) if engine else target
-    filed.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy("slug").json(path)
+    rows = _filed(results, pos)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy("slug").json(target)
 
 
-def write_engine_results(results: DataFrame, target: str) -> None:
+def write_engine_results(results: DataFrame, target: str, pos: str = "qid") -> None:
     """Results of several engines, one folder per engine and slug."""
-    filed = results.withColumn("slug", F.regexp_replace(category_slug(F.col("category")), r"\.json$", ""))
-    filed.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy("engine", "slug").json(target)
+    rows = _filed(results, pos)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy("engine", "slug").json(target)
 
 
 def write_documents(documents: DataFrame, target: str) -> None:
