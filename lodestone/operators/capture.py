@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from lodestone.functions import html as H
 from lodestone.functions.json import computed_once
 from lodestone.functions.urls import content_path
+from lodestone.operators.grouping import last_write_wins
 from lodestone.operators.skew import salted_join
 
 # Fixed values used where nothing better is known.
@@ -107,6 +108,15 @@ def capture_metadata(items: DataFrame, dimension: DataFrame, files: DataFrame, r
     )
 
 
+def stored_documents(items: DataFrame, metadata: DataFrame) -> DataFrame:
+    """The document each path ends up with: ``(item_pos, content_path, markdown)``.
+
+    Winners are chosen on narrow rows; the texts are joined on once, by item.
+    """
+    written = last_write_wins(metadata.select("content_path", "item_pos"), "content_path", "item_pos")
+    return items.select("item_pos", "markdown").join(written, "item_pos").select("item_pos", "content_path", "markdown")
+
+
 def stage_summary(records: DataFrame, requested: DataFrame, metadata: DataFrame) -> DataFrame:
     """One row: URLs extracted, URLs processed, documents saved."""
     return (

@@ -14,11 +14,6 @@ def _key(column: str):
     return F.when(F.col(column).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(column)))
 
 
-def first_seen(rows: DataFrame, group: str, pos: str) -> DataFrame:
-    """One row per group: its first position and its size."""
-    return rows.groupBy(group).agg(F.min(pos).alias(f"{group}_pos"), F.count(F.lit(1)).alias("n"))
-
-
 def with_group_position(rows: DataFrame, group: str, pos: str) -> DataFrame:
     """Add the position at which each row's group was first seen.
 

@@ -296,8 +296,10 @@ def search(questions: DataFrame, index: PageIndex, weigh: Weigh, k: int) -> Data
     distinct = keyed.select("query_id", "scope", "terms").groupBy("query_id").agg(
         F.any_value("scope").alias("scope"), F.any_value("terms").alias("terms")
     )
-    ranked = top_pages(distinct, index, weigh, k).join(index.documents.select("page_id", "url"), "page_id")
-    hits = ranked.where(F.col("url").isNotNull()).groupBy("query_id").agg(
+    ranked = durable(top_pages(distinct, index, weigh, k).select("query_id", "page_id", "rank"), "ranked")
+    pages = index.documents.where(F.col("url").isNotNull()).join(ranked.select("page_id").distinct(), "page_id", "left_semi")
+    found = salted_join(ranked, pages.select("page_id", "url"), ["page_id"], ["query_id"], "inner")
+    hits = found.groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "url"))).alias("_hits")
     )
     spread = [c for c in questions.columns if c != "urls"]

@@ -10,7 +10,7 @@ from lodestone.operators import capture as C
 from lodestone.operators import replies as R
 from lodestone.operators import search as S
 from lodestone.operators import url_records as U
-from lodestone.operators.grouping import last_write_wins, nested_blocks, with_group_position
+from lodestone.operators.grouping import nested_blocks, with_group_position
 from lodestone.functions.html import to_markdown
 from lodestone.session import durable
 
@@ -47,10 +47,10 @@ def capture(records: DataFrame, files: DataFrame, pages: DataFrame, root: str =
     """URL records to stored documents, their metadata and the scrape tally."""
     dimension = durable(U.url_dimension(U.web_only(U.dedupe_per_file(records))), "urls")
     items = durable(C.fetch(dimension, pages), "scraped")
-    rows = C.capture_metadata(items, dimension, files, root)
+    metadata = C.capture_metadata(items, dimension, files, root).drop("markdown")
     return Capture(
-        metadata=rows.drop("markdown"),
-        documents=last_write_wins(rows, "content_path", "item_pos").select("item_pos", "content_path", "markdown"),
+        metadata=metadata,
+        documents=C.stored_documents(items, metadata),
         tally=C.tally(items),
         unmatched=C.unmatched(dimension.select("url"), items),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F
 
 from lodestone.operators.url_records import filed_results
@@ -33,19 +35,28 @@ def write_documents(documents: DataFrame, target: str) -> None:
     documents.select("content_path", "markdown").write.mode("overwrite").parquet(target)
 
 
+def mounted(path: str) -> str | None:
+    """The plain form of a path that tasks can open as a file, else nothing."""
+    plain = re.sub(r"^file:(?://)?(?=/)", "", path)
+    return plain if plain.startswith("/") else None
+
+
 def write_markdown_files(documents: DataFrame, target: str) -> None:
     """One ``.md`` file per document, below a folder all executors share.
 
     ``documents`` holds one row per path. Each file appears under its name only when
     complete, so a task that runs twice leaves the same file.
     """
+    root = mounted(target)
+    if root is None:
+        raise ValueError(f"not a mounted folder: {target}")
 
     def write(rows):
         import os
         import uuid
 
         for row in rows:
-            path = os.path.join(target, row.content_path)
+            path = os.path.join(root, row.content_path)
             os.makedirs(os.path.dirname(path), exist_ok=True)
             part = f"{path}.{uuid.uuid4().hex}"
             with open(part, "w", encoding="utf-8", newline="") as out:

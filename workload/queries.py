@@ -145,8 +145,9 @@ def unmatched_urls(spark, sf):
 
 
 def stored_documents(spark, sf):
-    rows = _metadata(spark, sf).withColumn("content_path", F.regexp_replace("content_path", "^.*/|_[0-9].*$", ""))
-    return G.last_write_wins(rows, "content_path", "item_pos").select("content_path", "item_pos", "markdown")
+    metadata = capture_metadata(spark, sf)
+    renamed = metadata.withColumn("content_path", F.regexp_replace("content_path", "^.*/|_[0-9].*$", ""))
+    return C.stored_documents(_items(spark, sf), renamed)
 
 
 def fetched_pages(spark, sf):
@@ -437,11 +438,15 @@ def url_files_roundtrip(spark, sf):
 
 
 def markdown_files_roundtrip(spark, sf):
-    """Documents written as ``.md`` files and read back whole."""
+    """Documents written and read back whole: as ``.md`` files where the shared folder is mounted, else as a table."""
     rows = C.with_success(_items(spark, sf)).where("is_success")
+    named = rows.select(F.concat(F.lit("d"), F.col("item_pos"), F.lit(".md")).alias("content_path"), "markdown")
     target = _fresh(spark, "documents")
-    sinks.write_markdown_files(rows.select(F.concat(F.lit("d"), F.col("item_pos"), F.lit(".md")).alias("content_path"), "markdown"), target)
-    return files.read_markdown(spark, target).select("content_path", "markdown")
+    if sinks.mounted(target):
+        sinks.write_markdown_files(named, target)
+        return files.read_markdown(spark, target).select("content_path", "markdown")
+    sinks.write_documents(named, target)
+    return spark.read.parquet(target)
 
 
 def end_to_end_counts(spark, sf):
