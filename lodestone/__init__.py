@@ -1 +1,8 @@
 """Question-and-answer data preparation on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Python functions travel to the executors whole, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lodestone.functions import json as J
 from lodestone.functions.text import quoted
 from lodestone.operators.skew import count_before
+from lodestone.session import durable
 
 MAX_ATTEMPTS = 5
 
@@ -149,28 +150,39 @@ def categorised(decoded: DataFrame) -> DataFrame:
     )
 
 
-def running_vocabulary(decoded: DataFrame) -> DataFrame:
-    """Add ``n_existing``: how many categories were known before each question."""
-    firsts = categorised(decoded).groupBy("category").agg(F.min("pos").alias("pos")).select("pos", F.lit(True).alias("_new"))
-    flagged = decoded.join(firsts, "pos", "left")
-    return count_before(flagged, "pos", F.col("_new").isNotNull(), "n_existing").drop("_new")
+def answered_categories(decoded: DataFrame) -> DataFrame:
+    """``(pos, category)`` of every question, null where the answer is unusable.
+
+    Written once: the vocabulary operators read it several times.
+    """
+    usable = F.when(F.col("decode_status") == "ok", F.col("answer_category"))
+    return durable(decoded.select("pos", usable.alias("category")), "answers")
+
+
+def _first_uses(answers: DataFrame) -> DataFrame:
+    return answers.where(F.col("category").isNotNull()).groupBy("category").agg(F.min("pos").alias("pos"))
+
+
+def running_vocabulary(answers: DataFrame) -> DataFrame:
+    """``(pos, n_existing)``: how many categories were known before each question."""
+    firsts = _first_uses(answers).select("pos", F.lit(True).alias("_new"))
+    flagged = answers.select("pos").join(firsts, "pos", "left")
+    return count_before(flagged, "pos", F.col("_new").isNotNull(), "n_existing").select("pos", "n_existing")
 
 
-def vocabulary(decoded: DataFrame) -> DataFrame:
+def vocabulary(answers: DataFrame) -> DataFrame:
     """Categories in first-seen order, numbered from zero."""
-    firsts = categorised(decoded).groupBy("category").agg(F.min("pos").alias("pos"))
-    return count_before(firsts, "pos", F.lit(True), "category_pos").drop("pos")
+    return count_before(_first_uses(answers), "pos", F.lit(True), "category_pos").select("category", "category_pos")
 
 
-def categorisation_prompts(questions: DataFrame, decoded: DataFrame, instruction: str) -> DataFrame:
+def categorisation_prompts(questions: DataFrame, answers: DataFrame, instruction: str) -> DataFrame:
     """The prompt each question was categorised with, running category list included.
 
     The last prompt spells out the whole vocabulary, so the one-row vocabulary list
     is never larger than a row of this result has to be anyway.
     """
-    known = vocabulary(decoded).select(F.col("category_pos").alias("p"), quoted(F.col("category")).alias("c"))
+    known = vocabulary(answers).select(F.col("category_pos").alias("p"), quoted(F.col("category")).alias("c"))
     listed = known.agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "c"))), lambda x: x["c"]).alias("_all"))
-    counted = running_vocabulary(decoded).select("pos", "n_existing")
     prompt = F.concat(
         F.lit(f"Instruction: {instruction} Question: "),
         F.col("question"),
@@ -178,7 +190,8 @@ def categorisation_prompts(questions: DataFrame, decoded: DataFrame, instruction
         F.array_join(F.slice("_all", F.lit(1), F.col("n_existing").cast("int")), ", "),
         F.lit("]"),
     )
-    return questions.join(counted, "pos").crossJoin(listed).select("pos", "n_existing", prompt.alias("prompt"))
+    asked = questions.join(running_vocabulary(answers), "pos").crossJoin(listed)
+    return asked.select("pos", "n_existing", prompt.alias("prompt"))
 
 
 def categorisation_counts(decoded: DataFrame) -> DataFrame:

@@ -49,29 +49,43 @@ OPERATOR = r"(?i)(^|\s)(?:site|filetype):\S+"
 
 @dataclass(frozen=True)
 class PageIndex:
-    """``documents(page_id, url, n_words)`` and ``postings(token, page_id, tf, n_words, df)``.
-
-    Postings repeat the page's length and the word's page count, so weighting them
-    needs no join.
-    """
+    """``documents(page_id, url, n_words)``, ``postings(token, page_id, tf, n_words)`` and ``frequency(token, df)``."""
 
     documents: DataFrame
     postings: DataFrame
+    frequency: DataFrame
 
 
 def build_index(documents: DataFrame) -> PageIndex:
-    """Index ``(page_id, url, body)``. All tables are written once and read often."""
-    listed = documents.select("page_id", "url", words(F.col("body")).alias("_words"))
-    split = durable(listed.withColumn("n_words", F.size("_words").cast("long")), "words")
-    counted = (
-        split.select("page_id", "n_words", F.explode("_words").alias("token"))
-        .groupBy("page_id", "token")
-        .agg(F.count(F.lit(1)).alias("tf"), F.max("n_words").alias("n_words"))
+    """Index ``(page_id, url, body)``.
+
+    A page's words are counted within its row, so the page table is written without a
+    shuffle; documents and postings are two readings of it.
+    """
+    words_of = documents.select("page_id", "url", F.sort_array(words(F.col("body"))).alias("_words"))
+    runs = words_of.withColumn("n_words", F.size("_words").cast("long")).withColumn("_starts", _run_starts("_words"))
+    counted = runs.select("page_id", "url", "n_words", _runs("_words", "_starts").alias("terms"))
+    pages = durable(counted, "pages")
+    postings = pages.select("page_id", "n_words", F.inline("terms"))
+    frequency = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    return PageIndex(pages.select("page_id", "url", "n_words"), postings, durable(frequency, "frequency"))
+
+
+def _run_starts(array: str) -> Column:
+    """Positions at which a sorted array's value changes."""
+    positions = F.when(F.size(array) > 0, F.sequence(F.lit(0), F.size(array) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(positions, lambda i: (i == 0) | (F.get(array, i) != F.get(array, i - 1)))
+
+
+def _runs(array: str, starts: str) -> Column:
+    """Distinct values of a sorted array with their counts."""
+    return F.transform(
+        starts,
+        lambda start, i: F.struct(
+            F.get(array, start).alias("token"),
+            (F.coalesce(F.get(starts, i + 1), F.size(array)) - start).cast("long").alias("tf"),
+        ),
     )
-    counted = durable(counted, "counts")
-    frequency = counted.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    postings = salted_join(counted, frequency, ["token"], ["page_id"], "inner")
-    return PageIndex(split.select("page_id", "url", "n_words"), durable(postings, "postings"))
 
 
 def effective_dorks(own: Column, shared: str | None) -> Column:
@@ -180,7 +194,8 @@ def top_pages(queries: DataFrame, index: PageIndex, weigh: Weigh, k: int, short_
     """
     asked = queries.where(F.col("scope").isNotNull()).select("query_id", "scope", F.explode("terms").alias("token"))
     asked = durable(asked, "asked")
-    used = salted_join(index.postings, asked.select("token").distinct(), ["token"], ["page_id"], "left_semi")
+    tokens = asked.select("token").distinct().join(index.frequency, "token")
+    used = salted_join(index.postings, tokens, ["token"], ["page_id"], "inner")
     places = page_scopes(index.documents, asked.select("scope").distinct())
     placed = weigh(index, used).select("token", "page_id", "impact", "df").join(places, "page_id")
     wanted = asked.groupBy("scope", "token").agg(F.count(F.lit(1)).alias("m"))

@@ -266,7 +266,8 @@ def all_sql() -> dict[str, str]:
         "supplied_url_bypass": _sql(
             "q", "select qid, 0 as url_pos, 'https://supplied.example.org/' || conv_id || '/' || turn as url from q where conv_id % 7 = 3"
         ),
-        "page_words": _sql("post sizes", "select token, page_id, tf, n_words, count(*) over (partition by token) as df from post join sizes using (page_id)"),
+        "page_words": _sql("post sizes", "select token, page_id, tf, n_words from post join sizes using (page_id)"),
+        "word_frequency": _sql("post", "select token, count(*) as df from post group by token"),
         "bm25_impacts": _sql("imp", "select token, page_id, impact from imp where impact > 0"),
         "corpus_top_k": _sql(searched, "select qid, page_id, score, rank from (" + _ranked(_asked("question"), 10) + ")"),
         "matches_top_k": _sql(

@@ -253,9 +253,14 @@ def page_words(spark, sf):
     return _index(spark, sf).postings
 
 
+def word_frequency(spark, sf):
+    return _index(spark, sf).frequency
+
+
 def bm25_impacts(spark, sf):
     index = _index(spark, sf)
-    return S.bm25_impacts(index, index.postings).select("token", "page_id", "impact")
+    counted = index.postings.join(index.frequency, "token")
+    return S.bm25_impacts(index, counted).select("token", "page_id", "impact")
 
 
 def _top(spark, sf, query, k=S.RESULT_COUNT, weigh=S.bm25_impacts, short_lists=S.SHORT_LISTS):
@@ -366,16 +371,16 @@ def category_reply_status(spark, sf):
 
 
 def running_categories(spark, sf):
-    return R.running_vocabulary(_answers(spark, sf)).select("pos", "n_existing")
+    return R.running_vocabulary(R.answered_categories(_answers(spark, sf)))
 
 
 def category_vocabulary(spark, sf):
-    return R.vocabulary(_answers(spark, sf))
+    return R.vocabulary(R.answered_categories(_answers(spark, sf)))
 
 
 def categorisation_prompts(spark, sf):
     asked = I.questions(spark, sf).select(F.col("qid").alias("pos"), "question")
-    return R.categorisation_prompts(asked, _answers(spark, sf), INSTRUCTION)
+    return R.categorisation_prompts(asked, R.answered_categories(_answers(spark, sf)), INSTRUCTION)
 
 
 def categorise_fold(spark, sf):
@@ -492,6 +497,7 @@ ALL = [
     search_query_text,
     supplied_url_bypass,
     page_words,
+    word_frequency,
     bm25_impacts,
     corpus_top_k,
     corpus_top_k_by_floor,
