@@ -8,7 +8,7 @@ from lodestone.functions import html as H
 from lodestone.functions.json import computed_once
 from lodestone.functions.urls import content_path
 from lodestone.operators.grouping import last_write_wins
-from lodestone.operators.skew import salted_join
+from lodestone.operators.skew import FEW_SALTS, salted_join
 
 # Fixed values used where nothing better is known.
 NO_CATEGORY = "Uncategorized"
@@ -93,7 +93,7 @@ def capture_metadata(items: DataFrame, dimension: DataFrame, files: DataFrame, r
     )
     known = dimension.select("url", "category", "question", "input_file", F.lit(True).alias("_known"))
     fallback = files.agg(F.min("file_path").alias("_first_file"))
-    joined = salted_join(good, known, ["url"], ["item_pos"]).crossJoin(fallback)
+    joined = salted_join(good, known, ["url"], ["item_pos"], salts=FEW_SALTS).crossJoin(fallback)
     known_flag = F.col("_known").isNotNull()
     source = F.when(known_flag, F.col("input_file")).otherwise(F.col("_first_file"))
     return joined.select(

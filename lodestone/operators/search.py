@@ -5,8 +5,8 @@ are whole numbers, so sums do not depend on their order. ``top_pages`` is exact.
 query whose words have short page lists reads them all. For the others it does not
 pair all pages with all queries that share a common word:
 
-1. Each query's rarest words name at least k pages. Their full scores give a floor:
-   no page below the k-th of them can be a result.
+1. Each word names its k best pages. The full scores of the pages a query's words name
+   give a floor: no page below the k-th of them can be a result.
 2. The floor is spent on the query's commonest words. A page that beats the floor
    must exceed some word's share of it, so a common word whose share covers its
    largest impact is not read, the word at the edge is read down to its share, and
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodestone.functions.text import words
 from lodestone.functions.urls import host, host_suffixes, path_extension
-from lodestone.operators.skew import salted_join
+from lodestone.operators.skew import FEW_SALTS, salted_join
 from lodestone.session import durable
 
 # Result counts, and the constants of the published BM25 formula.
@@ -37,7 +37,7 @@ IMPACT_UNIT = 1_000_000
 MATCH_UNIT = 1 << 32
 SPLIT_ROWS = 65_536
 SPLIT_PAIRS = 10_000_000
-SHORT_LISTS = 32_768
+SHORT_LISTS = 131_072
 READ_ALL_FACTOR = 1
 NO_RESULTS = "no results found"
 NO_QUESTION = "invalid question"
@@ -231,9 +231,7 @@ def _floor_scores(terms: DataFrame, scoped: DataFrame, k: int) -> DataFrame:
     """Full scores of every page that can be among a query's best ``k``, and of some more."""
     by_word = Window.partitionBy("scope", "token").orderBy(F.desc("impact"), "page_id")
     leaders = scoped.withColumn("_r", F.row_number().over(by_word)).where(F.col("_r") <= k).select("scope", "token", "page_id")
-    rarer = Window.partitionBy("query_id").orderBy("n", "token").rowsBetween(Window.unboundedPreceding, -1)
-    enough = F.coalesce(F.max(F.col("n") >= k).over(rarer), F.lit(False))
-    naming = terms.withColumn("_enough", enough).where(~F.col("_enough")).select("query_id", "scope", "token")
+    naming = terms.select("query_id", "scope", "token")
     named = salted_join(naming, leaders, ["scope", "token"], ["query_id"], "inner").select("query_id", "page_id").distinct()
     first = durable(_total(_looked_up(durable(named, "named"), terms, scoped)), "first-scores")
     floor = (
@@ -313,12 +311,12 @@ def search(questions: DataFrame, index: PageIndex, weigh: Weigh, k: int) -> Data
     )
     ranked = durable(top_pages(distinct, index, weigh, k).select("query_id", "page_id", "rank"), "ranked")
     pages = index.documents.where(F.col("url").isNotNull()).join(ranked.select("page_id").distinct(), "page_id", "left_semi")
-    found = salted_join(ranked, pages.select("page_id", "url"), ["page_id"], ["query_id"], "inner")
+    found = salted_join(ranked, pages.select("page_id", "url"), ["page_id"], ["query_id"], "inner", FEW_SALTS)
     hits = found.groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "url"))).alias("_hits")
     )
     spread = [c for c in questions.columns if c != "urls"]
-    joined = salted_join(keyed.drop("scope", "terms", "urls"), hits, ["query_id"], spread)
+    joined = salted_join(keyed.drop("scope", "terms", "urls"), hits, ["query_id"], spread, salts=FEW_SALTS)
     none = F.array().cast("array<string>")
     return joined.withColumn("urls", F.coalesce(F.transform("_hits", lambda h: h["url"]), none)).withColumn(
         "error",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SALTS = 16
+# Where the right side is as large as the left, repeating it often costs more than it saves.
+FEW_SALTS = 4
 
 
 def salted_join(
