@@ -25,7 +25,8 @@ def question_blocks(documents: DataFrame) -> DataFrame:
         .withColumn("_list", F.when(~F.col("_map"), J.elements(J.parsed(content))))
         .withColumn("_blocks", F.when(F.col("_map"), mapped).otherwise(F.transform("_list", _list_block)))
     )
-    whole = F.array(F.struct(null.alias("category"), F.lit(None).cast("variant").alias("questions"), F.lit("unsupported_structure").alias("reject")))
+    no_questions, reason = F.lit(None).cast("variant"), F.lit("unsupported_structure")
+    whole = F.array(F.struct(null.alias("category"), no_questions.alias("questions"), reason.alias("reject")))
     return typed.select("doc", F.posexplode(F.coalesce("_blocks", whole)).alias("block_pos", "b")).select(
         "doc",
         "block_pos",

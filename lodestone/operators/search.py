@@ -112,7 +112,8 @@ def with_search_terms(queries: DataFrame) -> DataFrame:
     query = F.col("query")
     sites = F.array_distinct(F.transform(F.regexp_extract_all(query, F.lit(SITE), F.lit(1)), F.lower))
     types = F.array_distinct(F.transform(F.regexp_extract_all(query, F.lit(FILETYPE), F.lit(1)), F.lower))
-    longest = F.element_at(F.array_sort(F.transform("_sites", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))), -1)["s"]
+    by_length = F.transform("_sites", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))
+    longest = F.array_max(by_length)["s"]
     nested = F.forall("_sites", lambda s: (s == F.col("_site")) | F.endswith(F.col("_site"), F.concat(F.lit("."), s)))
     return (
         queries.withColumn("_sites", sites)
@@ -183,7 +184,8 @@ def _read_all(terms: DataFrame, scoped: DataFrame) -> DataFrame:
     asking = terms.select(
         "query_id", "scope", "token", F.pmod(F.xxhash64("query_id"), parts).cast("int").alias("part")
     )
-    lists = scoped.select("scope", "token", "page_id", "impact", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    every = F.explode(F.sequence(F.lit(0), parts - 1))
+    lists = scoped.select("scope", "token", "page_id", "impact", every.alias("part"))
     return asking.join(lists, ["scope", "token", "part"]).select("query_id", "page_id", "impact")
 
 
@@ -211,7 +213,8 @@ def top_pages(queries: DataFrame, index: PageIndex, weigh: Weigh, k: int, short_
         F.max("m").alias("m"),
     )
     reach = F.sum("n").over(Window.partitionBy("query_id"))
-    terms = durable(salted_join(asked, stats, ["scope", "token"], ["query_id"], "inner").withColumn("reach", reach), "terms")
+    terms = salted_join(asked, stats, ["scope", "token"], ["query_id"], "inner").withColumn("reach", reach)
+    terms = durable(terms, "terms")
     short, long = terms.where(F.col("reach") <= short_lists), terms.where(F.col("reach") > short_lists)
     scores = _total(_read_all(short, scoped))
     if not long.isEmpty():
@@ -230,18 +233,20 @@ def _best() -> Window:
 def _floor_scores(terms: DataFrame, scoped: DataFrame, k: int) -> DataFrame:
     """Full scores of every page that can be among a query's best ``k``, and of some more."""
     by_word = Window.partitionBy("scope", "token").orderBy(F.desc("impact"), "page_id")
-    leaders = scoped.withColumn("_r", F.row_number().over(by_word)).where(F.col("_r") <= k).select("scope", "token", "page_id")
-    naming = terms.select("query_id", "scope", "token")
-    named = salted_join(naming, leaders, ["scope", "token"], ["query_id"], "inner").select("query_id", "page_id").distinct()
-    first = durable(_total(_looked_up(durable(named, "named"), terms, scoped)), "first-scores")
+    leaders = scoped.withColumn("_r", F.row_number().over(by_word)).where(F.col("_r") <= k)
+    leaders, naming = leaders.select("scope", "token", "page_id"), terms.select("query_id", "scope", "token")
+    named = salted_join(naming, leaders, ["scope", "token"], ["query_id"], "inner")
+    named = durable(named.select("query_id", "page_id").distinct(), "named")
+    first = durable(_total(_looked_up(named, terms, scoped)), "first-scores")
     floor = (
         first.withColumn("_r", F.row_number().over(_best()))
         .where(F.col("_r") == k)
         .select("query_id", F.col("score").alias("floor"), F.col("page_id").alias("floor_page"))
     )
-    shares = _shares(terms, floor)
+    shares = durable(_shares(terms, floor), "shares")
     found = _above_shares(shares, scoped)
-    pairs = found.groupBy("query_id", "page_id").agg(F.sum(F.when(~F.col("edge"), F.col("impact")).otherwise(0)).alias("impact"))
+    read = F.when(~F.col("edge"), F.col("impact")).otherwise(0)
+    pairs = found.groupBy("query_id", "page_id").agg(F.sum(read).alias("impact"))
     pairs = durable(pairs.join(first.select("query_id", "page_id"), ["query_id", "page_id"], "left_anti"), "pairs")
     unread = shares.where(F.col("share") > 0)
     rest = _looked_up(pairs.select("query_id", "page_id"), unread, scoped)
@@ -271,22 +276,30 @@ def _shares(terms: DataFrame, floor: DataFrame) -> DataFrame:
 
 
 def _above_shares(shares: DataFrame, scoped: DataFrame) -> DataFrame:
-    """Page lists above the words' shares, split so that no task reads a whole long list.
+    """Page lists above the words' shares, in bands that some query reads.
 
-    A page that only equals the floor can replace its page if its id is smaller; all
+    Bands are split by page and by query, so that no task makes more than SPLIT_PAIRS
+    rows. A page that only equals the floor can replace its page if its id is smaller; all
     its impacts then equal the shares, so the edge word alone finds it.
     """
+    band = ["scope", "token", "level"]
+    levels = F.sequence(_level(F.greatest("share", "low")), _level(F.col("top")))
+    reads = shares.where((F.col("share") < F.col("top")) | F.col("edge")).withColumn("level", F.explode(levels))
+    readers = reads.groupBy(*band).agg(F.count(F.lit(1)).alias("readers"))
     pieces = F.ceil(F.col("df") / F.lit(SPLIT_ROWS)).cast("int")
-    reads = (
-        shares.where((F.col("share") < F.col("top")) | F.col("edge"))
-        .withColumn("level", F.explode(F.sequence(_level(F.greatest("share", "low")), _level(F.col("top")))))
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .select("query_id", "scope", "token", "level", "piece", "share", "edge", "floor_page")
+    parts = F.ceil(F.col("readers") * F.lit(SPLIT_ROWS) / F.lit(SPLIT_PAIRS)).cast("int")
+    asking = salted_join(reads, readers, band, ["query_id"], "inner").select(
+        "query_id",
+        *band,
+        F.pmod(F.xxhash64("query_id"), parts).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"),
+        "share",
+        "edge",
+        "floor_page",
     )
-    banded = scoped.select(
-        "scope",
-        "token",
-        _level(F.col("impact")).alias("level"),
+    lists = salted_join(scoped.withColumn("level", _level(F.col("impact"))), readers, band, ["page_id"], "inner").select(
+        *band,
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
         F.pmod(F.xxhash64("page_id"), pieces).cast("int").alias("piece"),
         "page_id",
         "impact",
@@ -294,7 +307,7 @@ def _above_shares(shares: DataFrame, scoped: DataFrame) -> DataFrame:
     beats = (F.col("impact") > F.col("share")) | (
         F.col("edge") & (F.col("impact") == F.col("share")) & (F.col("page_id") < F.col("floor_page"))
     )
-    return reads.join(banded, ["scope", "token", "level", "piece"]).where(beats)
+    return asking.join(lists, [*band, "piece", "part"]).where(beats)
 
 
 def search(questions: DataFrame, index: PageIndex, weigh: Weigh, k: int) -> DataFrame:

@@ -25,8 +25,8 @@ def _item(url: Column, question: Column, is_pdf: Column) -> Column:
 
 
 def _spoiled() -> Column:
-    null = F.lit(None).cast("string")
-    return F.array(F.struct(null.alias("url"), null.alias("question"), F.lit(False).alias("is_pdf"), F.lit(True).alias("bad")))
+    null, no, yes = F.lit(None).cast("string"), F.lit(False), F.lit(True)
+    return F.array(F.struct(null.alias("url"), null.alias("question"), no.alias("is_pdf"), yes.alias("bad")))
 
 
 def _none() -> Column:
@@ -180,8 +180,9 @@ def filed_results(results: DataFrame, pos: str) -> DataFrame:
 
 def result_records(filed: DataFrame, pos: str) -> DataFrame:
     """URL records straight from filed search results."""
+    listed = F.posexplode("urls").alias("url_pos", "url")
     return (
-        filed.select("file_path", F.col(pos).alias("entry_pos"), "category", "question", F.posexplode("urls").alias("url_pos", "url"))
+        filed.select("file_path", F.col(pos).alias("entry_pos"), "category", "question", listed)
         .withColumn("is_pdf", F.lit(False))
         .where(is_valid_url(F.col("url")))
     )

@@ -96,7 +96,9 @@ def generate_and_categorise(attempts: DataFrame, category_replies: DataFrame) ->
     )
 
 
-def full_run(questions: DataFrame, pages: DataFrame, replies: DataFrame, index: S.PageIndex | None = None, pos: str = "qid") -> DataFrame:
+def full_run(
+    questions: DataFrame, pages: DataFrame, replies: DataFrame, index: S.PageIndex | None = None, pos: str = "qid"
+) -> DataFrame:
     """Questions to the final counts: search, capture, pairs, report."""
     results = S.retrieve(questions, index or index_pages(pages)).select(pos, "category", "question", "urls")
     filed = durable(U.filed_results(results, pos), "results")
