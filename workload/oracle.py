@@ -369,7 +369,6 @@ def all_sql() -> dict[str, str]:
         join (select doc, category, min(block_pos) as category_pos, max(block_pos) as block_pos from elements group by 1, 2)
         using (doc, category, block_pos) where q_pos = 0""",
     )
-
     sql["harvest_urls"] = _sql(
         "l",
         f"select conv_id * 1000 + turn as doc, 2 * j as value_pos, url from l where {VALID.format('url')}",
