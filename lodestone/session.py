@@ -44,12 +44,39 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables, under the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/lodestone-{spark.sparkContext.applicationId}"
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where several later steps read one costly table: it is computed once, a
-    lost executor loses none of it, and readers prune its columns.
+    lost executor loses none of it, and readers prune its columns. ``discard`` drops
+    one such table, ``clean_up`` all of the application.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{run_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.durable_path = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``durable`` returned and that no later step reads."""
+    for table in tables:
+        path = getattr(table, "durable_path", None)
+        if path:
+            _delete(table.sparkSession, path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application. Call it when results are written."""
+    _delete(spark, run_dir(spark))
