@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestone.llm import sharding, simhash
+from lodestone.llm import sharding, simhash, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,9 +16,44 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"), least=100).drop("url")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), shards=40, overhead=16)
 
 
-ALL = [op1_simhash, op9_sharding]
-ORACLE: dict[str, str] = {}
+ALL = [op1_simhash, op3_top_k, op5_warc, op9_sharding]
+
+ORACLE = {
+    "op3_top_k": """
+        with whole as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        pairs as (
+            select a.vec_id as query_id, b.vec_id as vec_id,
+                   list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::bigint as score
+            from (select distinct vec_id, q from whole where vec_id % 50 = 0) a
+            join whole b on b.vec_id <> a.vec_id and len(a.q) = len(b.q)),
+        ranked as (
+            select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from pairs)
+        select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
+    "op5_warc": """
+        with rows as (
+            select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+            from pages),
+        firsts as (select payload_digest, min(page_id) as first from rows where payload_bytes >= 100 group by 1)
+        select page_id, payload_bytes, payload_digest,
+               case when first is not null and page_id is distinct from first then 'revisit' else 'response' end as record_type,
+               case when page_id is distinct from first then first end as refers_to
+        from rows left join firsts using (payload_digest)
+    """,
+}
