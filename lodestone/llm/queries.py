@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestone.llm import sharding, simhash, topk, warc
+from lodestone.llm import embedding_dedup, sharding, simhash, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +24,15 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), least=100).drop("url")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), shards=40, overhead=16)
 
 
-ALL = [op1_simhash, op3_top_k, op5_warc, op9_sharding]
+ALL = [op1_simhash, op3_top_k, op5_warc, op7_embedding_dedup, op9_sharding]
 
 ORACLE = {
     "op3_top_k": """
@@ -56,4 +60,22 @@ ORACLE = {
                case when page_id is distinct from first then first end as refers_to
         from rows left join firsts using (payload_digest)
     """,
+    "op7_embedding_dedup": """
+        with recursive usable as (
+            select vec_id, label, embedding::double[] as x from embeddings
+            where embedding is not null and label is not null
+              and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+              and len(list_filter(embedding, lambda c: c <> 0)) > 0),
+        links as (
+            select a.vec_id as u, b.vec_id as v from usable a
+            join usable b on a.label = b.label and a.vec_id <> b.vec_id and len(a.x) = len(b.x)
+            where list_cosine_similarity(a.x, b.x) >= 0.98),
+        reach as (
+            select vec_id as u, vec_id as v from embeddings
+            union select reach.u, links.v from reach join links on reach.v = links.u),
+        named as (select u as vec_id, min(v) as component_id from reach group by u)
+        select vec_id, (select count(*) from links where u = vec_id)::bigint as n_links, component_id,
+               vec_id = component_id as kept
+        from named
+    """,
 }
