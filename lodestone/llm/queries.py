@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestone.llm import embedding_dedup, sharding, simhash, topk, warc
+from lodestone.llm import embedding_dedup, line_dedup, sharding, simhash, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +28,16 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicate_lines(_table(spark, sf_dir, "documents"), percent=80)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), shards=40, overhead=16)
 
 
-ALL = [op1_simhash, op3_top_k, op5_warc, op7_embedding_dedup, op9_sharding]
+ALL = [op1_simhash, op3_top_k, op5_warc, op7_embedding_dedup, op8_line_dedup, op9_sharding]
 
 ORACLE = {
     "op3_top_k": """
@@ -78,4 +83,28 @@ ORACLE = {
                vec_id = component_id as kept
         from named
     """,
+    "op8_line_dedup": """
+        with lines as (
+            select doc_id, number - 1 as number, line,
+                   list_sort(list_distinct(list_filter(
+                       regexp_split_to_array(lower(line), '[\\x09-\\x0D ]+'), lambda w: w <> ''))) as words
+            from (select doc_id, unnest(string_split(text, chr(10))) as line,
+                         generate_subscripts(string_split(text, chr(10)), 1) as number
+                  from documents where text is not null)),
+        sets as (
+            select words, len(words) as n, min((doc_id, number)) as first from lines where len(words) > 0 group by words),
+        matched as (
+            select distinct a.first from sets a join sets b
+            on b.first < a.first and 5 * b.n >= 4 * a.n and 5 * a.n >= 4 * b.n
+            where 5 * len(list_intersect(a.words, b.words))
+                  >= 4 * (a.n + b.n - len(list_intersect(a.words, b.words)))),
+        kept as (select first from sets where first not in (select first from matched)),
+        judged as (
+            select doc_id, number, line, len(words) > 0 as counted,
+                   len(words) > 0 and (doc_id, number) not in (select first from kept) as removed
+            from lines)
+        select d.doc_id, count(*) filter (counted)::int as n_lines, count(*) filter (removed)::int as n_removed,
+               sha256(coalesce(string_agg(line, chr(10) order by number) filter (not removed), '')) as kept_sha256
+        from documents d left join judged j on d.doc_id = j.doc_id group by d.doc_id
+    """,
 }
