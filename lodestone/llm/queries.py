@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestone.llm import embedding_dedup, line_dedup, sharding, simhash, topk, warc
+from lodestone.llm import embedding_dedup, line_dedup, repeats, sharding, simhash, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), least=100).drop("url")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"), width=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
@@ -37,7 +42,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), shards=40, overhead=16)
 
 
-ALL = [op1_simhash, op3_top_k, op5_warc, op7_embedding_dedup, op8_line_dedup, op9_sharding]
+ALL = [op1_simhash, op3_top_k, op5_warc, op6_suffix_dedup, op7_embedding_dedup, op8_line_dedup, op9_sharding]
 
 ORACLE = {
     "op3_top_k": """
