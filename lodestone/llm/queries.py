@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestone.llm import embedding_dedup, line_dedup, repeats, sharding, simhash, topk, warc
+from lodestone.llm import embedding_dedup, language, line_dedup, mixing, pieces, repeats, sharding, simhash, topk, warc
+
+#: Target shares of all tokens, and the SentencePiece model that texts are encoded with.
+MIX = {"high": 0.82, "low": 0.13, "toxic": 0.05}
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +20,22 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = _table(spark, sf_dir, "documents"), language.fold("doc_id")
+    found = language.predict(docs, language.fit(docs, fold != 2))
+    return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, _ = mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), MIX)
+    shares = [F.col("posterior")[k].alias(f"p_{name}") for k, name in enumerate(mixing.DOMAINS)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), least=100).drop("url")
 
@@ -42,7 +58,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), shards=40, overhead=16)
 
 
-ALL = [op1_simhash, op3_top_k, op5_warc, op6_suffix_dedup, op7_embedding_dedup, op8_line_dedup, op9_sharding]
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(_table(spark, sf_dir, "documents"), MODEL, n=2)
+    digest = F.sha2(F.array_join("piece_ids", " "), 256).alias("ids_sha256")
+    return coded.select("doc_id", F.size("piece_ids").alias("n_pieces"), digest, "piece_score", "next_score", "decodes")
+
+
+ALL = [op1_simhash, op2_language, op3_top_k, op4_mixing, op5_warc, op6_suffix_dedup, op7_embedding_dedup, op8_line_dedup, op9_sharding, op10_pieces]
 
 ORACLE = {
     "op3_top_k": """
