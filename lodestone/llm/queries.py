@@ -114,17 +114,25 @@ ORACLE = {
         with lines as (
             select doc_id, number - 1 as number, line,
                    list_sort(list_distinct(list_filter(
-                       regexp_split_to_array(lower(line), '[\\x09-\\x0D ]+'), lambda w: w <> ''))) as words
+                       regexp_split_to_array(line, '[\\x09-\\x0D ]+'), lambda w: w <> ''))) as words
             from (select doc_id, unnest(string_split(text, chr(10))) as line,
                          generate_subscripts(string_split(text, chr(10)), 1) as number
                   from documents where text is not null)),
         sets as (
             select words, len(words) as n, min((doc_id, number)) as first from lines where len(words) > 0 group by words),
+        words as (select first, n, unnest(words) as word from sets),
+        counted as (select word, count(*) as df from words group by word),
+        heads as (
+            select * from (
+                select first, n, word, row_number() over (partition by first order by df, word) as place
+                from words join counted using (word))
+            where place <= n - ceil(0.8 * n) + 1),
+        met as (
+            select distinct a.first as later, b.first as earlier from heads a join heads b
+            on a.word = b.word and b.first < a.first and 5 * b.n >= 4 * a.n and 5 * a.n >= 4 * b.n),
         matched as (
-            select distinct a.first from sets a join sets b
-            on b.first < a.first and 5 * b.n >= 4 * a.n and 5 * a.n >= 4 * b.n
-            where 5 * len(list_intersect(a.words, b.words))
-                  >= 4 * (a.n + b.n - len(list_intersect(a.words, b.words)))),
+            select distinct later as first from met join sets a on a.first = later join sets b on b.first = earlier
+            where 9 * len(list_intersect(a.words, b.words)) >= 4 * (a.n + b.n)),
         kept as (select first from sets where first not in (select first from matched)),
         judged as (
             select doc_id, number, line, len(words) > 0 as counted,
