@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lodestone.session import discard, durable
 
 #: Places of hashed tokens, and labelled rows of each domain that the classifier learns from (about).
-PLACES = 1 << 14
+PLACES = 1 << 18
 SAMPLE = 2_000
+#: Tokens of fewer labelled rows are not learned from.
+LEAST = 3
 EPOCHS, BATCH, STEP = 12, 64, 0.5
 #: How strongly rates are held to 1, projected-gradient steps at most, and when they end.
 HOLD = 1e-3
@@ -57,6 +59,8 @@ def train(rows: list[np.ndarray], labels: np.ndarray, domains: tuple[str, ...],
     weights, seen = np.zeros((PLACES + 1, len(domains))), np.full((PLACES + 1, 1), 1e-8)
     shares = np.bincount(labels, minlength=len(domains)) / max(1, len(labels))
     weights[-1] = np.log(np.maximum(shares, 1e-3))
+    held = np.bincount(np.concatenate(rows), minlength=PLACES)
+    rows = [places[held[places] >= LEAST] for places in rows]
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
@@ -64,22 +68,22 @@ def train(rows: list[np.ndarray], labels: np.ndarray, domains: tuple[str, ...],
             error = np.stack([_posterior(weights, rows[k]) for k in part])
             error[np.arange(len(part)), labels[part]] -= 1
             sizes = [len(rows[k]) for k in part]
-            places = np.concatenate([rows[k] for k in part])
-            slope = np.zeros_like(weights)
-            np.add.at(slope, places, np.repeat(error * _scale(np.array(sizes))[:, None], sizes, axis=0))
+            touched, inverse = np.unique(np.concatenate([*(rows[k] for k in part), [PLACES]]), return_inverse=True)
+            slope = np.zeros((len(touched), len(domains)))
+            np.add.at(slope, inverse[:-1], np.repeat(error * _scale(np.array(sizes))[:, None], sizes, axis=0))
             slope[-1] = error.sum(axis=0) * 0.1
-            slope += 1e-4 * weights
-            seen += (slope * slope).mean(axis=1, keepdims=True)
-            weights -= STEP * slope / np.sqrt(seen)
-    return Classifier(weights, domains)
+            slope += 1e-4 * weights[touched]
+            seen[touched] += (slope * slope).mean(axis=1, keepdims=True)
+            weights[touched] -= STEP * slope / np.sqrt(seen[touched])
+    return Classifier(weights.astype(np.float32), domains)
 
 
 def _scale(n: np.ndarray) -> np.ndarray:
-    return 4.0 / np.sqrt(np.maximum(n, 16))
+    return 8.0 / np.sqrt(np.maximum(n, 16))
 
 
 def _posterior(weights: np.ndarray, places: np.ndarray) -> np.ndarray:
-    x = weights[places].sum(axis=0) * _scale(np.array(len(places))) + weights[-1]
+    x = weights[places].sum(axis=0, dtype=np.float64) * _scale(np.array(len(places))) + weights[-1]
     e = np.exp(x - x.max())
     return e / e.sum()
 
@@ -186,9 +190,14 @@ def fit_rates(rated: DataFrame, targets: dict[str, float]) -> Fit:
 
 
 def mix(
-    docs: DataFrame, labels: DataFrame, targets: dict[str, float], doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: dict[str, float],
+    doc_id: str = "doc_id",
+    text: str = "text",
+    columns: list[str] | None = None,
 ) -> tuple[DataFrame, Fit]:
-    """``docs`` with ``n_tokens``, ``posterior``, ``rate`` and ``copies``, and the fit.
+    """``docs``, or the named columns of it, with ``n_tokens``, ``posterior``, ``rate`` and ``copies``, and the fit.
 
     Domain posteriors come from a classifier learned on the labelled table; rates are
     nonnegative and make the expected tokens of each domain match its target share of all
@@ -200,11 +209,12 @@ def mix(
     """
     model = fit_classifier(docs, labels, doc_id, text)
     new = ("n_tokens", "posterior", "rate", "copies")
-    plain = docs.select(*[c for c in docs.columns if c not in new])
-    rated = posteriors(plain, model, text)
-    narrow = durable(rated.select("n_tokens", "posterior"), "mixing-posteriors")
-    fit = fit_rates(narrow, targets)
-    discard(narrow)
+    kept = [c for c in (docs.columns if columns is None else columns) if c not in new]
+    # Written once, as texts are costly to read; every step reads its two narrow columns only.
+    ticket = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit(33)), F.lit(1 << 30)).alias("_ticket")
+    rated = posteriors(docs, model, text).select(*kept, "n_tokens", "posterior", ticket)
+    rated = durable(rated, "mixing-posteriors")
+    fit = fit_rates(rated, targets)
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
@@ -212,6 +222,6 @@ def mix(
             yield pa.array(rates(p, fit.residuals)[0])
 
     rated = rated.withColumn("rate", F.arrow_udf(run, "double")("posterior"))
-    chance = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit(33)), F.lit(1 << 30)) / float(1 << 30)
     whole = F.floor("rate")
-    return rated.withColumn("copies", (whole + (chance < F.col("rate") - whole).cast("long")).cast("int")), fit
+    copies = whole + (F.col("_ticket") / float(1 << 30) < F.col("rate") - whole).cast("long")
+    return rated.withColumn("copies", copies.cast("int")).drop("_ticket"), fit

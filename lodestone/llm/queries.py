@@ -31,7 +31,7 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed, _ = mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), MIX)
+    mixed, _ = mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), MIX, columns=["doc_id"])
     shares = [F.col("posterior")[k].alias(f"p_{name}") for k, name in enumerate(mixing.DOMAINS)]
     return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
 

@@ -1,0 +1,109 @@
+"""Registered queries against their SQL, or against brute force, on whole small tables."""
+
+import hashlib
+
+import duckdb
+import pytest
+import xxhash
+
+import corpus_pipeline
+from check import TABLES, rows_of
+from fixtures import AWKWARD, documents, empty
+from lodestone.llm import queries as Q
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
+    return connection
+
+
+def test_all_ten_are_registered():
+    assert [q.__name__.split("_")[0] for q in Q.ALL] == [f"op{n}" for n in range(1, 11)]
+
+
+@pytest.mark.parametrize("name", list(Q.ORACLE))
+def test_query_equals_sql(spark, db, name):
+    query = next(q for q in Q.ALL if q.__name__ == name)
+    ours, theirs = query(spark, SF).toArrow(), db.sql(Q.ORACLE[name]).to_arrow_table()
+    assert sorted(ours.column_names) == sorted(theirs.column_names)
+    assert rows_of(ours) == rows_of(theirs)
+
+
+def test_op1_equals_brute_force(spark, db):
+    marks = {}
+    for doc_id, text in db.sql("select doc_id, text from documents").fetchall():
+        tokens = text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).encode().split()
+        shingles = [b" ".join(tokens[k : k + 4]) for k in range(max(1, len(tokens) - 3))] if tokens else []
+        hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+        marks[doc_id] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    names = {i: i for i in marks}
+    for _ in marks:
+        moved = {a: min(names[b] for b in marks if (marks[a] ^ marks[b]).bit_count() <= 4) for a in marks}
+        if moved == names:
+            break
+        names = moved
+    found = {r.doc_id: (r.fingerprint, r.component_id) for r in Q.op1_simhash(spark, SF).collect()}
+    assert found == {i: (f"{marks[i]:016x}", names[i]) for i in marks}
+
+
+def test_op2_has_every_document(spark, db):
+    found = {r.doc_id: r for r in Q.op2_language(spark, SF).collect()}
+    want = db.sql("select doc_id, lang from documents").fetchall()
+    assert set(found) == {i for i, _ in want}
+    held = [(i, lang) for i, lang in want if found[i].held_out]
+    assert held and sum(found[i].lang_pred == lang for i, lang in held) >= 0.95 * len(held)
+
+
+def test_op6_equals_brute_force(spark, db):
+    seen, want = set(), []
+    for doc_id, text in db.sql("select doc_id, text from documents order by doc_id").fetchall():
+        data = text.encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - 99):
+            if data[k : k + 100] in seen:
+                gone[k : k + 100] = b"\1" * 100
+            seen.add(data[k : k + 100])
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        spans = sum(1 for k in range(len(gone)) if gone[k] and (not k or not gone[k - 1]))
+        want.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    assert sorted(map(tuple, Q.op6_suffix_dedup(spark, SF).collect())) == want
+
+
+def test_op9_is_balanced(spark):
+    rows = Q.op9_sharding(spark, SF).collect()
+    sums = [sum(r.size for r in rows if r.shard == s) for s in range(40)]
+    assert min(sums) > 0 and {r.law for r in rows} == {"bytes"}
+
+
+def test_op10_decodes(spark):
+    assert all(r.decodes for r in Q.op10_pieces(spark, SF).collect())
+
+
+def test_pipeline_equals_its_stages(spark):
+    whole = corpus_pipeline.run(spark, SF).collect()
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = corpus_pipeline.known_language(spark, docs, SF)
+    assert first.columns == docs.columns and 0.9 * docs.count() <= first.count() <= docs.count()
+    second = corpus_pipeline.without_repeated_lines(spark, first, SF)
+    third = corpus_pipeline.without_near_duplicates(spark, second, SF)
+    fourth = corpus_pipeline.mixed(spark, third, SF)
+    assert second.columns == third.columns == fourth.columns == docs.columns
+    last = corpus_pipeline.encoded(spark, fourth, SF)
+    assert sorted(map(repr, whole)) == sorted(map(repr, last.collect()))
+    assert all(r.decodes and r.n_chars == len(r.text) for r in whole)
+    lines = [x for r in {r.doc_id: r for r in whole}.values() for x in r.text.split("\n") if x.strip()]
+    assert len(set(lines)) == len(lines)
+
+
+def test_pipeline_takes_awkward_rows(spark):
+    for table, least in ((documents(spark, AWKWARD), 1), (empty(spark), 0)):
+        docs = table
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SF)
+        assert docs.columns[: len(table.columns)] == table.columns
+        assert docs.count() >= least
