@@ -9,8 +9,12 @@ FALSY = r'^(?:null|false|""|\[\]|\{\}|-?0(?:\.0*)?(?:[eE].*)?)$'
 
 
 def is_one_value(text: Column) -> Column:
-    """True where the text holds one JSON value and nothing after it."""
-    return F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    """True where the text holds one JSON value and nothing after it.
+
+    A text that closes the array early has the same length in both, and so fails one.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return alone & (F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2)
 
 
 def parsed(text: Column) -> Column:
@@ -51,7 +55,7 @@ def map_pairs(text: Column) -> Column:
 
     Source order and repeated keys are kept, which VARIANT objects do not do.
     """
-    return F.map_entries(F.from_json(text, "map<string,variant>"))
+    return F.map_entries(F.from_json(text, "map<string,variant>", {"allowSingleQuotes": "false"}))
 
 
 def computed_once(df: DataFrame, **columns: Column) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from lodestone.functions import html as H
 from lodestone.functions.json import computed_once
 from lodestone.functions.urls import content_path
-from lodestone.operators.grouping import last_write_wins
 from lodestone.operators.skew import FEW_SALTS, salted_join
+from lodestone.session import durable
 
 # Fixed values used where nothing better is known.
 NO_CATEGORY = "Uncategorized"
@@ -40,9 +40,11 @@ def pages_to_markdown(pages: DataFrame) -> DataFrame:
 
 def fetch(requested: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages of the requested URLs as scrape items; the page id is the item position."""
-    wanted = pages.select(F.col("page_id").alias("item_pos"), "url", "html")
-    found = salted_join(wanted, requested.select("url"), ["url"], ["item_pos"], "left_semi")
-    return pages_to_markdown(found)
+    # Found on narrow rows, so that texts are moved for the pages asked for at most.
+    found = pages.select("page_id", "url").join(requested.select("url"), "url", "left_semi")
+    found = durable(found.select("page_id"), "found")
+    wanted = pages.join(found, "page_id", "left_semi")
+    return pages_to_markdown(wanted.select(F.col("page_id").alias("item_pos"), "url", "html"))
 
 
 def unmatched(requested: DataFrame, items: DataFrame) -> DataFrame:
@@ -113,7 +115,8 @@ def stored_documents(items: DataFrame, metadata: DataFrame) -> DataFrame:
 
     Winners are chosen on narrow rows; the texts are joined on once, by item.
     """
-    written = last_write_wins(metadata.select("content_path", "item_pos"), "content_path", "item_pos")
+    # Item positions are unique, so the largest of a path names its last document.
+    written = metadata.groupBy("content_path").agg(F.max("item_pos").alias("item_pos"))
     return items.select("item_pos", "markdown").join(written, "item_pos").select("item_pos", "content_path", "markdown")
 
 

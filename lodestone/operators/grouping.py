@@ -9,7 +9,7 @@ from lodestone.operators.skew import salted_join
 BLOCK_ROWS = 4096
 
 
-def _key(column: str):
+def group_key(column: str):
     """Group key that keeps a null group apart and joins by plain equality."""
     return F.when(F.col(column).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(column)))
 
@@ -19,7 +19,7 @@ def with_group_position(rows: DataFrame, group: str, pos: str) -> DataFrame:
 
     Ordering by that position, then by ``pos``, lists groups in first-seen order.
     """
-    keyed = rows.withColumn("_key", _key(group))
+    keyed = rows.withColumn("_key", group_key(group))
     groups = keyed.groupBy("_key").agg(F.min(pos).alias(f"{group}_pos"))
     return salted_join(keyed, groups, ["_key"], [pos]).drop("_key")
 

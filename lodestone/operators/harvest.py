@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from lodestone.functions.json import is_one_value
 from lodestone.functions.urls import is_valid_url
 
 # A string literal and, for an object key, the colon after it.
@@ -22,7 +23,7 @@ def harvest_urls(documents: DataFrame) -> DataFrame:
     values = F.filter(literals, lambda s: ~F.endswith(s, F.lit(":")))
     wrapped = F.concat(F.lit('{"v":'), F.col("_literal"), F.lit("}"))
     return (
-        documents.select("doc", F.posexplode(values).alias("_pos", "_literal"))
+        documents.where(is_one_value(F.col("content"))).select("doc", F.posexplode(values).alias("_pos", "_literal"))
         .select("doc", "_pos", F.get_json_object(wrapped, "$.v").alias("url"))
         .where(is_valid_url(F.col("url")))
         .withColumnRenamed("_pos", "value_pos")
@@ -54,9 +55,10 @@ def _candidates(content: pd.Series) -> pd.Series:
         found: list[dict] = []
         try:
             _walk(json.loads(text), found)
-        except (TypeError, ValueError):
+        except (TypeError, ValueError, RecursionError):
             return None
-        return found
+        # A lone surrogate is no text that Arrow could hold.
+        return [{**x, "url": x["url"].encode("utf-8", "replace").decode()} for x in found]
 
     return content.map(one)
 

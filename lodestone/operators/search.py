@@ -33,7 +33,8 @@ SECOND_RESULT_COUNT = 5
 BM25_K1 = 1.2
 BM25_B = 0.75
 
-IMPACT_UNIT = 1_000_000
+# A word on all of a billion pages still weighs some units.
+IMPACT_UNIT = 10_000_000_000
 MATCH_UNIT = 1 << 32
 SPLIT_ROWS = 65_536
 SPLIT_PAIRS = 10_000_000
@@ -141,13 +142,17 @@ def page_scopes(documents: DataFrame, scopes: DataFrame) -> DataFrame:
 
 
 def bm25_impacts(index: PageIndex, postings: DataFrame) -> DataFrame:
-    """Add ``impact`` to postings: BM25 weights in millionths, rounded per word."""
+    """Add ``impact`` to postings: BM25 weights in whole units, rounded per word, 1 at least.
+
+    So no page that holds a word is lost, however common the word is.
+    """
     corpus = index.documents.agg(F.count(F.lit(1)).alias("_n"), F.avg("n_words").alias("_avg"))
     idf = F.log(1 + (F.col("_n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("n_words") / F.col("_avg")
     weight = idf * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + BM25_K1 * norm)
     rows = postings.crossJoin(F.broadcast(corpus))
-    return rows.withColumn("impact", F.round(weight * IMPACT_UNIT).cast("long")).drop("_n", "_avg").where("impact > 0")
+    impact = F.greatest(F.lit(1), F.round(weight * IMPACT_UNIT)).cast("long")
+    return rows.withColumn("impact", impact).drop("_n", "_avg")
 
 
 def match_impacts(index: PageIndex, postings: DataFrame) -> DataFrame:
@@ -180,12 +185,14 @@ def _read_all(terms: DataFrame, scoped: DataFrame) -> DataFrame:
     A word in many queries is split so that no task makes more than SPLIT_PAIRS rows:
     its queries are dealt out to the parts and its pages go to each of them.
     """
-    parts = F.ceil(F.col("df") * F.col("m") / F.lit(SPLIT_PAIRS)).cast("int")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n") * F.col("m") / F.lit(SPLIT_PAIRS))).cast("int")
     asking = terms.select(
         "query_id", "scope", "token", F.pmod(F.xxhash64("query_id"), parts).cast("int").alias("part")
     )
     every = F.explode(F.sequence(F.lit(0), parts - 1))
-    lists = scoped.select("scope", "token", "page_id", "impact", every.alias("part"))
+    sizes = terms.select("scope", "token", "n", "m").distinct()
+    sized = salted_join(scoped.select("scope", "token", "page_id", "impact"), sizes, ["scope", "token"], ["page_id"], "inner")
+    lists = sized.select("scope", "token", "page_id", "impact", every.alias("part"))
     return asking.join(lists, ["scope", "token", "part"]).select("query_id", "page_id", "impact")
 
 
@@ -216,9 +223,7 @@ def top_pages(queries: DataFrame, index: PageIndex, weigh: Weigh, k: int, short_
     terms = salted_join(asked, stats, ["scope", "token"], ["query_id"], "inner").withColumn("reach", reach)
     terms = durable(terms, "terms")
     short, long = terms.where(F.col("reach") <= short_lists), terms.where(F.col("reach") > short_lists)
-    scores = _total(_read_all(short, scoped))
-    if not long.isEmpty():
-        scores = scores.unionByName(_floor_scores(long, scoped, k))
+    scores = _total(_read_all(short, scoped)).unionByName(_floor_scores(long, scoped, k))
     return (
         scores.withColumn("rank", F.row_number().over(_best()))
         .where(F.col("rank") <= k)
@@ -285,8 +290,8 @@ def _above_shares(shares: DataFrame, scoped: DataFrame) -> DataFrame:
     band = ["scope", "token", "level"]
     levels = F.sequence(_level(F.greatest("share", "low")), _level(F.col("top")))
     reads = shares.where((F.col("share") < F.col("top")) | F.col("edge")).withColumn("level", F.explode(levels))
-    readers = reads.groupBy(*band).agg(F.count(F.lit(1)).alias("readers"))
-    pieces = F.ceil(F.col("df") / F.lit(SPLIT_ROWS)).cast("int")
+    readers = reads.groupBy(*band).agg(F.count(F.lit(1)).alias("readers"), F.max("n").alias("listed"))
+    pieces = F.ceil(F.col("listed") / F.lit(SPLIT_ROWS)).cast("int")
     parts = F.ceil(F.col("readers") * F.lit(SPLIT_ROWS) / F.lit(SPLIT_PAIRS)).cast("int")
     asking = salted_join(reads, readers, band, ["query_id"], "inner").select(
         "query_id",

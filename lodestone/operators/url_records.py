@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lodestone.functions import json as J
 from lodestone.functions.text import category_slug
 from lodestone.functions.urls import is_valid_url
+from lodestone.operators.grouping import group_key
 from lodestone.operators.skew import salted_join
 
 NO_CATEGORY = "Uncategorized"
@@ -172,10 +173,10 @@ def filed_results(results: DataFrame, pos: str) -> DataFrame:
 
     When two categories share a slug, the file of the later one replaces the other's.
     """
-    filed = results.withColumn("file_path", category_slug(F.col("category")))
-    categories = filed.groupBy("file_path", "category").agg(F.min(pos).alias("_first"))
-    written = categories.groupBy("file_path").agg(F.max_by("category", "_first").alias("category"))
-    return salted_join(filed, written, ["file_path", "category"], [pos], "left_semi")
+    filed = results.withColumn("file_path", category_slug(F.col("category"))).withColumn("_key", group_key("category"))
+    categories = filed.groupBy("file_path", "_key").agg(F.min(pos).alias("_first"))
+    written = categories.groupBy("file_path").agg(F.max_by("_key", "_first").alias("_key"))
+    return salted_join(filed, written, ["file_path", "_key"], [pos], "left_semi").drop("_key")
 
 
 def result_records(filed: DataFrame, pos: str) -> DataFrame:

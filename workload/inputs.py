@@ -167,7 +167,6 @@ def question_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     inner = F.when(kind == 0, good).when(kind == 1, F.lit("[]")).otherwise(F.lit("{oops"))
     return (
         table(spark, sf_dir, "conversations")
-        .where("turn < 7")
         .select(
             F.col("conv_id").alias("topic_id"),
             (F.col("turn") + 1).alias("attempt"),

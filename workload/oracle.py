@@ -91,7 +91,7 @@ CTE = {
     "post": "select page_id, token, count(*) as tf from tok group by page_id, token",
     "sizes": "select md.page_id, md.url, coalesce(sum(tf), 0)::bigint as n_words from md left join post using (page_id) group by md.page_id, md.url",
     "imp": """select p.token, p.page_id,
-        round(ln(1 + (n - df + 0.5::double) / (df + 0.5::double)) * tf * (1.2::double + 1) / (tf + 1.2::double * ((1 - 0.75::double) + 0.75::double * n_words / mean)) * 1000000)::bigint as impact
+        greatest(1, round(ln(1 + (n - df + 0.5::double) / (df + 0.5::double)) * tf * (1.2::double + 1) / (tf + 1.2::double * ((1 - 0.75::double) + 0.75::double * n_words / mean)) * 10000000000))::bigint as impact
         from post p join sizes using (page_id)
         join (select token, count(*) as df from post group by token) using (token),
         (select count(*) as n, avg(n_words) as mean from sizes)""",
@@ -105,7 +105,7 @@ CTE = {
     "firsts": "select category, min(pos) as first_pos from cat group by category",
     "att": """select conv_id as topic_id, turn + 1 as attempt, text as question,
         case (conv_id + turn) % 3 when 0 then 'ok' when 1 then 'empty' else 'bad_json' end as decode_status
-        from conversations where turn < 7""",
+        from conversations""",
     "chosen": """select topic_id, min(attempt) filter (decode_status = 'ok') as attempt, count(*) as n_tried from att where attempt <= 5 group by topic_id""",
     "gen": "select topic_id, attempt, question from chosen join att using (topic_id, attempt)",
 }
@@ -146,7 +146,7 @@ def _ranked(asked: str, k: int, impacts: str = "imp") -> str:
         select *, row_number() over (partition by qid order by score desc, page_id) as rank from (
         select qid, page_id, any_value(url) as url, sum(impact)::bigint as score
         from {asked} a join {impacts} using (token) join places p using (page_id)
-        where impact > 0 and (site = '' or host = site or ends_with(host, '.' || site)) and (filetype = '' or ext = filetype)
+        where (site = '' or host = site or ends_with(host, '.' || site)) and (filetype = '' or ext = filetype)
         group by qid, page_id)) where rank <= {k}"""
 
 
@@ -268,7 +268,7 @@ def all_sql() -> dict[str, str]:
         ),
         "page_words": _sql("post sizes", "select token, page_id, tf, n_words from post join sizes using (page_id)"),
         "word_frequency": _sql("post", "select token, count(*) as df from post group by token"),
-        "bm25_impacts": _sql("imp", "select token, page_id, impact from imp where impact > 0"),
+        "bm25_impacts": _sql("imp", "select token, page_id, impact from imp"),
         "corpus_top_k": _sql(searched, "select qid, page_id, score, rank from (" + _ranked(_asked("question"), 10) + ")"),
         "matches_top_k": _sql(
             "q mimp places", "select qid, page_id, score, rank from (" + _ranked(_asked("question"), 5, "mimp") + ")"

@@ -17,7 +17,7 @@ from lodestone.operators import replies as R
 from lodestone.operators import search as S
 from lodestone.operators import url_records as U
 from lodestone.plans import jobs
-from lodestone.session import shared_dir
+from lodestone.session import durable, run_dir
 from lodestone.sources import files, sinks
 from workload import inputs as I
 
@@ -156,7 +156,10 @@ def fetched_pages(spark, sf):
 
 
 def capture_summary(spark, sf):
-    return C.stage_summary(_web(spark, sf), U.distinct_urls(_web(spark, sf)), _metadata(spark, sf))
+    web = durable(_web(spark, sf), "web")
+    paths = I.url_documents(spark, sf).select("file_path")
+    metadata = C.capture_metadata(_items(spark, sf), U.url_dimension(web), paths)
+    return C.stage_summary(web, U.distinct_urls(web), metadata)
 
 
 # Metadata and report
@@ -428,7 +431,7 @@ def harvest_urls_pdf(spark, sf):
 
 
 def _fresh(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def url_files_roundtrip(spark, sf):
