@@ -7,6 +7,7 @@ import math
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 from operator import itemgetter
 from typing import NamedTuple
 
@@ -17,14 +18,14 @@ from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"
 #: Segmentations that a task keeps, the first it meets; others are made again each time.
-CACHED = 250_000
+CACHED = 500_000
 LONGEST_CACHED = 48
 #: What an uncovered character costs more than the worst piece.
 UNCOVERED = 10.0
 
 
 class Vocabulary(NamedTuple):
-    trie: dict  # by character; a piece ends where "" holds its (id, score)
+    trie: dict  # by character: (the trie below, id and score of the piece that ends here, or None)
     bytes_at: list[int]  # id of each byte's piece
     spelled: list[bytes]  # by id: a piece's bytes, none for marks
     bare: frozenset[int]  # ids of the bytes' pieces
@@ -61,56 +62,60 @@ def load(path: str) -> Vocabulary:
         chunk = f"{SPACE}*{other}(?:[^{SPACE}{alone}{signs}]+|(?<![^\\W\\d_])[{signs}])*|{SPACE}+|[{alone or SPACE}]"
     penalty = min(score for _, score in pieces.values()) - UNCOVERED
     trie: dict = {}
-    for piece, entry in pieces.items():
-        node = trie
-        for c in piece:
-            node = node.setdefault(c, {})
-        node[""] = entry
+    for piece in sorted(pieces):
+        below = trie
+        for end, c in enumerate(piece, 1):
+            if c not in below:
+                below[c] = ({}, pieces.get(piece[:end]))
+            below = below[c][0]
     return Vocabulary(trie, [order[b] for b in range(256)], spelled, frozenset(order.values()), penalty, chunk)
 
 
-def segmentations(chunk: str, words: Vocabulary, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The ``n`` best ways to cut ``chunk`` into pieces, best first: ``(score, ids)``.
+def ranked_paths(chunk: str, words: Vocabulary, several: bool = True) -> Iterator[tuple[float, tuple[int, ...], float | None]]:
+    """All ways to cut ``chunk`` into pieces, best first: ``(score, ids, score of the next)``.
 
     A forward Viterbi pass gives the best score of every prefix. A* then grows paths from
     the end to the start; a path's own score plus the best score of what is left to its
-    left is exactly what it can reach, so paths come out in order. A character without a
-    piece is an edge of its own, spelled in bytes.
+    left is exactly what it can reach, so paths come out in order, and the best bound
+    that waits is the next path's score. A character without a piece is an edge of its
+    own, spelled in bytes. Unless ``several``, only the best way comes.
     """
     length, root = len(chunk), words.trie
     best = [0.0] + [-1e300] * length
     into: list[list] = [[] for _ in range(length + 1)]
     for start in range(length):
-        score, node, covered = best[start], root, False
-        for end in range(start, length):
-            node = node.get(chunk[end])
+        score, below, end = best[start], root, start
+        covered = chunk[start] in root and root[chunk[start]][1] is not None
+        while end < length:
+            node = below.get(chunk[end])
             if node is None:
                 break
-            piece = node.get("")
+            below, piece = node
+            end += 1
             if piece is not None:
-                into[end + 1].append((start, *piece))
-                reach = score + piece[1]
-                if reach > best[end + 1]:
-                    best[end + 1] = reach
-                covered = covered or end == start
+                number, gain = piece
+                into[end].append((start, number, gain))
+                if score + gain > best[end]:
+                    best[end] = score + gain
         if not covered:
             into[start + 1].append((start, -1 - start, words.penalty))
             if score + words.penalty > best[start + 1]:
                 best[start + 1] = score + words.penalty
-    heap, count, out = [(-best[length], 0, length, 0.0, None)], 0, []
+    heap, count = [(-best[length], 0, length, 0.0, None)], 0
     while heap:
         bound, _, place, score, path = heapq.heappop(heap)
+        reachable = -bound
         # Follow the best edge at once; only the others wait their turn.
         while place:
             chosen = None
             for start, piece, gain in into[place]:
-                reach = best[start] + score + gain
-                if chosen is None and reach == -bound:
+                reach = best[start] + (score + gain)
+                if chosen is None and reach == reachable:
                     chosen = (start, score + gain, (piece, path))
-                elif n > 1:
+                elif several:
                     count += 1
                     heapq.heappush(heap, (-reach, count, start, score + gain, (piece, path)))
-            if chosen is None:  # rounding kept the bound out of reach
+            if chosen is None:  # sums of the other order differ in their last digit; the paths wait under their own
                 break
             place, score, path = chosen
         if place:
@@ -122,23 +127,26 @@ def segmentations(chunk: str, words: Vocabulary, n: int) -> list[tuple[float, tu
                 ids.append(piece)
             else:
                 ids.extend(words.bytes_at[b] for b in chunk[-1 - piece].encode("utf-8", "surrogatepass"))
-        out.append((score, tuple(ids)))
-        if len(out) == n:
-            break
-    return out
+        yield score, tuple(ids), -heap[0][0] if heap else None
+        if not several:
+            return
+
+
+def segmentations(chunk: str, words: Vocabulary, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """The ``n`` best ways to cut ``chunk`` into pieces, best first: ``(score, ids)``."""
+    return [(score, ids) for score, ids, _ in islice(ranked_paths(chunk, words, n > 1), n)]
 
 
 class _Known(dict):
-    """Segmented chunks: ``(ids as bytes, best score, loss of the second best, all of the N best)``."""
+    """Segmented chunks: ``(ids as bytes, best score, loss of the second best)``."""
 
     def __init__(self, words: Vocabulary, n: int):
         super().__init__()
         self.words, self.n = words, n
 
     def __missing__(self, chunk: str) -> tuple:
-        found = segmentations(chunk, self.words, self.n)
-        loss = found[0][0] - found[1][0] if len(found) > 1 else math.inf
-        entry = (array("i", found[0][1]).tobytes(), found[0][0], loss, found)
+        score, ids, following = next(ranked_paths(chunk, self.words, self.n > 1))
+        entry = (array("i", ids).tobytes(), score, math.inf if following is None else score - following)
         if len(self) < CACHED and len(chunk) <= LONGEST_CACHED:
             self[chunk] = entry
         return entry
@@ -150,19 +158,24 @@ class Encoder:
     def __init__(self, words: Vocabulary, n: int = 1):
         self.words, self.n, self.known = words, n, _Known(words, n)
         self.cut = re.compile(words.chunk).findall
+        self.mark = tuple(words.bytes_at[b] for b in SPACE.encode())
 
-    def chunks(self, text: str) -> list[tuple]:
-        """The text's chunks, segmented. A space mark in the text itself is spelled in bytes."""
-        if not text:
-            return []
-        spelled = tuple(self.words.bytes_at[b] for b in SPACE.encode())
-        mark = (array("i", spelled).tobytes(), self.words.penalty, math.inf, [(self.words.penalty, spelled)])
-        out = []
+    def cuts(self, text: str) -> Iterator[list[str] | None]:
+        """Lists of the text's chunks; None stands for a space mark in the text itself, which is spelled in bytes."""
         for number, part in enumerate(text.split(SPACE)):
             if number:
-                out.append(mark)
+                yield None
             # As the model does, a space mark goes before the text.
-            out += map(self.known.__getitem__, self.cut(("" if number else SPACE) + part.replace(" ", SPACE)))
+            yield self.cut(("" if number else SPACE) + part.replace(" ", SPACE))
+
+    def chunks(self, text: str) -> list[tuple]:
+        """The text's chunks, segmented, as ``_Known`` has them."""
+        out: list[tuple] = []
+        for cut in self.cuts(text) if text else ():
+            if cut is None:
+                out.append((array("i", self.mark).tobytes(), self.words.penalty, math.inf))
+            else:
+                out += map(self.known.__getitem__, cut)
         return out
 
     def n_best(self, text: str) -> list[tuple[float, list[int]]]:
@@ -171,7 +184,9 @@ class Encoder:
         Chunks are independent, so the n best take their alternatives from the at most
         ``n - 1`` chunks whose second choice costs least.
         """
-        lists = [x[3] for x in self.chunks(text)]
+        lists: list[list] = []
+        for cut in self.cuts(text) if text else ():
+            lists += [[(self.words.penalty, self.mark)]] if cut is None else [segmentations(c, self.words, self.n) for c in cut]
         score = sum(x[0][0] for x in lists)
         cheap = heapq.nsmallest(self.n - 1, (k for k, x in enumerate(lists) if len(x) > 1), key=lambda k: lists[k][0][0] - lists[k][1][0])
         plans = [(0.0, {})]

@@ -16,13 +16,13 @@ def words():
 def all_ways(chunk, words):
     if not chunk:
         return [(0.0, ())]
-    out, node, covered = [], words.trie, False
+    out, below, covered = [], words.trie, False
     for end, c in enumerate(chunk, 1):
-        node = node.get(c)
-        if node is None:
+        if c not in below:
             break
-        if "" in node:
-            number, score = node[""]
+        below, piece = below[c]
+        if piece:
+            number, score = piece
             covered = covered or end == 1
             out += [(score + s, (number, *ids)) for s, ids in all_ways(chunk[end:], words)]
     if not covered:
