@@ -24,7 +24,7 @@ def bm25(pages):
         for token in set(found):
             tf, idf = found.count(token), math.log(1 + (len(pages) - df[token] + 0.5) / (df[token] + 0.5))
             weight = idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(found) / mean))
-            impacts[token, page] = math.floor(weight * 1_000_000 + 0.5)
+            impacts[token, page] = max(1, math.floor(weight * 10_000_000_000 + 0.5))
     return impacts
 
 
@@ -144,3 +144,12 @@ def test_no_task_reads_a_whole_common_word(spark, monkeypatch):
     queries = S.with_search_terms(spark.createDataFrame(asked, "query_id long, query string"))
     assert S.top_pages(queries, index, S.bm25_impacts, 3, short_lists=0).count() == 300
     assert seen["found"].count() < 100 * 10
+
+
+def test_a_word_on_all_pages_of_a_large_corpus_keeps_them(spark):
+    documents = spark.range(2_000_000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit(4).cast("long").alias("n_words"))
+    postings = documents.where("page_id < 50").select(F.lit("every").alias("token"), "page_id", F.lit(1).cast("long").alias("tf"), "n_words")
+    counted = postings.withColumn("df", F.lit(2_000_000).cast("long"))
+    index = S.PageIndex(documents, postings, counted.select("token", "df").distinct())
+    impacts = [r.impact for r in S.bm25_impacts(index, counted).collect()]
+    assert len(impacts) == 50 and min(impacts) > 1_000
