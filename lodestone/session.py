@@ -49,6 +49,10 @@ def run_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/lodestone-{spark.sparkContext.applicationId}"
 
 
+#: Shuffle files of a statement go when it ends, rather than when the driver collects garbage.
+SHUFFLE_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -56,8 +60,13 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     lost executor loses none of it, and readers prune its columns. ``discard`` drops
     one such table, ``clean_up`` all of the application.
     """
-    path = f"{run_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path, conf = f"{run_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}", df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEAN_UP, "false")
+    conf.set(SHUFFLE_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(SHUFFLE_CLEAN_UP, before)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.durable_path = path
     return table
