@@ -9,24 +9,31 @@ from pyspark.sql import DataFrame, functions as F
 from lodestone.operators.url_records import filed_results
 
 FILE_ROWS = 1_000_000
+# Files of one folder at least where it has many rows: a folder is shared by so many tasks.
+FOLDER_TASKS = 8
 
 
 def _filed(results: DataFrame, pos: str) -> DataFrame:
     return filed_results(results, pos).withColumn("slug", F.regexp_replace("file_path", r"\.json$", "")).drop("file_path")
 
 
+def _by_folder(rows: DataFrame, folders: list[str], pos: str) -> DataFrame:
+    """Rows of a folder in a few tasks, so that the number of files doesn't grow with that of tasks."""
+    return rows.repartition(*folders, F.pmod(F.xxhash64(pos), F.lit(FOLDER_TASKS)))
+
+
 def write_results(results: DataFrame, target: str, pos: str = "qid") -> None:
     """Search results as JSON lines in one folder per category slug.
 
     A folder replaced by a later category with the same slug holds that category only.
     """
-    rows = _filed(results, pos)
+    rows = _by_folder(_filed(results, pos), ["slug"], pos)
     rows.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy("slug").json(target)
 
 
 def write_engine_results(results: DataFrame, target: str, pos: str = "qid") -> None:
     """Results of several engines, one folder per engine and slug."""
-    rows = _filed(results, pos)
+    rows = _by_folder(_filed(results, pos), ["engine", "slug"], pos)
     rows.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy("engine", "slug").json(target)
 
 

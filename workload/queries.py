@@ -29,7 +29,7 @@ TOPIC_TEMPLATE = "List questions about {topic}."
 _indexes: dict[tuple[str, str], S.PageIndex] = {}
 
 
-def _index(spark: SparkSession, sf: str) -> S.PageIndex:
+def page_index(spark: SparkSession, sf: str) -> S.PageIndex:
     """The page index, built once per session and read by every search."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _indexes:
@@ -253,22 +253,22 @@ def supplied_url_bypass(spark, sf):
 
 
 def page_words(spark, sf):
-    return _index(spark, sf).postings
+    return page_index(spark, sf).postings
 
 
 def word_frequency(spark, sf):
-    return _index(spark, sf).frequency
+    return page_index(spark, sf).frequency
 
 
 def bm25_impacts(spark, sf):
-    index = _index(spark, sf)
+    index = page_index(spark, sf)
     counted = index.postings.join(index.frequency, "token")
     return S.bm25_impacts(index, counted).select("token", "page_id", "impact")
 
 
 def _top(spark, sf, query, k=S.RESULT_COUNT, weigh=S.bm25_impacts, short_lists=S.SHORT_LISTS):
     rows = I.questions(spark, sf).select(F.col("qid").alias("query_id"), query.alias("query"))
-    best = S.top_pages(S.with_search_terms(rows), _index(spark, sf), weigh, k, short_lists)
+    best = S.top_pages(S.with_search_terms(rows), page_index(spark, sf), weigh, k, short_lists)
     return best.withColumnRenamed("query_id", "qid")
 
 
@@ -294,7 +294,7 @@ def dork_filetype_filter(spark, sf):
 
 
 def _results(spark, sf):
-    return S.retrieve(I.questions(spark, sf), _index(spark, sf))
+    return S.retrieve(I.questions(spark, sf), page_index(spark, sf))
 
 
 def search_results(spark, sf):
@@ -313,7 +313,7 @@ def results_by_category(spark, sf):
 
 
 def two_engine_union(spark, sf):
-    both = S.retrieve_two_engines(I.questions(spark, sf), _index(spark, sf))
+    both = S.retrieve_two_engines(I.questions(spark, sf), page_index(spark, sf))
     return both.select("engine", "qid", F.posexplode("urls").alias("url_pos", "url"))
 
 
@@ -461,7 +461,7 @@ def end_to_end_counts(spark, sf):
     pages = I.table(spark, sf, "pages")
     answered = F.to_json(F.struct(F.struct(F.array(F.struct(F.col("url").alias("q"), F.col("url").alias("a"))).alias("qnaList")).alias("response")))
     replies = pages.where("page_id % 3 <> 0").select(F.col("page_id").alias("prompt_id"), answered.alias("reply"))
-    return jobs.full_run(I.questions(spark, sf), pages, replies, _index(spark, sf))
+    return jobs.full_run(I.questions(spark, sf), pages, replies, page_index(spark, sf))
 
 
 ALL = [
