@@ -233,6 +233,19 @@ def all_sql() -> dict[str, str]:
             f"""select category, min(item_pos) over (partition by category) as category_pos, item_pos // 32 as block,
             row_number() over (partition by category, item_pos // 32 order by item_pos) - 1 as entry_pos, {_metadata_fields()} from meta""",
         ),
+        "aggregated_metadata": _sql(
+            "meta pairs",
+            """select category, min(item_pos) over (partition by category) as category_pos, item_pos // 4096 as block,
+            row_number() over (partition by category, item_pos // 4096 order by item_pos) - 1 as entry_pos,
+            content_path, (select count(*) from pairs) as question_count, url, source_type from meta""",
+        ),
+        "captured_documents": _sql(
+            "dim",
+            f"""select content_path, item_pos, markdown from (
+            select p.page_id as item_pos, {PATH.format('d.input_file', 'p.url')} as content_path, {_markdown('p.html')} as markdown
+            from pages p join dim d on d.url = p.url) where markdown <> ''
+            qualify row_number() over (partition by content_path order by item_pos desc) = 1""",
+        ),
         "question_count_stamp": _sql(
             "meta pairs", "select item_pos, category, content_path, (select count(*) from pairs) as question_count from meta"
         ),
@@ -243,7 +256,7 @@ def all_sql() -> dict[str, str]:
         "stage_counts": _sql(
             "l meta pairs",
             """select (select count(*) from l where is_list and conv_id % 41 <> 7 and conv_id % 43 <> 5) as n_urls,
-            (select count(*) from meta) as n_documents, (select count(*) from pairs) as n_pairs""",
+            (select count(distinct content_path) from meta) as n_documents, (select count(*) from pairs) as n_pairs""",
         ),
         "category_block_last_wins": _sql(
             "blocks",
@@ -281,6 +294,7 @@ def all_sql() -> dict[str, str]:
             "select qid, page_id, score, rank from (" + _ranked(_asked("question", site="example.com", filetype="html"), 10) + ")",
         ),
         "search_results": _sql(searched, f"select qid, category, question, dorks, error, url_pos, url from {_results()}"),
+        "retrieved_urls": _sql(searched, f"select qid, category, question, dorks, error, url_pos, url from {_results()}"),
         "results_by_category": _sql(
             searched,
             f"""select category, min(qid) as category_pos, count(distinct qid) as n_results, count(url) as n_urls, count(error) as n_errors
@@ -294,7 +308,7 @@ def all_sql() -> dict[str, str]:
         "qna_prompts": _sql(
             "meta",
             f"""select content_path, {_text(QNA_TEMPLATE.replace("{domain_of_expertise}", "Software Engineering"))} || chr(10) || markdown as prompt,
-            length(markdown) as n_chars from meta""",
+            length(markdown) as n_chars from meta qualify row_number() over (partition by content_path order by item_pos desc) = 1""",
         ),
         "decode_status": _sql(
             "ex",

@@ -54,6 +54,12 @@ def _metadata(spark, sf):
     return C.capture_metadata(_items(spark, sf), U.url_dimension(_web(spark, sf)), paths)
 
 
+def _stored(spark, sf):
+    items = durable(_items(spark, sf), "items")
+    paths = I.url_documents(spark, sf).select("file_path")
+    return C.stored_documents(items, C.capture_metadata(items, U.url_dimension(_web(spark, sf)), paths))
+
+
 def _pairs(spark, sf):
     return R.explode_qna(R.decode_qna(I.qna_replies(spark, sf)))
 
@@ -188,7 +194,20 @@ def first_category_preview(spark, sf):
 
 def stage_counts(spark, sf):
     lengths = U.url_list_lengths(I.url_documents(spark, sf))
-    return jobs.stage_counts(lengths, _metadata(spark, sf), _pairs(spark, sf))
+    return jobs.stage_counts(lengths, _stored(spark, sf), _pairs(spark, sf))
+
+
+def aggregated_metadata(spark, sf):
+    blocks = jobs.aggregate_metadata(_metadata(spark, sf), _pairs(spark, sf))
+    return blocks.select("category", "category_pos", "block", F.posexplode("entries").alias("entry_pos", "e")).select(
+        "category", "category_pos", "block", "entry_pos", "e.*"
+    )
+
+
+def captured_documents(spark, sf):
+    """The capture job from URL records to stored documents, with the pages as they are."""
+    paths = I.url_documents(spark, sf).select("file_path")
+    return jobs.capture(_records(spark, sf), paths, I.table(spark, sf, "pages")).documents
 
 
 # Questions
@@ -303,6 +322,12 @@ def search_results(spark, sf):
     )
 
 
+def retrieved_urls(spark, sf):
+    """The retrieval job with an index of its own."""
+    found = jobs.retrieve_urls(I.questions(spark, sf), files.read_pages(spark, f"{sf}/pages.parquet"))
+    return found.select("qid", "category", "question", "dorks", "error", F.posexplode_outer("urls").alias("url_pos", "url"))
+
+
 def results_by_category(spark, sf):
     return _results(spark, sf).groupBy("category").agg(
         F.min("qid").alias("category_pos"),
@@ -321,7 +346,7 @@ def two_engine_union(spark, sf):
 
 
 def qna_prompts(spark, sf):
-    documents = _metadata(spark, sf).select("item_pos", "content_path", "markdown")
+    documents = _stored(spark, sf).select("item_pos", "content_path", "markdown")
     return R.qna_prompts(documents, QNA_TEMPLATE, "Software Engineering")
 
 
@@ -491,6 +516,8 @@ ALL = [
     question_count_stamp,
     first_category_preview,
     stage_counts,
+    aggregated_metadata,
+    captured_documents,
     questions_list_form,
     questions_map_form,
     raw_questions,
@@ -508,6 +535,7 @@ ALL = [
     dork_site_filter,
     dork_filetype_filter,
     search_results,
+    retrieved_urls,
     results_by_category,
     two_engine_union,
     qna_prompts,
