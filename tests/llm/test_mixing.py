@@ -54,7 +54,8 @@ def test_classifier_learns_labels(spark):
     assert right / len(rows) >= 0.75
 
 
-def test_awkward_rows(spark):
+def test_awkward_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 6)
     known = labels(spark, [(5, 1, 0), (5, 1, 0), (2, 0, 1), (9, None, 0), (7, 0, 0), (None, 1, 1), (99, 1, 1)])
     mixed, _ = mixing.mix(documents(spark), known, TARGETS)
     assert mixed.columns == [*documents(spark).columns, "n_tokens", "posterior", "rate", "copies"]
@@ -65,7 +66,8 @@ def test_awkward_rows(spark):
 
 
 @pytest.mark.parametrize("known", [[], [(1, None, None)]])
-def test_without_labels(spark, known):
+def test_without_labels(spark, monkeypatch, known):
+    monkeypatch.setattr(mixing, "STEPS", 6)
     mixed, _ = mixing.mix(documents(spark), labels(spark, known), TARGETS)
     assert {tuple(r.posterior) for r in mixed.collect()} == {(1 / 3, 1 / 3, 1 / 3)}
 

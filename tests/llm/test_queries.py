@@ -9,6 +9,7 @@ import xxhash
 import corpus_pipeline
 from check import TABLES, rows_of
 from fixtures import AWKWARD, documents, empty
+from lodestone.llm import mixing
 from lodestone.llm import queries as Q
 
 SF = "/root/testdata/sf0.001"
@@ -84,7 +85,8 @@ def test_op10_decodes(spark):
     assert all(r.decodes for r in Q.op10_pieces(spark, SF).collect())
 
 
-def test_pipeline_equals_its_stages(spark):
+def test_pipeline_equals_its_stages(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 8)
     whole = corpus_pipeline.run(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     first = corpus_pipeline.known_language(spark, docs, SF)
@@ -100,7 +102,8 @@ def test_pipeline_equals_its_stages(spark):
     assert len(set(lines)) == len(lines)
 
 
-def test_pipeline_takes_awkward_rows(spark):
+def test_pipeline_takes_awkward_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 4)
     for table, least in ((documents(spark, AWKWARD), 1), (empty(spark), 0)):
         docs = table
         for _, stage in corpus_pipeline.STAGES:
