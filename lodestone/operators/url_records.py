@@ -172,11 +172,13 @@ def filed_results(results: DataFrame, pos: str) -> DataFrame:
     """Search results under the file of their category slug.
 
     When two categories share a slug, the file of the later one replaces the other's.
+    Results without a category share a file without a name.
     """
-    filed = results.withColumn("file_path", category_slug(F.col("category"))).withColumn("_key", group_key("category"))
-    categories = filed.groupBy("file_path", "_key").agg(F.min(pos).alias("_first"))
-    written = categories.groupBy("file_path").agg(F.max_by("_key", "_first").alias("_key"))
-    return salted_join(filed, written, ["file_path", "_key"], [pos], "left_semi").drop("_key")
+    filed = results.withColumn("file_path", category_slug(F.col("category")))
+    filed = filed.withColumns({"_file": group_key("file_path"), "_key": group_key("category")})
+    categories = filed.groupBy("_file", "_key").agg(F.min(pos).alias("_first"))
+    written = categories.groupBy("_file").agg(F.max_by("_key", "_first").alias("_key"))
+    return salted_join(filed, written, ["_file", "_key"], [pos], "left_semi").drop("_file", "_key")
 
 
 def result_records(filed: DataFrame, pos: str) -> DataFrame:
