@@ -138,7 +138,7 @@ def segmentations(chunk: str, words: Vocabulary, n: int) -> list[tuple[float, tu
 
 
 class _Known(dict):
-    """Segmented chunks: ``(ids as bytes, best score, loss of the second best)``."""
+    """Segmented chunks: ``(ids as bytes, best score, loss of the second best, the chunk)``."""
 
     def __init__(self, words: Vocabulary, n: int):
         super().__init__()
@@ -146,7 +146,22 @@ class _Known(dict):
 
     def __missing__(self, chunk: str) -> tuple:
         score, ids, following = next(ranked_paths(chunk, self.words, self.n > 1))
-        entry = (array("i", ids).tobytes(), score, math.inf if following is None else score - following)
+        entry = (array("i", ids).tobytes(), score, math.inf if following is None else score - following, chunk)
+        if len(self) < CACHED and len(chunk) <= LONGEST_CACHED:
+            self[chunk] = entry
+        return entry
+
+
+class _Grown(dict):
+    """The ``n`` best ways to cut a chunk, grown by A*, best first: ``(loss, ids as bytes)``."""
+
+    def __init__(self, words: Vocabulary, n: int):
+        super().__init__()
+        self.words, self.n = words, n
+
+    def __missing__(self, chunk: str) -> list[tuple[float, bytes]]:
+        found = segmentations(chunk, self.words, self.n)
+        entry = [(found[0][0] - score, array("i", ids).tobytes()) for score, ids in found]
         if len(self) < CACHED and len(chunk) <= LONGEST_CACHED:
             self[chunk] = entry
         return entry
@@ -156,7 +171,7 @@ class Encoder:
     """Encodes whole texts; chunks that come up again are not segmented again."""
 
     def __init__(self, words: Vocabulary, n: int = 1):
-        self.words, self.n, self.known = words, n, _Known(words, n)
+        self.words, self.n, self.known, self.grown = words, n, _Known(words, n), _Grown(words, n)
         self.cut = re.compile(words.chunk).findall
         self.mark = tuple(words.bytes_at[b] for b in SPACE.encode())
 
@@ -173,29 +188,37 @@ class Encoder:
         out: list[tuple] = []
         for cut in self.cuts(text) if text else ():
             if cut is None:
-                out.append((array("i", self.mark).tobytes(), self.words.penalty, math.inf))
+                out.append((array("i", self.mark).tobytes(), self.words.penalty, math.inf, SPACE))
             else:
                 out += map(self.known.__getitem__, cut)
         return out
 
-    def n_best(self, text: str) -> list[tuple[float, list[int]]]:
-        """The ``n`` best segmentations of the whole text, best first.
+    def ranked(self, lists: list[tuple]) -> list[tuple[float, bytes]]:
+        """The ``n`` best segmentations of a text's ``chunks``, best first: ``(score, ids as bytes)``.
 
         Chunks are independent, so the n best take their alternatives from the at most
-        ``n - 1`` chunks whose second choice costs least.
+        ``n - 1`` chunks whose second choice costs least; only those are grown further.
         """
-        lists: list[list] = []
-        for cut in self.cuts(text) if text else ():
-            lists += [[(self.words.penalty, self.mark)]] if cut is None else [segmentations(c, self.words, self.n) for c in cut]
-        score = sum(x[0][0] for x in lists)
-        cheap = heapq.nsmallest(self.n - 1, (k for k, x in enumerate(lists) if len(x) > 1), key=lambda k: lists[k][0][0] - lists[k][1][0])
+        score = sum(map(itemgetter(1), lists))
+        ids = list(map(itemgetter(0), lists))
+        losses = list(map(itemgetter(2), lists))
+        cheap = heapq.nsmallest(self.n - 1, (k for k, loss in enumerate(losses) if loss < math.inf), key=losses.__getitem__)
+        ways = {k: self.grown[lists[k][3]] for k in cheap}
         plans = [(0.0, {})]
         for k in cheap:
-            losses = [lists[k][0][0] - s for s, _ in lists[k]]
             plans = heapq.nsmallest(
-                self.n, ((loss + more, plan | {k: j}) for loss, plan in plans for j, more in enumerate(losses)), key=lambda x: x[0]
+                self.n, ((loss + more, plan | {k: j}) for loss, plan in plans for j, (more, _) in enumerate(ways[k])), key=lambda x: x[0]
             )
-        return [(score - loss, [i for k, x in enumerate(lists) for i in x[plan.get(k, 0)][1]]) for loss, plan in plans]
+        out = []
+        for loss, plan in plans:
+            for k, j in plan.items():
+                ids[k] = ways[k][j][1]
+            out.append((score - loss, b"".join(ids)))
+        return out
+
+    def n_best(self, text: str) -> list[tuple[float, list[int]]]:
+        """The ``n`` best segmentations of the whole text, best first."""
+        return [(score, np.frombuffer(ids, np.int32).tolist()) for score, ids in self.ranked(self.chunks(text))]
 
 
 def decode(ids: list[int], words: Vocabulary) -> str:
@@ -207,12 +230,13 @@ def decode(ids: list[int], words: Vocabulary) -> str:
 
 
 def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFrame:
-    """``docs`` with ``piece_ids`` of the best segmentation, ``piece_score``, ``next_score`` and ``decodes``.
+    """``docs`` with ``piece_ids`` of the best segmentation, ``piece_score``, ``next_score``, ``next_best`` and ``decodes``.
 
-    ``next_score`` is that of the second best segmentation, null if there is none or
-    ``n`` is 1; ``decodes`` tells that the ids give back the text. A null text has null
-    ids, an empty one none. An empty table gives no rows; columns of these names are
-    replaced, all others stay.
+    ``next_best`` has the ids and score of the second to the n-th best segmentation, best
+    first, as far as there are so many; ``next_score`` is the first of these scores, null
+    if there is none. ``decodes`` tells that the ids of each segmentation give back the
+    text. A null text has null ids, an empty one none. An empty table gives no rows;
+    columns of these names are replaced, all others stay.
     """
     words = load(path)
 
@@ -220,23 +244,30 @@ def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFr
         encoder = Encoder(words, n)
         for column in columns:
             ids, scores, seconds, same = [], [], [], []
+            starts, next_ids, next_scores = [], [], []
             for value in column:
                 content = value.as_py()
                 if content is None:
-                    ids.append(None), scores.append(None), seconds.append(None), same.append(None)
+                    ids.append(None), scores.append(None), seconds.append(None), same.append(None), starts.append(None)
                     continue
-                lists = encoder.chunks(content)
-                found = np.frombuffer(b"".join(map(itemgetter(0), lists)), np.int32)
-                score, loss = sum(map(itemgetter(1), lists)), min(map(itemgetter(2), lists), default=math.inf)
-                ids.append(found)
+                (score, best), *following = encoder.ranked(encoder.chunks(content))
+                best = np.frombuffer(best, np.int32)
+                following = [(x, np.frombuffer(other, np.int32)) for x, other in following]
+                starts.append(len(next_ids))
+                ids.append(best)
                 scores.append(score)
-                seconds.append(None if loss == math.inf else score - loss)
-                same.append(decode(found.tolist(), words) == content)
-            arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64()), pa.array(seconds, pa.float64()), pa.array(same, pa.bool_())]
-            yield pa.StructArray.from_arrays(arrays, ["ids", "score", "second", "same"])
+                seconds.append(following[0][0] if following else None)
+                same.append(all(decode(x.tolist(), words) == content for x in (best, *(other for _, other in following))))
+                next_ids += [other for _, other in following]
+                next_scores += [x for x, _ in following]
+            arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64()), pa.array(seconds, pa.float64())]
+            pairs = pa.StructArray.from_arrays([pa.array(next_ids, pa.list_(pa.int32())), pa.array(next_scores, pa.float64())], ["ids", "score"])
+            others = pa.ListArray.from_arrays(pa.array([*starts, len(next_ids)], pa.int32()), pairs)
+            yield pa.StructArray.from_arrays([*arrays, others, pa.array(same, pa.bool_())], names)
 
-    new = ("piece_ids", "piece_score", "next_score", "decodes")
+    names = ["ids", "score", "second", "others", "same"]
+    new = ("piece_ids", "piece_score", "next_score", "next_best", "decodes")
     columns = [F.col(c) for c in docs.columns if c not in (*new, "_found")]
-    label = F.arrow_udf(run, "ids array<int>, score double, second double, same boolean")
-    found = docs.select(*columns, label(F.col(text).cast("string")).alias("_found"))
-    return found.select(*columns, *(F.col(f"_found.{old}").alias(name) for old, name in zip(("ids", "score", "second", "same"), new)))
+    kind = "ids array<int>, score double, second double, others array<struct<ids: array<int>, score: double>>, same boolean"
+    found = docs.select(*columns, F.arrow_udf(run, kind)(F.col(text).cast("string")).alias("_found"))
+    return found.select(*columns, *(F.col(f"_found.{old}").alias(name) for old, name in zip(names, new)))

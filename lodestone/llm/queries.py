@@ -61,7 +61,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = pieces.encode(_table(spark, sf_dir, "documents"), MODEL, n=2)
     digest = F.sha2(F.array_join("piece_ids", " "), 256).alias("ids_sha256")
-    return coded.select("doc_id", F.size("piece_ids").alias("n_pieces"), digest, "piece_score", "next_score", "decodes")
+    others = F.array_join(F.transform("next_best", lambda x: F.array_join(x["ids"], " ")), "\n")
+    following = F.when(F.size("next_best") > 0, F.sha2(others, 256)).alias("next_ids_sha256")
+    return coded.select("doc_id", F.size("piece_ids").alias("n_pieces"), digest, "piece_score", following, "next_score", "decodes")
 
 
 ALL = [op1_simhash, op2_language, op3_top_k, op4_mixing, op5_warc, op6_suffix_dedup, op7_embedding_dedup, op8_line_dedup, op9_sharding, op10_pieces]

@@ -80,5 +80,22 @@ def test_table_of_awkward_rows(spark, words):
         assert r.next_score == (best[1][0] if len(best) > 1 else None)
 
 
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_encode_gives_the_n_best(spark, words, n):
+    rows = pieces.encode(documents(spark), MODEL, n).collect()
+    for r in rows:
+        if r.text is None:
+            assert r.next_best is None
+            continue
+        lattice = pieces.segmentations("▁" + r.text.replace("▁", "").replace(" ", "▁"), words, n) if 0 < len(r.text) < 100 else []
+        found = [(r.piece_score, r.piece_ids), *((x.score, x.ids) for x in r.next_best)]
+        assert found == pieces.Encoder(words, n).n_best(r.text)
+        assert len({tuple(ids) for _, ids in found}) == len(found) and (len(found) == n or not r.text.strip())
+        assert [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
+        assert all(pieces.decode(ids, words) == r.text for _, ids in found)
+        if lattice and "▁" not in r.text:
+            assert [s for s, _ in found] == pytest.approx([s for s, _ in lattice])
+
+
 def test_empty(spark):
     assert pieces.encode(empty(spark), MODEL).count() == 0
