@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestone.llm.suffix_sort import permuted_common_prefixes, suffix_array
+from lodestone.operators.skew import FEW_SALTS, salted_join
 from lodestone.session import discard, durable
 
 #: Bytes of an anchor. Every window is dealt by the anchor of smallest hash in it.
@@ -17,7 +18,7 @@ ANCHOR = 32
 #: Text that is hashed at once, and text that one suffix array holds (a longer group makes a longer one).
 CHUNK = 1 << 20
 SHARD = 1 << 20
-#: Anchors with more distinct surroundings are dealt anew, window by window.
+#: Anchors with more distinct surroundings are settled window by window.
 HOT = 20_000
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 LAST = 2**63 - 1
@@ -232,32 +233,69 @@ def _sorted_out(rows: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _regions(mixed: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``(h, doc, mark, first, off, bytes)`` of runs of windows; those of hot anchors window by window."""
-    hot = durable(mixed.groupBy("h").count().where(F.col("count") > HOT).select("h", F.lit(True).alias("hot")), "repeats-hot")
-    wanted = mixed.join(hot, "h", "left").groupBy("doc", "mark").agg(
-        F.collect_list(F.struct("h", "first", "last", "off", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs")
-    )
-    rows = docs.join(wanted, ["doc", "mark"]).dropDuplicates(["doc", "mark"]).select("doc", "mark", "data", "runs")
+def _hot(mixed: DataFrame) -> DataFrame:
+    return durable(mixed.groupBy("h").count().where(F.col("count") > HOT).select("h"), "repeats-hot")
+
+
+def _with_texts(runs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(doc, mark, data, runs)``: every text that has runs, with all of them."""
+    wanted = runs.groupBy("doc", "mark").agg(F.collect_list(F.struct("h", "first", "last", "off")).alias("runs"))
+    return docs.join(wanted, ["doc", "mark"]).dropDuplicates(["doc", "mark"]).select("doc", "mark", "data", "runs")
+
+
+def _regions(mixed: DataFrame, docs: DataFrame, width: int, hot: DataFrame) -> DataFrame:
+    """``(h, doc, mark, first, off, bytes)`` of runs of windows, but for those of hot anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = [("h", pa.int64()), ("doc", pa.int64()), ("mark", pa.int32()), ("first", pa.int32()), ("off", pa.int32()), ("data", pa.binary())]
         for batch in batches:
             for doc, mark, text, runs in zip(*(batch.column(k) for k in range(4))):
-                doc, mark, data, out = doc.as_py(), mark.as_py(), text.as_py(), []
-                for x in runs.as_py():
-                    if x["hot"]:
-                        for first in range(x["first"], x["last"] + 1):
-                            window = data[first : first + width]
-                            h = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                            out.append((h, doc, mark, first, 0, window))
-                    else:
-                        out.append((x["h"], doc, mark, x["first"], x["off"], data[x["first"] : x["last"] + width]))
+                doc, mark, data = doc.as_py(), mark.as_py(), text.as_py()
+                out = [(x["h"], doc, mark, x["first"], x["off"], data[x["first"] : x["last"] + width]) for x in runs.as_py()]
                 yield pa.record_batch([pa.array(c, kind) for c, (_, kind) in zip(zip(*out), fields)], names=[f for f, _ in fields])
 
+    rows = _with_texts(mixed.join(hot, "h", "left_anti"), docs)
     return rows.mapInArrow(run, "h long, doc long, mark int, first int, off int, data binary")
 
 
+def _hot_spans(mixed: DataFrame, docs: DataFrame, width: int, hot: DataFrame) -> DataFrame:
+    """``(doc, mark, first, last)``: bytes under windows of hot anchors that occur earlier.
+
+    Windows are known by 128 bits of hash. Their first places are combined before the
+    shuffle and joined to all others in salted shares, so no task holds a window's places.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, mark, text, runs in zip(*(batch.column(k) for k in range(4))):
+                data = text.as_py()
+                first = [k for x in runs.as_py() for k in range(x["first"], x["last"] + 1)]
+                hashed = b"".join(hashlib.blake2b(data[k : k + width], digest_size=16).digest() for k in first)
+                w = np.frombuffer(hashed, np.int64).reshape(-1, 2)
+                yield pa.record_batch(
+                    [
+                        pa.array(np.ascontiguousarray(w[:, 0])),
+                        pa.array(np.ascontiguousarray(w[:, 1])),
+                        pa.array(np.full(len(first), doc.as_py(), np.int64)),
+                        pa.array(np.full(len(first), mark.as_py(), np.int32)),
+                        pa.array(first, pa.int32()),
+                    ],
+                    names=["w1", "w2", "doc", "mark", "first"],
+                )
+
+    rows = _with_texts(mixed.join(hot, "h", "left_semi"), docs)
+    windows = durable(rows.mapInArrow(run, "w1 long, w2 long, doc long, mark int, first int"), "repeats-windows")
+    place = F.struct("doc", "mark", "first")
+    least = windows.groupBy("w1", "w2").agg(F.min(place).alias("least"), F.count("*").alias("places"))
+    again = salted_join(
+        windows, least.where("places > 1").drop("places"), ["w1", "w2"], ["doc", "mark", "first"], "inner", FEW_SALTS
+    )
+    again = again.where(place != F.col("least"))
+    found = durable(again.select("doc", "mark", "first", (F.col("first") + width).alias("last")), "repeats-hot-spans")
+    discard(windows)
+    return found
+
+
 def _alike(h: np.ndarray, off: np.ndarray, data: list[bytes], width: int) -> np.ndarray:
     """Regions that agree with another of their anchor on enough bytes at the anchor's left or right.
 
@@ -361,14 +399,18 @@ def remove_repeats(docs: DataFrame, width: int = 100, doc_id: str = "doc_id", te
 
     Every window is dealt by its anchor, the 32 bytes of smallest hash in it, so equal
     windows meet. Runs of windows that repeat whole are settled by their hash; what else
-    shares an anchor is sorted in suffix arrays, shard by shard, of whole anchors.
+    shares an anchor is sorted in suffix arrays, shard by shard, of whole anchors; windows of
+    hot anchors are settled by 128 bits of hash.
     """
     content = F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8")
     texts = docs.select(_doc(doc_id).alias("doc"), F.col(doc_id).cast("long").alias("doc_id"), content.alias("data"))
     texts = texts.withColumn("mark", F.hash("data")).select("doc", "mark", "data", "doc_id")
     settled = durable(_sorted_out(anchors(texts.select("doc", "mark", "data"), width), width), "repeats-settled")
-    regions = _regions(settled.where("off is not null"), texts, width)
-    more = durable(_spans(regions, width), "repeats-spans")
+    mixed = settled.where("off is not null")
+    hot = _hot(mixed)
+    more = durable(_spans(_regions(mixed, texts, width, hot), width), "repeats-spans")
+    if not hot.isEmpty():
+        more = more.unionByName(_hot_spans(mixed, texts, width, hot))
     spans = settled.where("off is null").select("doc", "mark", "first", "last").unionByName(more)
     spans = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
 

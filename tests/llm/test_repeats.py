@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from fixtures import AWKWARD, documents, empty
+from pyspark.sql import functions as F
 
 from lodestone.llm import repeats
 from lodestone.llm.suffix_sort import permuted_common_prefixes, suffix_array
@@ -83,3 +84,31 @@ def test_large_alphabets_are_sorted_too():
     rng = np.random.default_rng(5)
     s = np.r_[np.repeat(rng.integers(1, 5_000, 60), 3), 0]
     assert suffix_array(s).tolist() == sorted(range(len(s)), key=lambda k: s[k:].tolist())
+
+
+def test_no_task_gets_all_places_of_a_hot_window(spark, monkeypatch):
+    """A passage between differing neighbours: its leads stay open, but none of its windows reaches a suffix array."""
+    monkeypatch.setattr(repeats, "HOT", 5)
+    rng = random.Random(6)
+
+    def fresh(n):
+        return "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+
+    passage = fresh(180)
+    texts = [(k, fresh(50) + passage + fresh(50)) for k in range(30)]
+    docs = documents(spark, texts)
+    rows = docs.select(F.col("doc_id").alias("doc"), F.hash(F.encode("text", "UTF-8")).alias("mark"), F.encode("text", "UTF-8").alias("data"))
+    mixed = repeats._sorted_out(repeats.anchors(rows, 100), 100).where("off is not null")
+    hot = repeats._hot(mixed)
+    assert not hot.isEmpty()
+    sizes = [r["count"] for r in repeats._regions(mixed, rows, 100, hot).groupBy("h").count().collect()]
+    assert max(sizes, default=0) <= 5
+    seen, want = set(), {}
+    for doc_id, text in texts:
+        gone = set()
+        for k in range(len(text) - 99):
+            if text[k : k + 100] in seen:
+                gone |= set(range(k, k + 100))
+            seen.add(text[k : k + 100])
+        want[doc_id] = "".join(c for k, c in enumerate(text) if k not in gone)
+    assert {r.doc_id: bytes(r.kept).decode() for r in repeats.remove_repeats(docs, 100).collect()} == want
