@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestone.llm import embedding_dedup, language, line_dedup, mixing, pieces, repeats, sharding, simhash, topk, warc
+from lodestone.functions.json import computed_once
+from lodestone.llm import (
+    collocations,
+    embedding_dedup,
+    exact_dedup,
+    language,
+    line_dedup,
+    mixing,
+    periodic_runs,
+    pieces,
+    repeats,
+    sharding,
+    simhash,
+    topk,
+    warc,
+)
 
 #: Target shares of all tokens, and the SentencePiece model that texts are encoded with.
 MIX = {"high": 0.82, "low": 0.13, "toxic": 0.05}
@@ -66,9 +81,108 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("piece_ids").alias("n_pieces"), digest, "piece_score", following, "next_score", "decodes")
 
 
-ALL = [op1_simhash, op2_language, op3_top_k, op4_mixing, op5_warc, op6_suffix_dedup, op7_embedding_dedup, op8_line_dedup, op9_sharding, op10_pieces]
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` where a tenth of the texts repeat a stretch of themselves to their end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = computed_once(docs.select("doc_id", "text"), h=h, g=F.floor(h / 10))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    split = computed_once(chosen, words=F.when(F.col("h") % 10 == 0, words))
+    n, g = F.size("words"), F.col("g")
+    start = F.when(n > 0, g % n)
+    period = (1 + F.floor((n - start) / (3 + g % 8))).cast("long")
+    placed = computed_once(split, a=start, p=period)
+    a, p = F.col("a"), F.col("p")
+    turned = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", (a + (i - a) % p).cast("int"))))
+    return placed.select("doc_id", F.when(a.isNotNull(), F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _made_periodic(_table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(docs, least_length=24, least_exponent=3, columns=["doc_id"])
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[name].alias(name) for name in ("start", "length", "period")],
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), longest=4, least=30, cover=80, top=2000)
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"), keep="largest", columns=["doc_id"])
+
+
+ALL = [
+    op1_simhash,
+    op2_language,
+    op3_top_k,
+    op4_mixing,
+    op5_warc,
+    op6_suffix_dedup,
+    op7_embedding_dedup,
+    op8_line_dedup,
+    op9_sharding,
+    op10_pieces,
+    op11_periodic_runs,
+    op12_collocations,
+    op13_exact_dedup,
+]
 
 ORACLE = {
+    "op12_collocations": """
+        with pieces as (
+            select coalesce(lang, 'und') as lang,
+                   unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\\x0A-\\x0D]')) as piece
+            from documents),
+        split as (
+            select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') as words from pieces),
+        places as (select lang, words, unnest(range(1, len(words) + 1)) as i from split),
+        counted as (
+            select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase, count(*) as f
+            from places, (values (1), (2), (3), (4)) as sizes(k)
+            where i + k - 1 <= len(words) group by all having count(*) >= 30),
+        totals as (select lang, count(*) as n from places group by lang),
+        cuts as (
+            select c.lang, c.phrase, c.k as size, c.f as a, cut,
+                   array_to_string(string_split(c.phrase, ' ')[1:cut], ' ') as head,
+                   array_to_string(string_split(c.phrase, ' ')[cut + 1:], ' ') as tail
+            from counted c, (values (1), (2), (3)) as places(cut) where cut < c.k),
+        scored as (
+            select cuts.lang, cuts.phrase, size, a, cut, x.f as l, y.f as r,
+                   ((2000000::hugeint * a) // (x.f + y.f))::bigint as score
+            from cuts join counted x on x.lang = cuts.lang and x.phrase = head
+            join counted y on y.lang = cuts.lang and y.phrase = tail),
+        candidates as (
+            select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+        inner_phrases as (
+            select lang, array_to_string(string_split(phrase, ' ')[s:s + m - 1], ' ') as phrase, max(a) as longer
+            from candidates, (values (2), (3)) as lengths(m), (values (1), (2), (3)) as starts(s)
+            where m < size and s + m - 1 <= size group by all),
+        left_over as (
+            select c.* from candidates c left join inner_phrases i on i.lang = c.lang and i.phrase = c.phrase
+            where longer is null or 100::hugeint * longer < 80::hugeint * a),
+        ranked as (
+            select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from left_over)
+        select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+    """,
+    "op13_exact_dedup": """
+        with rows as (
+            select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
+            from documents),
+        groups as (select body, max(doc_id) as keep_id, count(*) as group_size from rows group by body)
+        select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256
+        from rows join groups using (body)
+    """,
     "op3_top_k": """
         with whole as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q
