@@ -1,70 +1,50 @@
-"""HTML to Markdown with regular expressions Java and RE2 read alike."""
+"""HTML pages to Markdown and metadata."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, functions as F
-
-# Fixed values: (pattern, replacement), applied in this order.
-MARKDOWN_STEPS = [
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?is)<script\b.*?</script>", ""),
-    (r"(?is)<style\b.*?</style>", ""),
-    (r"(?is)<head\b.*?</head>", ""),
-    (r"(?is)<nav\b.*?</nav>", ""),
-    (r"(?is)<footer\b.*?</footer>", ""),
-    (r"(?is)<div class=\"ad\">.*?</div>", ""),
-    (r"\s+", " "),
-    (r"(?i)<h1\b[^>]*>", "\n\n# "),
-    (r"(?i)<h2\b[^>]*>", "\n\n## "),
-    (r"(?i)<h3\b[^>]*>", "\n\n### "),
-    (r"(?i)</h[1-6]>", "\n\n"),
-    (r"(?i)<li\b[^>]*>", "\n- "),
-    (r"(?i)<br\b[^>]*>", "\n"),
-    (r"(?i)</?p\b[^>]*>", "\n\n"),
-    (r"<[^>]*>", ""),
-]
-# Entities; the ampersand comes last so nothing is decoded twice.
-ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
-# Blank clean-up after the tags are gone.
-BLANK_STEPS = [(r" *\n *", "\n"), (r"\n\n\n+", "\n\n"), (r"^[ \n]+", ""), (r"[ \n]+\z", "")]
-
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
-LANGUAGE = r"(?is)<html\b[^>]*?\blang=\"([^\"]*)\""
-DESCRIPTION = r"(?is)<meta\s+name=\"description\"\s+content=\"([^\"]*)\""
+import pandas as pd
+from pyspark.sql import Column, functions as F, types as T
+
+from lodestone.functions.markdown import convert
+
 DEFAULT_LANGUAGE = "en"
+PAGE = T.StructType([T.StructField(n, T.StringType()) for n in ("markdown", "title", "description", "language")])
+
 
+@F.pandas_udf(PAGE)
+def _page(html: pd.Series) -> pd.DataFrame:
+    nothing = (None,) * len(PAGE.names)
+    rows = [nothing if text is None else convert(text) for text in html]
+    # A lone surrogate is no text that Arrow could hold.
+    safe = [tuple(v and v.encode("utf-8", "replace").decode() for v in row) for row in rows]
+    return pd.DataFrame(safe, columns=PAGE.names)
 
-def _regex_chain(text: Column, steps: list[tuple[str, str]]) -> Column:
-    return reduce(lambda t, s: F.regexp_replace(t, s[0], s[1]), steps, text)
 
+def page(html: Column) -> Column:
+    """``struct<markdown, title, description, language>`` of a page; fields are null for a null page.
 
-def decode_entities(text: Column) -> Column:
-    return reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+    Built-in functions can't keep a stack of open elements without copying it for every
+    token, so pages go through one pass in Arrow batches. Put the result below a generator
+    (``json.computed_once``) where several steps read it.
+    """
+    return _page(html)
 
 
 def to_markdown(html: Column) -> Column:
-    return _regex_chain(decode_entities(_regex_chain(html, MARKDOWN_STEPS)), BLANK_STEPS)
+    return page(html)["markdown"]
 
 
 def title(html: Column) -> Column:
-    return decode_entities(F.regexp_extract(html, TITLE, 1))
+    """Text of the title element; empty without one."""
+    return page(html)["title"]
 
 
 def description(html: Column) -> Column:
-    return decode_entities(F.regexp_extract(html, DESCRIPTION, 1))
+    """Content of the description; empty without one."""
+    return page(html)["description"]
 
 
 def language(html: Column) -> Column:
-    found = F.regexp_extract(html, LANGUAGE, 1)
-    return F.when(found == "", DEFAULT_LANGUAGE).otherwise(found)
+    """The language that the root element names, or the default."""
+    found = page(html)["language"]
+    return F.when(html.isNotNull(), F.coalesce(F.nullif(found, F.lit("")), F.lit(DEFAULT_LANGUAGE)))

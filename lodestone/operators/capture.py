@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestone.functions import html as H
 from lodestone.functions.json import computed_once
@@ -17,25 +17,25 @@ SOURCE_TYPE = "web"
 UNKNOWN_SOURCE = "unknown"
 
 
+def _metadata(found: Column) -> Column:
+    language = F.when(F.col("html").isNotNull(), F.coalesce(F.nullif(found["language"], F.lit("")), F.lit(H.DEFAULT_LANGUAGE)))
+    return F.struct(
+        F.col("url").alias("sourceURL"), found["title"].alias("title"), found["description"].alias("description"), language.alias("language")
+    )
+
+
 def with_metadata(pages: DataFrame) -> DataFrame:
     """Add title, description and language of ``(url, html)`` rows as ``metadata``."""
-    html = F.col("html")
-    metadata = F.struct(
-        F.col("url").alias("sourceURL"),
-        H.title(html).alias("title"),
-        H.description(html).alias("description"),
-        H.language(html).alias("language"),
-    )
-    return pages.withColumn("metadata", metadata)
+    return pages.withColumn("metadata", _metadata(H.page(F.col("html"))))
 
 
 def pages_to_markdown(pages: DataFrame) -> DataFrame:
     """``(item_pos, url, html)`` to ``(item_pos, markdown, metadata)``.
 
-    The Markdown is computed once even where later steps filter on it.
+    A page is read once for both, even where later steps filter on them.
     """
-    converted = computed_once(with_metadata(pages), markdown=H.to_markdown(F.col("html")))
-    return converted.select("item_pos", "markdown", "metadata")
+    read = computed_once(pages, _page=H.page(F.col("html")))
+    return read.select("item_pos", F.col("_page.markdown").alias("markdown"), _metadata(F.col("_page")).alias("metadata"))
 
 
 def fetch(requested: DataFrame, pages: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def test_html_becomes_markdown(spark):
     row = spark.createDataFrame([(page,)], "html string").select(
         H.to_markdown(F.col("html")).alias("m"), H.title(F.col("html")).alias("t"), H.description(F.col("html")).alias("d"), H.language(F.col("html")).alias("l")
     ).first()
-    assert row.m == "# Head\n\nOne\ntwo <3\n\nThree\n- x\n- y"
+    assert row.m == "# Head\n\n**One\ntwo <3**\n\nThree\n\n- x\n- y"
     assert (row.t, row.d, row.l) == ("A &amp; B", "D <", "de")
 
 

@@ -8,20 +8,23 @@ from workload import queries as W
 SF = "/root/testdata/sf0.001"
 
 NATIVE = [
-    W.explode_urls, W.dedupe_per_file, W.url_dimension_last_wins, W.html_to_markdown, W.capture_metadata, W.metadata_by_category,
-    W.metadata_blocks, W.questions_list_form, W.question_rejects, W.decode_qna, W.first_good_attempt, W.running_categories, W.harvest_urls,
+    W.explode_urls, W.dedupe_per_file, W.url_dimension_last_wins, W.questions_list_form, W.question_rejects, W.decode_qna, W.first_good_attempt, W.running_categories, W.harvest_urls,
     W.corpus_top_k, W.search_results,
 ]
 
+# These read every page in one Arrow step, and run nothing else in Python.
+CONVERTED = [W.html_to_markdown, W.capture_metadata, W.metadata_by_category, W.metadata_blocks]
+
 
 def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("query", NATIVE, ids=lambda q: q.__name__)
+@pytest.mark.parametrize("query", [*NATIVE, *CONVERTED], ids=lambda q: q.__name__)
 def test_no_python_and_no_global_window(spark, query):
     text = plan(query(spark, SF))
-    assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|CartesianProduct", text)
+    python = re.findall(r"ArrowEvalPython \[\w+|BatchEvalPython|MapInPandas|MapInArrow|CartesianProduct", text)
+    assert set(python) == ({"ArrowEvalPython [_page"} if query in CONVERTED else set())
     for window in re.findall(r"Window \[.*", text):
         assert "windowspecdefinition(" in window
     lines = text.splitlines()
@@ -51,4 +54,4 @@ def test_unused_text_is_not_read(spark):
 
 
 def test_markdown_is_computed_once(spark):
-    assert plan(W.capture_tally(spark, SF)).count("(?is)<nav") == 1
+    assert plan(W.capture_tally(spark, SF)).count("ArrowEvalPython") == 1

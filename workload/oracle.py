@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from lodestone.functions import html as H
 from workload.queries import INSTRUCTION, QNA_TEMPLATE, TOPIC_TEMPLATE
 
 
@@ -16,14 +15,29 @@ def _steps(column: str, steps: list[tuple[str, str]]) -> str:
     return column
 
 
+# What the given pages are made of: text in paragraphs that may open with an unclosed bold
+# part and a line break, headings, and elements that hold no content.
+PAGE_STEPS = [
+    (r"(?s)^.*?<body>|<!--.*?-->|<nav>.*?</nav>|<div class=.ad.>.*?</div>|<footer>.*?</footer>", ""),
+    (r"\s+", " "),
+    (r"([\\`*_\[\]])", r"\\\1"),
+    (r" ?<b>([^<]*?) ?<br>", r"**\1**"),
+    (r" ?<h1[^>]*> ?", "\n\n# "),
+    (r" ?</?(p|h1|li|ul|article|div)\b[^>]*> ?", "\n\n"),
+    (r"<[^>]*>", ""),
+]
+CHARACTERS = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+LINE_STEPS = [(r" *\n *", "\n"), (r"\n\n\n+", "\n\n"), (r"^\s+|\s+$", "")]
+
+
 def _entities(column: str) -> str:
-    for entity, char in H.ENTITIES:
+    for entity, char in CHARACTERS:
         column = f"replace({column}, {_text(entity)}, {_text(char)})"
     return column
 
 
 def _markdown(column: str) -> str:
-    return _steps(_entities(_steps(column, H.MARKDOWN_STEPS)), H.BLANK_STEPS)
+    return _steps(_entities(_steps(column, PAGE_STEPS)), LINE_STEPS)
 
 
 VALID = r"regexp_matches({0}, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]')"
@@ -203,9 +217,9 @@ def all_sql() -> dict[str, str]:
         "html_to_markdown": _sql("items", "select item_pos, markdown from items"),
         "page_metadata": _sql(
             "scr",
-            f"""select item_pos, url as "sourceURL", {_entities(f"regexp_extract(html, {_text(H.TITLE)}, 1)")} as title,
-            {_entities(f"regexp_extract(html, {_text(H.DESCRIPTION)}, 1)")} as description,
-            coalesce(nullif(regexp_extract(html, {_text(H.LANGUAGE)}, 1), ''), 'en') as language from scr""",
+            f"""select item_pos, url as "sourceURL", trim({_entities(f"regexp_replace(regexp_extract(html, {_text('(?is)<title>([^<]*)</title>')}, 1), '[ ]+', ' ', 'g')")}) as title,
+            {_entities(f"regexp_extract(html, {_text('<meta name="description" content="([^"]*)"')}, 1)")} as description,
+            coalesce(nullif(regexp_extract(html, {_text('<html lang="([^"]*)"')}, 1), ''), 'en') as language from scr""",
         ),
         "capture_metadata": _sql("meta", "select * exclude (markdown) from meta"),
         "capture_tally": _sql(
