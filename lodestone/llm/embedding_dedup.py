@@ -66,7 +66,8 @@ def near_duplicates(
     Two rows of equal, non-null label link if their cosine in double precision is at least
     ``cosine``. Vectors that are null, empty, zero or hold null or non-finite components,
     and rows without vec_id, link with nothing; vectors of different length don't link.
-    Equal vectors of a label are compared once and counted as often as they occur. Every
+    Equal vectors of a label are compared once and counted as often as they occur; rows that
+    repeat a vec_id with other vectors keep their own links, and may share a component. Every
     linked pair is found: a vector is copied to all cells whose members could be within
     reach. Cells are compared in blocks of bounded size, whatever a label or cell holds.
     An empty table gives no rows; other columns are ignored.
@@ -83,9 +84,11 @@ def near_duplicates(
         F.xxhash64(F.lit(1), "x").alias("d2"),
     )
     same = ["label", "d1", "d2"]
-    groups = durable(rows.groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors-groups")
+    # A group of equal vectors has a number of its own: a vec_id may be repeated with other vectors.
+    groups = rows.groupBy(*same).agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+    groups = durable(groups.withColumn("rep", F.monotonically_increasing_id()), "vectors-groups")
     member = durable(rows.select("vec_id", *same).join(groups, same).select("vec_id", "rep", "copies"), "vectors-members")
-    reps = rows.join(groups.select(*same, "rep", "copies"), same).where("vec_id = rep").dropDuplicates(["rep"])
+    reps = rows.join(groups, same).where("vec_id = first").dropDuplicates(["rep"])
     reps = durable(reps.select("rep", "copies", "label", "x"), "vectors-distinct")
 
     sizes = reps.groupBy("label").agg(F.count("*").alias("n"))
@@ -166,11 +169,13 @@ def near_duplicates(
     counts = found.where("n > 0").groupBy("u").agg(F.sum("n").alias("linked"))
     roots = components(found.where("n = 0").select("u", "v"))
     of_rep = (
-        member.groupBy("rep").agg(F.max("copies").alias("copies"))
+        groups.select("rep", "first", "copies")
         .join(counts.withColumnRenamed("u", "rep"), "rep", "left")
         .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("rep", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+        .select("rep", "first", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("root"))
     )
+    least = of_rep.groupBy("root").agg(F.min("first").alias("component_id"))
+    of_rep = of_rep.join(least, "root").select("rep", "n_links", "component_id")
     of_row = member.select("vec_id", "rep").join(of_rep, "rep").select("vec_id", "n_links", "component_id")
     alone = every.where("not coalesce(usable, false) or vec_id is null or label is null")
     alone = alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Bytes of a window, widths of the filters, and filters of each width.
 WINDOW = 256
@@ -119,8 +119,9 @@ def fold(doc_id: str) -> Column:
 def fit(docs: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
     """Learn from rows for which ``allowed`` holds; None if there are none with text and language.
 
-    A bounded sample is collected: about SAMPLE_ROWS rows of each language, chosen by a
-    hash of doc_id, and SAMPLE_WINDOWS windows of each, at places spread over its text.
+    A bounded sample is collected: SAMPLE_ROWS rows of each language at most, those of the
+    smallest hashes of doc_id and text, and SAMPLE_WINDOWS windows of each, at places spread
+    over its text. Rows that repeat another's doc_id and text add nothing to it.
     """
     content = F.encode(F.col(text).cast("string"), "UTF-8")
     rows = docs.where(allowed & F.col(lang).isNotNull() & (F.octet_length(F.col(text).cast("string")) > 0))
@@ -128,17 +129,23 @@ def fit(docs: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str = "t
     if not counts:
         return None
     languages = sorted(counts)
-    ticket = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit(11)), F.lit(1 << 30))
-    chosen = F.lit(False)
+    seed = F.xxhash64(F.col(doc_id).cast("string"), F.col(text).cast("string"), F.lit(11))
+    ticket, chosen = F.pmod(seed, F.lit(1 << 30)), F.lit(False)
     for name in languages:
-        chosen |= (F.col(lang) == name) & (ticket < min(1 << 30, -(-(SAMPLE_ROWS << 30) // counts[name])))
+        # Twice as many as wanted pass, so that the cut below finds enough.
+        chosen |= (F.col(lang) == name) & (ticket < min(1 << 30, -(-(2 * SAMPLE_ROWS << 30) // counts[name])))
     size = F.octet_length(content)
     starts = F.transform(
         F.sequence(F.lit(0), F.lit(SAMPLE_WINDOWS - 1)),
-        lambda k: F.pmod(F.xxhash64(F.col(doc_id).cast("string"), k), F.greatest(F.lit(1), size - WINDOW + 1)).cast("int"),
+        lambda k: F.pmod(F.xxhash64(seed, k), F.greatest(F.lit(1), size - WINDOW + 1)).cast("int"),
     )
     cut = F.transform(starts, lambda at: F.substring(content, at + 1, F.lit(WINDOW)))
-    sample = rows.where(chosen).select(F.col(lang).alias("lang"), F.explode(F.array_distinct(cut)).alias("window")).toArrow()
+    drawn = rows.where(chosen).select(F.col(lang).alias("lang"), ticket.alias("ticket"), F.array_distinct(cut).alias("windows")).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("ticket", "windows"))
+    sample = drawn.withColumn("place", place).where(F.col("place") <= SAMPLE_ROWS).select("lang", F.explode("windows").alias("window")).toArrow()
+    if not sample.num_rows:
+        return None
+    languages = sorted(set(sample.column("lang").to_pylist()))  # those with windows
     pairs = sorted(zip(sample.column("lang").to_pylist(), sample.column("window").to_pylist()))
     windows = np.stack([_window(w) for _, w in pairs])
     return train(windows, np.array([languages.index(name) for name, _ in pairs]), languages)

@@ -21,9 +21,6 @@ SMALL = 24
 TILE = 256
 #: A bucket with more fingerprints is dealt into pieces that are compared pair by pair of pieces.
 PIECE = 8_192
-#: Shingles are ordered by rarity from about this many texts, and this many common ones are told apart.
-SAMPLE = 50_000
-COMMON = 131_072
 LAST = 2**63 - 1
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -70,16 +67,19 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return np.unpackbits(values.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
 
 
-def fingerprints(docs: DataFrame, words: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` is the fingerprint's 64 bits as a signed long."""
+def fingerprints(
+    docs: DataFrame, words: int = 4, doc_id: str = "doc_id", text: str = "text", beside: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(doc_id, fp)`` for every row and the longs named in ``beside``; ``fp`` is the fingerprint's 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.record_batch([batch.column(0), pa.array(marks.view(np.int64))], names=["doc_id", "fp"])
+            others = [batch.column(2 + k) for k in range(len(beside))]
+            yield pa.record_batch([batch.column(0), pa.array(marks.view(np.int64)), *others], names=["doc_id", "fp", *beside])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *beside)
+    return rows.mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} long" for c in beside)]))
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -271,261 +271,29 @@ def near_duplicates(
     return marks.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def _common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the commonest shingles, sorted, and a class of each that grows with its count.
-
-    Counted in a sample: the classes only order shingles, so they change no result.
-    """
-    every = max(1, -(-texts.count() // SAMPLE))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                parts = list(shingle_hashes(text.as_py(), words))
-                if parts:
-                    yield pa.record_batch([pa.array(np.unique(np.concatenate(parts)).view(np.int64))], names=["k"])
-
-    sample = texts.where(F.pmod("mark", F.lit(every)) == 0).select("text").mapInArrow(run, "k long")
-    top = sample.groupBy("k").count().where("count > 2").orderBy(F.desc("count"), "k").limit(COMMON).collect()
-    keys = np.array([r["k"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.array([r["count"].bit_length() for r in top], np.uint8)[order]
-
-
-def _needed(n: int, percent: int) -> int:
-    """How many shingles a set of ``n`` must share with any set that is similar enough."""
-    return -(-n * percent // 100)
-
-
-def _shingle_sets(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(s1, s2, n, fp, prefix, doc, mark)`` per text: its shingle set's hash and size, its SimHash and its set's prefix.
-
-    A prefix holds the set's rarest shingles, so many that of two similar sets both hold
-    the first shingle they share.
-    """
-    keys, classes = _common_shingles(texts, words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            signs, sizes, marks, prefixes = [], [], [], []
-            for text in batch.column(0):
-                parts = list(shingle_hashes(text.as_py(), words))
-                own = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-                signs.append(np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64))
-                sizes.append(len(own))
-                marks.append(_sign(parts))
-                if len(own) and len(keys):
-                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-                    own = own[np.argsort(np.where(keys[at] == own, classes[at], 0), kind="stable")]
-                prefixes.append(own[: len(own) - _needed(len(own), percent) + 1].view(np.int64))
-            signs = np.array(signs, np.int64).reshape(-1, 2)
-            yield pa.record_batch(
-                [
-                    pa.array(signs[:, 0]),
-                    pa.array(signs[:, 1]),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(np.array(marks, np.uint64).view(np.int64)),
-                    pa.array(prefixes, pa.list_(pa.int64())),
-                    batch.column(1),
-                    batch.column(2),
-                ],
-                names=["s1", "s2", "n", "fp", "prefix", "doc", "mark"],
-            )
-
-    return texts.select("text", "doc", "mark").mapInArrow(
-        run, "s1 long, s2 long, n long, fp long, prefix array<long>, doc long, mark long"
-    )
-
-
-def meeting(keys: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int, led: bool) -> Iterator[np.ndarray]:
-    """``(u, v)`` pairs of equal key whose sets may be similar, by their sizes and the places of the shared shingle.
-
-    If ``led``, all pairs of groups of up to SMALL come, and of larger ones each member
-    with one before it; otherwise the pairs of larger groups whose roots differ.
-    """
-
-    def near(i, j):
-        most = np.minimum(n[i] - pos[i], n[j] - pos[j])
-        return (n[i] * 100 >= n[j] * percent) & (n[j] * 100 >= n[i] * percent) & (most * (100 + percent) >= (n[i] + n[j]) * percent)
-
-    if not len(keys):
-        return
-    order = np.lexsort((node, n, keys))
-    keys, node, root, n, pos = (x[order] for x in (keys, node, root, n, pos))
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    sizes = np.diff(np.r_[starts, len(keys)])
-    small = sizes <= SMALL
-    if led:
-        size_of = np.repeat(np.where(small, sizes, 0), sizes)
-        place = np.arange(len(keys)) - np.repeat(starts, sizes)
-        for step in range(1, SMALL):
-            here = np.flatnonzero(place + step < size_of)
-            if not here.size:
-                break
-            here = here[near(here, here + step)]
-            yield np.stack([node[here], node[here + step]], axis=1)
-    for start, size in zip(starts[~small].tolist(), sizes[~small].tolist()):
-        if not led and (root[start : start + size] == root[start]).all():
-            continue
-        settled = np.zeros(size, bool)
-        for k in range(size - 1):
-            if settled[k]:
-                continue
-            upto = int(np.searchsorted(n[start : start + size], n[start + k] * 100 // percent, "right"))
-            later = np.arange(k + 1, upto)
-            if led:
-                later = later[~settled[later]]
-            else:
-                later = later[root[start + later] != root[start + k]]
-            later = later[near(start + k, start + later)]
-            if led:
-                settled[later] = True
-            if later.size:
-                yield np.stack([np.full(later.size, node[start + k]), node[start + later]], axis=1)
-
-
-def _candidates(entries: DataFrame, percent: int, led: bool) -> DataFrame:
-    """Distinct ``(u, v)`` of ``entries (k, low, high, node, root, n, pos)`` that ``meeting`` finds, ``u < v``."""
-    names = ("low", "high", "node", "root", "n", "pos")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-
-        def found(rows):
-            change = np.r_[False, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)] if len(rows) else np.zeros(0, bool)
-            parts, size = [], 0
-            for pairs in meeting(np.cumsum(change), *(rows[:, k] for k in (3, 4, 5, 6)), percent, led):
-                parts.append(np.sort(pairs, axis=1))
-                size += len(pairs)
-                if size > 1 << 18:
-                    yield _pair_batch(parts)
-                    parts, size = [], 0
-            if size:
-                yield _pair_batch(parts)
-
-        for batch in batches:
-            rows = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(7)], axis=1)
-            rows = rows if held is None else np.concatenate([held, rows])
-            if not len(rows):
-                continue
-            last = np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1))
-            cut = int(last[-1]) + 1 if last.size else 0
-            held = rows[cut:]
-            yield from found(rows[:cut])
-        if held is not None:
-            yield from found(held)
-
-    dealt = entries.select("k", *names).repartition("k", "low", "high").sortWithinPartitions("k", "low", "high")
-    return dealt.mapInArrow(run, "u long, v long").where("u <> v").distinct()
-
-
-def _pair_batch(parts: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.concatenate(parts)
-    pairs = pairs[np.lexsort(pairs.T)]
-    pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]]
-    return pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], names=["u", "v"])
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The ``(u, v)`` whose shingle sets have a Jaccard similarity of at least ``percent``, compared whole."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = []
-            for text in batch.column(1):
-                parts = list(shingle_hashes(text.as_py(), words))
-                own.append(np.unique(np.concatenate(parts)).tobytes() if parts else b"")
-            yield pa.record_batch([batch.column(0), pa.array(own, pa.binary())], names=["node", "shingles"])
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            enough = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                enough.append(shared * 100 >= (len(a) + len(b) - shared) * percent)
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(enough, pa.bool_()))
-
-    pairs = durable(pairs, "copies-pairs")
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    rows = sets.join(wanted, "node").select("node", "doc", "mark").join(texts, ["doc", "mark"]).dropDuplicates(["node"])
-    shown = durable(rows.select("node", "text").mapInArrow(hashed, "node long, shingles binary"), "copies-shingles")
-    ours, theirs = (shown.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_shingles")) for x in "uv")
-    both = pairs.join(ours, "u").join(theirs, "v").select("u", "v", "u_shingles", "v_shingles")
-    found = durable(both.mapInArrow(compared, "u long, v long"), "copies-links")
-    discard(pairs, shown)
-    return found
-
-
-def similar_groups(docs: DataFrame, words: int, radius: int, blocks: int, percent: int) -> DataFrame:
-    """``(doc, mark, lead_doc, lead_mark)`` per distinct text: the least text that links of similarity reach.
-
-    ``doc`` is the doc_id, nulls last, ``mark`` a hash of the text. Two texts are linked if
-    their sets of shingles of ``words`` words have a Jaccard similarity of at least
-    ``percent`` per cent; texts without words have equal sets. No pair is missed: similar
-    sets share a shingle of their prefixes, where their sizes and its places let them
-    pass, and every candidate is verified on its whole sets. SimHash within ``radius`` and
-    the first members of large groups settle close copies beforehand, so that copies
-    needn't be paired among themselves.
-    """
-    texts = docs.select(_doc(), _mark(), F.col("text").cast("string").alias("text"))
-    marks = durable(_shingle_sets(texts, words, percent), "copies-marks")
-    least = F.min(F.struct("doc", "mark", "n", "fp", "prefix")).alias("x")
-    sets = marks.groupBy("s1", "s2").agg(least).select("s1", "s2", "x.*")
-    sets = durable(sets.withColumn("node", F.monotonically_increasing_id()), "copies-sets")
-
-    close = durable(near_links(sets.select("fp").distinct(), radius, blocks), "copies-simhash")
-    near = sets.join(components(close).withColumnRenamed("node", "fp"), "fp", "left")
-    near = near.select("node", F.coalesce("root", "fp").alias("root"))
-    stars = near.join(near.groupBy("root").agg(F.min("node").alias("u")), "root").where("u <> node").select("u", F.col("node").alias("v"))
-
-    met = sets.select("node", "n", F.posexplode("prefix").alias("pos", "k"))
-    counts = met.groupBy("k").count().where("count > 1")
-    pieces = F.ceil(F.col("count") / PIECE).cast("int")
-    met = durable(met.join(counts, "k").withColumn("pieces", pieces), "copies-entries")
-    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("pieces")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("own", own).withColumn("met", other)
-        return rows.withColumns({"low": F.least("own", "met"), "high": F.greatest("own", "met")})
-
-    led = _candidates(dealt(met.withColumn("root", F.col("node"))), percent, True)
-    first = _similar(led.union(stars).distinct(), sets, texts, words, percent)
-    roots = durable(components(first), "copies-roots")
-    large = met.where(F.col("count") > SMALL).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    more = _similar(_candidates(dealt(large), percent, False), sets, texts, words, percent)
-    discard(close, met, roots)
-
-    named = sets.join(components(first.union(more)), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lead = named.groupBy("root").agg(F.min(F.struct("doc", "mark")).alias("lead"))
-    named = durable(named.join(lead, "root").select("s1", "s2", "lead"), "copies-named")
-    discard(sets, first, more)
-    found = marks.join(named, ["s1", "s2"]).select("doc", "mark", F.col("lead.doc").alias("lead_doc"), F.col("lead.mark").alias("lead_mark"))
-    found = durable(found.distinct(), "copies-leads")
-    discard(marks, named)
-    return found
-
-
-def _doc() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
+def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, blocks: int = 6, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row for each group of fingerprints that links connect.
 
-
-def _mark() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mark")
-
-
-def keep_one(docs: DataFrame, words: int, radius: int, blocks: int, percent: int | None = None) -> DataFrame:
-    """``docs`` with one row for each near-duplicate group, that of its smallest doc_id.
-
-    Groups are those of ``similar_groups``, or, without ``percent``, of SimHash alone.
-    Rows without doc_id stay, as nothing names them. Of rows that repeat a doc_id one stays.
+    The row of the smallest doc_id stays, null ids last, and of rows that repeat it the one
+    of smallest text hash. Rows of equal doc_id and text are copies whatever else they hold;
+    the one whose columns hash lowest stays. Texts without words are a group like any other.
+    An empty table gives no rows; columns stay as they are.
     """
-    if percent is None:
-        lead = near_duplicates(docs, words, radius, blocks).where("doc_id = component_id").select("doc_id")
-    else:
-        found = similar_groups(docs.where("doc_id is not null"), words, radius, blocks, percent)
-        lead = found.where("doc = lead_doc").select(F.col("doc").alias("doc_id"))
-    lead = durable(lead.distinct(), "simhash-kept")
-    kept = docs.where("doc_id is not null").join(lead, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    # Texts are told apart by 128 bits of hashes.
+    name = [
+        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST)).alias("doc_id"),
+        F.xxhash64(content).alias("m1"),
+        F.xxhash64(F.lit(1), content).alias("m2"),
+    ]
+    keys = ["doc_id", "m1", "m2"]
+    marks = fingerprints(docs.select(*name, content.alias("text")), words, beside=("m1", "m2"))
+    firsts = durable(marks.groupBy("fp").agg(F.min(F.struct(*keys)).alias("first")), "simhash-distinct")
+    links = durable(near_links(firsts.select("fp"), radius, blocks), "simhash-links")
+    roots = components(links).withColumnRenamed("node", "fp")
+    grouped = firsts.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    lead = durable(grouped.select("first.*"), "simhash-kept")
+    discard(firsts, links)
+    rows = docs.select(*name, F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).join(lead, keys, "left_semi")
+    kept = rows.groupBy(*keys).agg(F.min_by("row", F.xxhash64(F.col("row").cast("string"))).alias("row"))
+    return kept.select("row.*")

@@ -54,6 +54,13 @@ def test_awkward_rows(spark):
     assert found(spark, rows) == plain(rows, 0.98)
 
 
+def test_a_repeated_vec_id_keeps_the_links_of_each_vector(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.001], 1), (3, [0.001, 1.0], 1), (1, [1.0, 0.0], 2)]
+    got = found(spark, rows)
+    assert got == plain(rows, 0.98)
+    assert (2, 1, 1, False) in got and (3, 1, 1, False) in got
+
+
 def test_empty(spark):
     assert found(spark, []) == []
 

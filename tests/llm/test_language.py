@@ -45,3 +45,14 @@ def test_whole_text_counts(spark):
     text = by["en"] + by["de"] * 8
     found = language.predict(spark.createDataFrame([(text,)], "text string"), net).first()
     assert found.lang_pred == "de" and found.score < 0.99
+
+
+def test_a_language_whose_rows_repeat_one_id(spark):
+    rows = [(1, f"der text nummer {k} ist deutsch und anders", "de") for k in range(3_000)] + [(k, f"the text number {k} is english", "en") for k in range(300)]
+    rows += [(7, "immer derselbe text hier", "fr")] * 3_000
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language.fit(table, F.lit(True))
+    assert {"de", "en"} <= set(net.languages)
+    found = language.predict(table, net)
+    right = found.where("lang <> 'fr'").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
+    assert right > 0.97

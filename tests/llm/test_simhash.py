@@ -94,11 +94,11 @@ def test_large_buckets_are_dealt_into_pieces(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
-    assert simhash.keep_one(empty(spark), 5, 4, 6).count() == 0
+    assert simhash.keep_one(empty(spark)).count() == 0
 
 
 def test_one_of_each_group_stays(spark):
-    kept = simhash.keep_one(documents(spark), 5, 4, 6)
+    kept = simhash.keep_one(documents(spark))
     assert kept.columns == documents(spark).columns
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(9) == 1 and ids.count(None) == 1
@@ -106,66 +106,32 @@ def test_one_of_each_group_stays(spark):
     assert sum(i in ids for i in (3, 4, 7)) == 1  # no words
 
 
-def varied(seed=5):
-    """Texts with copies at many similarities around 0.8, and unrelated ones that share a passage."""
-    rng = np.random.default_rng(seed)
-
-    def fresh(n):
-        return [f"w{x}" for x in rng.integers(0, 5_000, n)]
-
-    passage, texts = fresh(30), []
-    for size in (40, 120, 400):
-        for _ in range(6):
-            base = fresh(size)
-            texts.append(base)
-            for changes in (1, 2, 4, size // 45 + 1, size // 40 + 1, size // 25 + 1):
+def test_kept_rows_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    texts = []
+    for size in (3, 60, 200, 500):
+        for _ in range(5):
+            base = [f"w{x}" for x in rng.integers(0, 5_000, size)]
+            texts.append(" ".join(base))
+            for _ in range(4):
                 copy = list(base)
-                for at in rng.integers(0, size, changes):
-                    copy[at] = f"x{rng.integers(0, 10**9)}"
-                texts.append(copy)
-    base = fresh(150)  # copies of one text, each with three words of its own: about 0.82 to it, less to each other
-    for _ in range(60):
-        copy = list(base)
-        for at in rng.choice(29, 3, replace=False) * 5 + 4:
-            copy[at] = f"y{rng.integers(0, 10**9)}"
-        texts.append(copy)
-    texts.append(base)
-    texts += [fresh(90) + passage + fresh(60) for _ in range(40)]
-    order = rng.permutation(len(texts))
-    return [(k, " ".join(texts[at])) for k, at in enumerate(order)]
-
-
-def brute_force_leads(texts, words=5, percent=80):
-    sets = []
-    for _, text in texts:
-        tokens = text.split()
-        sets.append({tuple(tokens[k : k + words]) for k in range(max(1, len(tokens) - words + 1))})
-    names = list(range(len(sets)))
-
-    def root(k):
-        while names[k] != k:
-            k = names[k]
-        return k
-
-    for a in range(len(sets)):
-        for b in range(a):
-            if len(sets[a] & sets[b]) * 100 >= len(sets[a] | sets[b]) * percent:
-                x, y = root(a), root(b)
-                names[max(x, y)] = min(x, y)
-    return sorted(texts[k][0] for k in range(len(sets)) if root(k) == k)
-
-
-@pytest.mark.parametrize("common, piece", [(3, 8_192), (1_000, 16)])
-def test_kept_texts_equal_brute_force_jaccard(spark, monkeypatch, common, piece):
-    monkeypatch.setattr(simhash, "COMMON", common)
-    monkeypatch.setattr(simhash, "PIECE", piece)
-    texts = varied()
-    kept = simhash.keep_one(documents(spark, texts), 5, 6, 8, 80)
-    assert sorted(r.doc_id for r in kept.collect()) == brute_force_leads(texts)
-
-
-def test_near_fingerprints_alone_link_nothing(spark):
-    texts = [(k, "word " * 400 + " ".join(f"t{k}n{x}" for x in range(30))) for k in range(4)]
-    marks = [simhash.fingerprint(t, 5) for _, t in texts]
-    assert all((a ^ b).bit_count() <= 6 for a in marks for b in marks)
-    assert simhash.keep_one(documents(spark, texts), 5, 6, 8, 80).count() == 4
+                copy[rng.integers(0, size)] = f"x{rng.integers(0, 10**9)}"
+                texts.append(" ".join(copy))
+    rows = [(int(k), texts[at]) for k, at in enumerate(rng.permutation(len(texts)))]
+    roots = groups([simhash.fingerprint(t, 4) for _, t in rows], 4)
+    kept = simhash.keep_one(documents(spark, rows))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots))
+    assert len(set(roots)) < len(rows) - 10
+
+
+def test_repeated_ids_with_other_texts_all_stay(spark):
+    one, two, three = (" ".join(f"{p}{k}" for k in range(80)) for p in "abc")
+    rows = [(1, one), (1, two), (1, two), (None, three), (None, three), (None, one), (2, two)]
+    kept = simhash.keep_one(documents(spark, rows))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, one), (1, two), (None, three)], key=repr)
+
+
+def test_of_rows_that_differ_elsewhere_the_same_one_stays(spark):
+    table = spark.createDataFrame([(1, "a b c d e", k, {"m": k}) for k in range(20)], "doc_id long, text string, row int, m1 map<string,int>")
+    kept = [simhash.keep_one(table.repartition(n)).collect() for n in (1, 7)]
+    assert len(kept[0]) == 1 and kept[0] == kept[1]
