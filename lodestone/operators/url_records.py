@@ -8,7 +8,9 @@ from lodestone.functions import json as J
 from lodestone.functions.text import category_slug
 from lodestone.functions.urls import is_valid_url
 from lodestone.operators.grouping import group_key
+from lodestone.operators.json_split import array_elements
 from lodestone.operators.skew import salted_join
+from lodestone.session import durable
 
 NO_CATEGORY = "Uncategorized"
 
@@ -106,6 +108,27 @@ def read_url_documents(documents: DataFrame) -> DataFrame:
     return J.computed_once(staged, status=status, blocks=F.col("_blocks")).select("file_path", "status", "blocks")
 
 
+def read_url_pieces(pieces: DataFrame) -> DataFrame:
+    """Like ``read_url_documents`` for files read in pieces: a list's blocks come as a row each.
+
+    ``status`` is that of the whole file, on every row of it; ``explode_urls`` and what
+    follows read both forms. A file in map form is put together first.
+    """
+    found = array_elements(pieces)
+    blocks = F.transform("elements", lambda e: _list_block(e, F.col("pos").cast("int")))
+    laid = durable(found.groups.select("file_path", "pos", blocks.alias("blocks")), "url-blocks")
+    spoiled = F.exists("blocks", lambda b: F.exists(b["items"], lambda x: x["bad"]))
+    bad = laid.groupBy("file_path").agg(F.bool_or(F.coalesce(spoiled, F.lit(False))).alias("_bad"))
+    status = F.when(~F.col("valid"), "invalid_json").when(F.coalesce("_bad", F.lit(False)), "bad_entry").otherwise("ok")
+    files = durable(found.files.where("listed").join(bad, "file_path", "left").select("file_path", status.alias("status")), "url-files")
+    good = salted_join(laid.where(F.size("blocks") > 0), files.where("status = 'ok'"), ["file_path"], ["pos"], "inner").select("file_path", "status", "blocks")
+    # Files that are skipped, and lists without a block, keep one row.
+    other = files.join(good.select("file_path").distinct(), "file_path", "left_anti")
+    nothing = F.array().cast(laid.schema["blocks"].dataType)
+    shown = other.select("file_path", "status", F.when(F.col("status") == "ok", nothing).alias("blocks"))
+    return good.unionByName(shown).unionByName(read_url_documents(found.others))
+
+
 def explode_urls(url_documents: DataFrame) -> DataFrame:
     """Valid URLs of all readable files, with positions."""
     blocks = url_documents.where(F.col("status") == "ok").select("file_path", F.explode("blocks").alias("b"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestone.functions.urls import relative_path
 
+PIECES = "file_path string, block bigint, id bigint, file_size bigint, part string"
 RESULT_SCHEMA = "qid bigint, category string, question string, dorks string, urls array<string>, error string, slug string"
 
 
@@ -49,6 +50,27 @@ def read_json_documents(spark: SparkSession, root: str, strict: bool = True) ->
     return found.select(_below(F.col("path"), root).alias("file_path"), F.col("content").cast("string").alias("content"))
 
 
+def read_json_pieces(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
+    """All ``*.json`` files below ``root``, cut at closing braces: the form to use for large files.
+
+    ``(file_path, block, id, file_size, part)`` for ``json_split.array_elements``. Spark
+    splits a file into byte ranges, ``block`` being where one starts, and reads whole parts
+    only, with any file system that it knows.
+    """
+    if not _path_exists(spark, root):
+        if strict:
+            raise FileNotFoundError(root)
+        return spark.createDataFrame([], PIECES)
+    reader = spark.read.option("lineSep", "}").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+    return reader.text(root).select(
+        _below(F.col("_metadata.file_path"), root).alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("value").alias("part"),
+    )
+
+
 def read_mounted_json(spark: SparkSession, root: str) -> DataFrame:
     """Like ``read_json_documents`` for a folder that all machines have mounted.
 

@@ -190,6 +190,7 @@ def all_sql() -> dict[str, str]:
             "select distinct file_path, case when conv_id % 41 = 7 then 'invalid_json' when conv_id % 43 = 5 then 'bad_entry' else 'ok' end as status from l",
         ),
         "explode_urls": _sql("rec", "select * from rec"),
+        "split_url_files": _sql("rec", "select * from rec"),
         "dedupe_per_file": _sql("ded", "select * from ded"),
         "web_urls": _sql("web", "select file_path, url from web"),
         "distinct_urls": _sql("dim", "select url, first_file as file_path, entry_pos, url_pos from dim"),

@@ -79,6 +79,19 @@ def explode_urls(spark, sf):
     return _records(spark, sf)
 
 
+def split_url_files(spark, sf):
+    """The same files in pieces, as a reader that splits files gives them."""
+    parts = F.split("content", r"\}")
+    closed = F.endswith("content", F.lit("}"))
+    pieces = I.url_documents(spark, sf).select(
+        "file_path",
+        F.octet_length("content").cast("long").alias("file_size"),
+        F.posexplode(F.when(closed, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)).alias("n", "part"),
+    )
+    pieces = pieces.select("file_path", F.floor(F.col("n") / 5).alias("block"), F.col("n").cast("long").alias("id"), "file_size", "part")
+    return U.explode_urls(U.read_url_pieces(pieces))
+
+
 def dedupe_per_file(spark, sf):
     return U.dedupe_per_file(_records(spark, sf))
 
@@ -493,6 +506,7 @@ ALL = [
     url_validity,
     file_status,
     explode_urls,
+    split_url_files,
     dedupe_per_file,
     web_urls,
     distinct_urls,
