@@ -5,13 +5,13 @@ Files without any content are not listed: Spark skips them.
 
 from __future__ import annotations
 
-import glob
-import os
 import re
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestone.functions.urls import relative_path
+from lodestone.sources.document_files import NamedFiles, opened
 
 PIECES = "file_path string, block bigint, id bigint, file_size bigint, part string"
 RESULT_SCHEMA = "qid bigint, category string, question string, dorks string, urls array<string>, error string, slug string"
@@ -44,7 +44,7 @@ def read_json_documents(spark: SparkSession, root: str, strict: bool = True) ->
     """All ``*.json`` files below ``root`` as ``(file_path, content)``.
 
     Spark never lists names that start with an underscore, which category slugs may
-    do; ``read_mounted_json`` does.
+    do; ``read_named_json`` does.
     """
     found = _whole_files(spark, root, "*.json", strict)
     return found.select(_below(F.col("path"), root).alias("file_path"), F.col("content").cast("string").alias("content"))
@@ -71,31 +71,17 @@ def read_json_pieces(spark: SparkSession, root: str, strict: bool = True) -> Dat
     )
 
 
-def read_mounted_json(spark: SparkSession, root: str) -> DataFrame:
-    """Like ``read_json_documents`` for a folder that all machines have mounted.
+def read_named_json(spark: SparkSession, root: str) -> DataFrame:
+    """Like ``read_json_documents``, names that begin with an underscore included.
 
-    Only names that start with a dot are left out. The names are listed once, the
-    files are read by the tasks; text that is not UTF-8 is null.
+    ``root`` is a path or URI that Arrow's file systems open on all machines. Only names
+    that begin with a dot are left out, empty files are there; text that is not UTF-8 is null.
     """
-    if not os.path.isdir(root):
+    system, plain = opened(root)
+    if system.get_file_info(plain).type != fs.FileType.Directory:
         raise FileNotFoundError(root)
-    names = sorted(glob.glob("**/*.json", root_dir=root, recursive=True))
-
-    def read(batches):
-        import pandas as pd
-
-        def text(name):
-            try:
-                with open(os.path.join(root, name), encoding="utf-8", newline="") as source:
-                    return source.read()
-            except UnicodeDecodeError:
-                return None
-
-        for batch in batches:
-            yield pd.DataFrame({"file_path": batch.file_path, "content": batch.file_path.map(text)})
-
-    listed = spark.createDataFrame([(n,) for n in names], "file_path string")
-    return spread(listed).mapInPandas(read, "file_path string, content string")
+    spark.dataSource.register(NamedFiles)
+    return spark.read.format("named_files").option("suffix", ".json").load(root)
 
 
 def read_json_file(spark: SparkSession, *paths: str) -> DataFrame:

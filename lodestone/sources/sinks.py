@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, functions as F
 
 from lodestone.operators.url_records import filed_results
+from lodestone.sources.document_files import DocumentFiles
 
 FILE_ROWS = 1_000_000
 # Files of one folder at least where it has many rows: a folder is shared by so many tasks.
@@ -22,19 +21,23 @@ def _by_folder(rows: DataFrame, folders: list[str], pos: str) -> DataFrame:
     return rows.repartition(*folders, F.pmod(F.xxhash64(pos), F.lit(FOLDER_TASKS)))
 
 
+def _replacing(rows: DataFrame) -> DataFrameWriter:
+    """A writer that replaces the folders it writes to and leaves all others."""
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_ROWS)
+
+
 def write_results(results: DataFrame, target: str, pos: str = "qid") -> None:
     """Search results as JSON lines in one folder per category slug.
 
     A folder replaced by a later category with the same slug holds that category only.
+    Folders of categories that are not among the results stay as they are.
     """
-    rows = _by_folder(_filed(results, pos), ["slug"], pos)
-    rows.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy("slug").json(target)
+    _replacing(_by_folder(_filed(results, pos), ["slug"], pos)).partitionBy("slug").json(target)
 
 
 def write_engine_results(results: DataFrame, target: str, pos: str = "qid") -> None:
-    """Results of several engines, one folder per engine and slug."""
-    rows = _by_folder(_filed(results, pos), ["engine", "slug"], pos)
-    rows.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy("engine", "slug").json(target)
+    """Results of several engines, one folder per engine and slug; other folders stay."""
+    _replacing(_by_folder(_filed(results, pos), ["engine", "slug"], pos)).partitionBy("engine", "slug").json(target)
 
 
 def write_documents(documents: DataFrame, target: str) -> None:
@@ -42,35 +45,14 @@ def write_documents(documents: DataFrame, target: str) -> None:
     documents.select("content_path", "markdown").write.mode("overwrite").parquet(target)
 
 
-def mounted(path: str) -> str | None:
-    """The plain form of a path that tasks can open as a file, else nothing."""
-    plain = re.sub(r"^file:(?://)?(?=/)", "", path)
-    return plain if plain.startswith("/") else None
-
-
-def write_markdown_files(documents: DataFrame, target: str) -> None:
-    """One ``.md`` file per document, below a folder all executors share.
+def write_markdown_files(documents: DataFrame, target: str, mode: str = "append") -> None:
+    """One ``.md`` file per document, below a path or URI that Arrow's file systems open.
 
-    ``documents`` holds one row per path. Each file appears under its name only when
-    complete, so a task that runs twice leaves the same file.
+    ``documents`` holds one row per path. Files appear under their names when all of them
+    are written; a file of the same name is replaced, with ``overwrite`` all others go too.
     """
-    root = mounted(target)
-    if root is None:
-        raise ValueError(f"not a mounted folder: {target}")
-
-    def write(rows):
-        import os
-        import uuid
-
-        for row in rows:
-            path = os.path.join(root, row.content_path)
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            part = f"{path}.{uuid.uuid4().hex}"
-            with open(part, "w", encoding="utf-8", newline="") as out:
-                out.write(row.markdown)
-            os.replace(part, path)
-
-    documents.select("content_path", "markdown").foreachPartition(write)
+    documents.sparkSession.dataSource.register(DocumentFiles)
+    documents.select("content_path", "markdown").write.format("document_files").mode(mode).save(target)
 
 
 def write_blocks(blocks: DataFrame, target: str) -> None:

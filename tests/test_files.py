@@ -6,6 +6,7 @@ import pytest
 from lodestone.operators import questions as Q
 from lodestone.operators import url_records as U
 from lodestone.sources import files, sinks
+from lodestone.sources.document_files import NamedFilesReader
 
 
 def put(folder, name, content):
@@ -27,18 +28,18 @@ def test_json_documents_are_found_below_the_root(spark, tmp_path):
     assert sorted((r.file_path, r.category, r.url) for r in records.collect()) == [("b.json", "B", "http://b"), ("sub/a é.json", "A", "http://a")]
 
 
-def test_mounted_folders_show_all_but_dot_names(spark, tmp_path):
+def test_all_but_dot_names_are_read(spark, tmp_path):
     for name in ("_x.json", "sub/_y.json", "_d/z.json", "a.json", ".h.json", "n.txt"):
         put(tmp_path, name, '{"A":[{"url":"http://' + name.replace("/", "-") + '"}]}')
     put(tmp_path, "e.json", "")
     put(tmp_path, "l.json", b"\xff")
-    found = files.read_mounted_json(spark, str(tmp_path))
+    found = files.read_named_json(spark, str(tmp_path))
     read = U.read_url_documents(found)
     assert sorted((r.file_path, r.status) for r in read.collect()) == [
         ("_d/z.json", "ok"), ("_x.json", "ok"), ("a.json", "ok"), ("e.json", "invalid_json"), ("l.json", "invalid_json"), ("sub/_y.json", "ok"),
     ]
     with pytest.raises(FileNotFoundError):
-        files.read_mounted_json(spark, str(tmp_path / "none"))
+        files.read_named_json(spark, str(tmp_path / "none"))
 
 
 def test_missing_folders(spark, tmp_path):
@@ -69,6 +70,59 @@ def test_markdown_round_trip_skips_other_encodings(spark, tmp_path):
     assert sorted(os.listdir(root)) == ["a", "bad.md", "note.txt", "y.md"]
 
 
+def test_named_files_are_shared_by_bytes(spark, tmp_path):
+    sizes = [40, 3, 20, 20, 1, 0]
+    for k, mb in enumerate(sizes):
+        put(tmp_path, f"_{k}/f{k}.json", "x" * (mb << 20))
+    reader = NamedFilesReader(str(tmp_path), ".json")
+    shares = [share.names for share in reader.partitions()]
+    assert sorted(sum(shares, [])) == [f"_{k}/f{k}.json" for k in range(6)] and len(shares) >= 3
+    assert shares[0] == ["_0/f0.json"]
+    read = files.read_named_json(spark, f"file://{tmp_path}")
+    assert sorted((r.file_path, r.n) for r in read.selectExpr("file_path", "length(content) as n").collect()) == [
+        (f"_{k}/f{k}.json", mb << 20) for k, mb in enumerate(sizes)
+    ]
+
+
+def test_a_failed_job_leaves_no_file(spark, tmp_path):
+    root = tmp_path / "out"
+    good = [(f"a/{k}.md", f"text {k}") for k in range(40)]
+    documents = spark.createDataFrame(good, "content_path string, markdown string")
+    for bad in ("../escaped.md", "/absolute.md", "folder/", ""):
+        rows = documents.union(spark.createDataFrame([(bad, "no")], documents.schema)).repartition(5)
+        with pytest.raises(Exception, match="below the target"):
+            sinks.write_markdown_files(rows, str(root))
+        assert [p for p in tmp_path.rglob("*") if p.is_file()] == []
+    sinks.write_markdown_files(documents.repartition(5), f"file://{root}")
+    assert sorted(tuple(r) for r in files.read_markdown(spark, str(root)).collect()) == sorted(good)
+    assert sorted(os.listdir(root)) == ["a"]
+
+
+def test_documents_are_added_replaced_or_overwritten(spark, tmp_path):
+    root, schema = str(tmp_path / "out"), "content_path string, markdown string"
+    sinks.write_markdown_files(spark.createDataFrame([("a.md", "1"), ("b/c.md", "2")], schema), root)
+    sinks.write_markdown_files(spark.createDataFrame([("a.md", "3"), ("d.md", None)], schema), root)
+    assert {r.content_path: r.markdown for r in files.read_markdown(spark, root).collect()} == {"a.md": "3", "b/c.md": "2"}
+    assert (tmp_path / "out" / "d.md").read_text() == ""
+    sinks.write_markdown_files(spark.createDataFrame([("e.md", "5")], schema), root, "overwrite")
+    assert os.listdir(root) == ["e.md"]
+    sinks.write_markdown_files(spark.createDataFrame([], schema), root)
+    assert os.listdir(root) == ["e.md"]
+
+
+def test_writing_one_category_leaves_the_others(spark, tmp_path):
+    schema = "qid long, category string, question string, dorks string, urls array<string>, error string"
+    target = str(tmp_path / "r")
+    sinks.write_results(spark.createDataFrame([(1, "A", "q1", None, ["http://a"], None), (2, "B", "q2", None, [], "none"), (3, "B", "q3", None, [], None)], schema), target)
+    sinks.write_results(spark.createDataFrame([(9, "B", "again", None, ["http://b"], None), (10, "C", "new", None, [], None)], schema), target)
+    back = files.read_result_tables(spark, target).orderBy("qid").collect()
+    assert [(r.slug, r.qid, r.question) for r in back] == [("a", 1, "q1"), ("b", 9, "again"), ("c", 10, "new")]
+    engines = str(tmp_path / "e")
+    for engine, qid in (("one", 1), ("two", 2), ("one", 3)):
+        sinks.write_engine_results(spark.createDataFrame([(qid, "A", "q", None, [], None)], schema).selectExpr("*", f"'{engine}' as engine"), engines)
+    assert sorted((r.engine, r.qid) for r in spark.read.json(engines).collect()) == [("one", 3), ("two", 2)]
+
+
 def test_results_are_filed_by_slug(spark, tmp_path):
     rows = [(1, "A &", "q1", None, ["http://a"], None), (2, "A !", "q2", "d", ["http://b"], None), (3, "B", "q3", None, [], "no results found")]
     results = spark.createDataFrame(rows, "qid long, category string, question string, dorks string, urls array<string>, error string")

@@ -380,6 +380,16 @@ def all_sql() -> dict[str, str]:
             from l where category in (select arg_max(category, first_seen) from
             (select category, {SLUG.format('category')} as slug, min(conv_id * 1000 + turn) as first_seen from l group by 1, 2) group by slug)""",
         ),
+        "categories_searched_again": _sql(
+            "q",
+            f"""select slug, qid, category, question, dorks, error from (
+            with runs as (
+                select 1 as run, *, null as error from q union all select 2, *, 'searched again' from q where dorks <> ''),
+            named as (select *, regexp_replace({SLUG.format('category')}, '\\.json$', '') as slug from runs),
+            firsts as (select run, slug, category, min(qid) as first_seen from named group by all),
+            winners as (select run, slug, arg_max(category, first_seen) as category from firsts group by run, slug)
+            select * from named join winners using (run, slug, category) qualify run = max(run) over (partition by slug))""",
+        ),
         "markdown_files_roundtrip": _sql(
             "items", "select 'd' || item_pos || '.md' as content_path, markdown from items where markdown <> ''"
         ),

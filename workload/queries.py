@@ -19,6 +19,7 @@ from lodestone.operators import url_records as U
 from lodestone.plans import jobs
 from lodestone.session import durable, run_dir
 from lodestone.sources import files, sinks
+from lodestone.sources.document_files import can_open
 from workload import inputs as I
 
 ENTRY = ["item_pos", "category_pos", "category", *jobs.ENTRY_FIELDS]
@@ -483,12 +484,22 @@ def url_files_roundtrip(spark, sf):
     return back.select("slug", "qid", "category", "question", F.posexplode("urls").alias("url_pos", "url"))
 
 
+def categories_searched_again(spark, sf):
+    """All results written, then those of questions with operators once more: only their categories' folders change."""
+    results = I.questions(spark, sf).select("qid", "category", "question", "dorks", F.array("dorks").alias("urls"), F.lit(None).cast("string").alias("error"))
+    target = _fresh(spark, "category-files")
+    sinks.write_results(results, target)
+    again = results.where("dorks <> ''").withColumn("error", F.lit("searched again"))
+    sinks.write_results(again, target)
+    return files.read_result_tables(spark, target).select("slug", "qid", "category", "question", "dorks", "error")
+
+
 def markdown_files_roundtrip(spark, sf):
-    """Documents written and read back whole: as ``.md`` files where the shared folder is mounted, else as a table."""
+    """Documents written and read back whole: as ``.md`` files where Arrow opens the shared folder, else as a table."""
     rows = C.with_success(_items(spark, sf)).where("is_success")
     named = rows.select(F.concat(F.lit("d"), F.col("item_pos"), F.lit(".md")).alias("content_path"), "markdown")
     target = _fresh(spark, "documents")
-    if sinks.mounted(target):
+    if can_open(target):
         sinks.write_markdown_files(named, target)
         return files.read_markdown(spark, target).select("content_path", "markdown")
     sinks.write_documents(named, target)
@@ -572,6 +583,7 @@ ALL = [
     harvest_urls,
     harvest_urls_pdf,
     url_files_roundtrip,
+    categories_searched_again,
     markdown_files_roundtrip,
     end_to_end_counts,
 ]
