@@ -1,4 +1,5 @@
 import json
+import random
 
 from lodestone.operators import harvest as V
 
@@ -48,3 +49,73 @@ def test_objects_show_twice(spark):
 
 def test_broken_documents_yield_nothing(spark):
     assert harvested(spark, V.harvest_urls_with_pdf, "{oops") == []
+
+
+def plain_walk(node, out):
+    """Strings and objects in document order; a repeated key counts once, at its last place."""
+    if isinstance(node, list) and node and node[0] == "object":
+        last = {k: i for i, (k, _) in enumerate(node[1])}
+        kept = [(k, v) for i, (k, v) in enumerate(node[1]) if last[k] == i]
+        named = dict(kept)
+        if isinstance(named.get("url"), str):
+            flag = named.get("is_pdf", False)
+            truth = bool(flag[1]) if isinstance(flag, list) else bool(flag)
+            out.append((named["url"], truth, True))
+        for _, v in kept:
+            plain_walk(v, out)
+    elif isinstance(node, list):
+        for v in node[1]:
+            plain_walk(v, out)
+    elif isinstance(node, str):
+        out.append((node, False, False))
+
+
+def written(node):
+    if isinstance(node, list) and node[0] == "object":
+        return "{" + " , ".join(f"{json.dumps(k)} : {written(v)}" for k, v in node[1]) + "}"
+    if isinstance(node, list):
+        return "[" + ",".join(map(written, node[1])) + "]"
+    return json.dumps(node)
+
+
+def any_node(rng, depth):
+    kind = rng.random()
+    if depth and kind < 0.35:
+        keys = ["url", "is_pdf", "x", 'q"{', "ur\\l"]
+        return ["object", [(rng.choice(keys), any_node(rng, depth - 1)) for _ in range(rng.randint(0, 4))]]
+    if depth and kind < 0.55:
+        return ["list", [any_node(rng, depth - 1) for _ in range(rng.randint(0, 3))]]
+    return rng.choice([f"http://h{rng.randint(0, 99)}/", 'http://q"]}/é', "http://b\\u", "text", "", 0, 1, -0.0, 2.5, True, False, None])
+
+
+def test_any_document_equals_a_plain_walk(spark):
+    rng = random.Random(11)
+    nodes = [any_node(rng, 6) for _ in range(900)]
+    both, strings = [], []
+    for doc, node in enumerate(nodes):
+        out = []
+        plain_walk(node, out)
+        both += [(doc, k, u, p) for k, (u, p, _) in enumerate(out) if u.startswith("http://")]
+        only = [u for u, _, is_object in out if not is_object]
+        strings += [(doc, k, u) for k, u in enumerate(only) if u.startswith("http://")]
+    texts = [written(n) for n in nodes]
+    assert len(both) > 300
+    assert [tuple(r) for r in harvested(spark, V.harvest_urls_with_pdf, *texts)] == both
+    assert [tuple(r) for r in harvested(spark, V.harvest_urls, *texts)] == strings
+
+
+def test_both_harvests_take_the_last_of_a_repeated_key(spark):
+    text = '{"a":"http://1","a":"http://2","b":{"url":"http://3"},"b":[{"url":"http://4","is_pdf":0,"is_pdf":[0]}]}'
+    assert [r.url for r in harvested(spark, V.harvest_urls, text)] == ["http://2", "http://4"]
+    assert [(r.url, r.is_pdf) for r in harvested(spark, V.harvest_urls_with_pdf, text)] == [("http://2", False), ("http://4", True), ("http://4", False)]
+
+
+def test_deep_documents(spark):
+    text = '{"k":[' * 300 + '{"url":"http://deep","is_pdf":true}' + "]}" * 300
+    assert [(r.url, r.is_pdf) for r in harvested(spark, V.harvest_urls_with_pdf, text)] == [("http://deep", True), ("http://deep", False)]
+
+
+def test_bad_documents_have_a_status(spark):
+    rows = spark.createDataFrame([(1, '{"a":1}'), (2, "{oops"), (3, None), (4, ""), (5, '"http://a"')], "doc int, content string")
+    assert dict(map(tuple, V.harvest_status(rows).collect())) == {1: "ok", 2: "invalid_json", 3: "invalid_json", 4: "invalid_json", 5: "ok"}
+    assert [(r.doc, r.url) for r in V.harvest_urls(rows).collect()] == [(5, "http://a")]

@@ -8,7 +8,7 @@ from workload import queries as W
 SF = "/root/testdata/sf0.001"
 
 NATIVE = [
-    W.explode_urls, W.dedupe_per_file, W.url_dimension_last_wins, W.questions_list_form, W.question_rejects, W.decode_qna, W.first_good_attempt, W.running_categories, W.harvest_urls,
+    W.explode_urls, W.dedupe_per_file, W.url_dimension_last_wins, W.questions_list_form, W.question_rejects, W.decode_qna, W.first_good_attempt, W.running_categories, W.harvest_urls, W.harvest_urls_pdf, W.split_url_files,
     W.corpus_top_k, W.search_results,
 ]
 

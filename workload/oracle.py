@@ -333,9 +333,9 @@ def all_sql() -> dict[str, str]:
         "decode_qna": _sql("pairs", "select * from pairs"),
         "prompts_with_replies": _sql(
             "ex",
-            """select prompt_id, case when prompt_id % 29 = 0 or prompt_id % 5 = 0 then 'no_reply' when shape in (0, 1, 5) then 'ok' when shape = 2 then 'bad_json'
+            """select prompt_id, case when prompt_id % 29 = 0 then 'no_reply' when shape in (0, 1, 5) then 'ok' when shape = 2 then 'bad_json'
             when shape = 3 then 'no_list' else 'no_response' end as decode_status,
-            case when prompt_id % 29 = 0 or prompt_id % 5 = 0 then 0 when shape in (0, 1) then 1 when shape = 5 then 2 else 0 end as n_pairs from ex""",
+            case when prompt_id % 29 = 0 then 0 when shape in (0, 1) then 1 when shape = 5 then 2 else 0 end as n_pairs from ex""",
         ),
         "topic_prompts": _sql(
             "q", f"select distinct category as topic, replace({_text(TOPIC_TEMPLATE)}, '{{topic}}', category) as prompt from q"
@@ -417,6 +417,9 @@ def all_sql() -> dict[str, str]:
         f"""select conv_id * 1000 + turn as doc, 3 * j + step as value_pos, url, case when step = 0 then is_pdf else false end as is_pdf
         from l, (select unnest([0, 1]) as step) where {VALID.format('url')}""",
     )
+    sql["harvest_status"] = _sql(
+        "l", "select distinct file_path as doc, case when conv_id % 41 = 7 then 'invalid_json' else 'ok' end as status from l"
+    )
     sql["end_to_end_counts"] = _sql(
         searched,
         f"""select n_urls, n_documents, n_pairs from (
@@ -427,7 +430,7 @@ def all_sql() -> dict[str, str]:
         doc as (select p.page_id, {PATH.format('slug', 'p.url')} as path from last join pages p using (url)),
         saved as (select path, max(page_id) as page_id from doc group by path)
         select (select count(*) from kept) as n_urls, (select count(*) from saved) as n_documents,
-        (select count(*) from saved where page_id % 3 <> 0) as n_pairs)""",
+        (select count(*) from saved) as n_pairs)""",
     )
     sql["corpus_top_k_by_floor"] = sql["corpus_top_k"]
     return sql

@@ -374,7 +374,7 @@ def decode_qna(spark, sf):
 
 def prompts_with_replies(spark, sf):
     asked = I.exchanges(spark, sf).select("prompt_id")
-    replies = I.qna_replies(spark, sf).where("reply is not null and prompt_id % 5 <> 0")
+    replies = I.qna_replies(spark, sf).where("reply is not null")
     decoded = R.decode_qna(asked.join(replies, "prompt_id", "left"))
     return decoded.select("prompt_id", "decode_status", F.coalesce(F.size("_pairs"), F.lit(0)).alias("n_pairs"))
 
@@ -466,6 +466,10 @@ def harvest_urls_pdf(spark, sf):
     return V.harvest_urls_with_pdf(I.nested_documents(spark, sf))
 
 
+def harvest_status(spark, sf):
+    return V.harvest_status(I.url_documents(spark, sf).withColumnRenamed("file_path", "doc"))
+
+
 # Files
 
 
@@ -509,7 +513,7 @@ def markdown_files_roundtrip(spark, sf):
 def end_to_end_counts(spark, sf):
     pages = I.table(spark, sf, "pages")
     answered = F.to_json(F.struct(F.struct(F.array(F.struct(F.col("url").alias("q"), F.col("url").alias("a"))).alias("qnaList")).alias("response")))
-    replies = pages.where("page_id % 3 <> 0").select(F.col("page_id").alias("prompt_id"), answered.alias("reply"))
+    replies = pages.select(F.col("page_id").alias("prompt_id"), answered.alias("reply"))
     return jobs.full_run(I.questions(spark, sf), pages, replies, page_index(spark, sf))
 
 
@@ -582,6 +586,7 @@ ALL = [
     generated_and_categorised,
     harvest_urls,
     harvest_urls_pdf,
+    harvest_status,
     url_files_roundtrip,
     categories_searched_again,
     markdown_files_roundtrip,
