@@ -85,7 +85,7 @@ def any_node(rng, depth):
         return ["object", [(rng.choice(keys), any_node(rng, depth - 1)) for _ in range(rng.randint(0, 4))]]
     if depth and kind < 0.55:
         return ["list", [any_node(rng, depth - 1) for _ in range(rng.randint(0, 3))]]
-    return rng.choice([f"http://h{rng.randint(0, 99)}/", 'http://q"]}/é', "http://b\\u", "text", "", 0, 1, -0.0, 2.5, True, False, None])
+    return rng.choice([f"http://h{rng.randint(0, 99)}/", 'http://q/"]}{é', "http://b\\u", "text", "", 0, 1, -0.0, 2.5, True, False, None])
 
 
 def test_any_document_equals_a_plain_walk(spark):
