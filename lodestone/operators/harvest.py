@@ -8,7 +8,7 @@ from lodestone.functions.json import FALSY, computed_once, is_one_value
 from lodestone.functions.urls import is_valid_url
 
 # A string literal and, for an object key, the colon after it; a bracket; any other literal.
-TOKEN = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"\s*+:?|[{}\[\]]|[^\s"{}\[\]:,]++'
+TOKEN = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"(?:\s*+:)?|[{}\[\]]|[^\s"{}\[\]:,]++'
 
 
 def harvest_status(documents: DataFrame) -> DataFrame:
