@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lodestone.functions import html as H
 from lodestone.functions.json import computed_once
@@ -76,6 +78,15 @@ def tally(items: DataFrame) -> DataFrame:
     )
 
 
+def counted(items: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``items`` and, once an action has run over them, their ``tally``: counted as they pass, without a pass of its own."""
+    seen = Observation()
+    good = F.coalesce(F.col("markdown") != "", F.lit(False))
+    watched = items.observe(seen, F.count_if(good).alias("n_success"), F.count_if(~good).alias("n_failed"))
+    row = lambda: items.sparkSession.createDataFrame([seen.get], "n_success bigint, n_failed bigint")
+    return watched, row
+
+
 def failed_scrape_tally(requested: DataFrame) -> DataFrame:
     """Counts of a scrape that ended in an error before any item came back."""
     return requested.agg(F.lit(0).cast("long").alias("n_success"), F.count(F.lit(1)).alias("n_failed"))

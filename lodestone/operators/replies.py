@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestone.functions import json as J
 from lodestone.functions.text import quoted
-from lodestone.operators.skew import count_before
+from lodestone.operators.skew import count_before, salted_join
 from lodestone.session import durable
 
 MAX_ATTEMPTS = 5
+#: Categories that are printed together for prompts.
+VOCABULARY_BLOCK = 256
 
 
 def render(template: str, name: str, value: str) -> str:
@@ -175,22 +177,36 @@ def vocabulary(answers: DataFrame) -> DataFrame:
     return count_before(_first_uses(answers), "pos", F.lit(True), "category_pos").select("category", "category_pos")
 
 
-def categorisation_prompts(questions: DataFrame, answers: DataFrame, instruction: str) -> DataFrame:
+def categorisation_prompts(questions: DataFrame, answers: DataFrame, instruction: str, block: int = VOCABULARY_BLOCK) -> DataFrame:
     """The prompt each question was categorised with, running category list included.
 
-    The last prompt spells out the whole vocabulary, so the one-row vocabulary list
-    is never larger than a row of this result has to be anyway.
+    The vocabulary is printed in blocks of neighbouring categories. A prompt holds all
+    blocks before its own, joined once for each block that prompts end in, and the part of
+    its own block that was known. No row or task holds more of the vocabulary than a
+    prompt that is its result.
     """
+    running = durable(running_vocabulary(answers), "running")
     known = vocabulary(answers).select(F.col("category_pos").alias("p"), quoted(F.col("category")).alias("c"))
-    listed = known.agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "c"))), lambda x: x["c"]).alias("_all"))
+    blocks = known.groupBy(F.floor(F.col("p") / block).alias("block")).agg(F.sort_array(F.collect_list(F.struct("p", "c"))).alias("_named"))
+    blocks = durable(blocks.select("block", F.transform("_named", lambda x: x["c"]).alias("names")), "vocabulary-blocks")
+    ends = running.select(F.floor(F.col("n_existing") / block).alias("end")).distinct().where("end > 0")
+    before = ends.select("end", F.explode(F.sequence(F.lit(0), F.col("end") - 1)).alias("block"))
+    heads = before.join(blocks.select("block", F.array_join("names", ", ").alias("text")), "block").groupBy("end")
+    heads = heads.agg(F.sort_array(F.collect_list(F.struct("block", "text"))).alias("_texts"))
+    heads = heads.select(F.col("end").alias("block"), F.array_join(F.transform("_texts", lambda x: x["text"]), ", ").alias("head"))
+    asked = questions.join(running, "pos").withColumns(
+        {"block": F.floor(F.col("n_existing") / block), "rest": (F.col("n_existing") % block).cast("int")}
+    )
+    # Late questions mostly end in the same block.
+    asked = salted_join(salted_join(asked, heads, ["block"], ["pos"]), blocks, ["block"], ["pos"])
+    rest = F.when(F.col("rest") > 0, F.array_join(F.slice("names", F.lit(1), F.greatest("rest", F.lit(1))), ", "))
     prompt = F.concat(
         F.lit(f"Instruction: {instruction} Question: "),
         F.col("question"),
         F.lit("\nExisting categories: ["),
-        F.array_join(F.slice("_all", F.lit(1), F.col("n_existing").cast("int")), ", "),
+        F.concat_ws(", ", "head", rest),
         F.lit("]"),
     )
-    asked = questions.join(running_vocabulary(answers), "pos").crossJoin(listed)
     return asked.select("pos", "n_existing", prompt.alias("prompt"))
 
 

@@ -150,6 +150,31 @@ def dedupe_per_file(records: DataFrame) -> DataFrame:
     )
 
 
+def dedupe_in_documents(url_documents: DataFrame) -> DataFrame:
+    """What ``dedupe_per_file`` gives for files that are one row each, without a shuffle.
+
+    A file's valid URLs are sorted by URL and position inside the row; where a URL begins
+    is its first position, where it ends are the values that count.
+    """
+
+    def listed(b: Column) -> Column:
+        item = lambda x, i: F.struct(
+            x["url"].alias("url"), b["entry_pos"].alias("entry_pos"), i.alias("url_pos"),
+            b["category"].alias("category"), x["question"].alias("question"), x["is_pdf"].alias("is_pdf"),
+        )
+        return F.filter(F.transform(b["items"], item), lambda x: is_valid_url(x["url"]))
+
+    whole = url_documents.where(F.col("status") == "ok").select("file_path", "blocks")
+    found = J.computed_once(whole, _sorted=F.array_sort(F.flatten(F.transform("blocks", listed))))
+    other = lambda x, i, step: ~F.get("_sorted", i + step)["url"].eqNullSafe(x["url"])
+    firsts = F.filter("_sorted", lambda x, i: other(x, i, -1))
+    lasts = F.filter("_sorted", lambda x, i: other(x, i, 1))
+    zipped = found.select("file_path", F.inline(F.arrays_zip(firsts.alias("first"), lasts.alias("last"))))
+    return zipped.select(
+        "file_path", "last.url", "first.entry_pos", "first.url_pos", "last.category", "last.question", "last.is_pdf"
+    )
+
+
 def web_only(file_urls: DataFrame) -> DataFrame:
     """Drop PDF records. Must follow ``dedupe_per_file``: a late PDF flag removes the URL."""
     return file_urls.where(~F.col("is_pdf"))

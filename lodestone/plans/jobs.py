@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from lodestone.operators import capture as C
 from lodestone.operators import replies as R
@@ -14,6 +14,7 @@ from lodestone.operators.grouping import nested_blocks, with_group_position
 from lodestone.functions.html import to_markdown
 from lodestone.session import durable
 
+RESULT_FIELDS = ["question", "dorks", "urls", "error"]
 ENTRY_FIELDS = ["content_path", "question_count", "url", "source_type"]
 
 
@@ -46,20 +47,48 @@ def retrieve_urls(
 def capture(records: DataFrame, files: DataFrame, pages: DataFrame, root: str = "") -> Capture:
     """URL records to stored documents, their metadata and the scrape tally."""
     dimension = durable(U.url_dimension(U.web_only(U.dedupe_per_file(records))), "urls")
-    items = durable(C.fetch(dimension, pages), "scraped")
+    watched, tally = C.counted(C.fetch(dimension, pages))
+    items = durable(watched, "scraped")
     metadata = C.capture_metadata(items, dimension, files, root).drop("markdown")
     return Capture(
         metadata=metadata,
         documents=C.stored_documents(items, metadata),
-        tally=C.tally(items),
+        tally=tally(),
         unmatched=C.unmatched(dimension.select("url"), items),
     )
 
 
-def build_qna(documents: DataFrame, replies: DataFrame) -> DataFrame:
-    """Documents and recorded replies ``(prompt_id, reply)`` to pairs with their lineage."""
+@dataclass(frozen=True)
+class Qna:
+    """Prompts of documents, the state of their replies, and the pairs."""
+
+    prompts: DataFrame
+    statuses: DataFrame
+    pairs: DataFrame
+
+
+def generate_qna(documents: DataFrame, replies: DataFrame, template: str, domain: str) -> Qna:
+    """Documents to prompts of a domain, and recorded replies ``(prompt_id, reply)`` to pairs with their lineage.
+
+    A document's ``item_pos`` is its prompt's identifier; one without a reply has a status.
+    """
     asked = documents.select(F.col("item_pos").alias("prompt_id"), "content_path")
-    return R.explode_qna(R.decode_qna(asked.join(replies, "prompt_id", "left")))
+    decoded = R.decode_qna(asked.join(replies, "prompt_id", "left"))
+    return Qna(
+        prompts=R.qna_prompts(documents, template, domain),
+        statuses=decoded.select("prompt_id", "content_path", "decode_status"),
+        pairs=R.explode_qna(decoded),
+    )
+
+
+def build_qna(documents: DataFrame, replies: DataFrame) -> DataFrame:
+    """The pairs alone, where prompts are at hand."""
+    return generate_qna(documents, replies, "", "").pairs
+
+
+def results_by_category(results: DataFrame, pos: str = "qid") -> DataFrame:
+    """Search results nested per category in bounded blocks, categories by first appearance."""
+    return nested_blocks(results, "category", pos, RESULT_FIELDS, "results")
 
 
 def aggregate_metadata(metadata: DataFrame, qna: DataFrame | None = None) -> DataFrame:
@@ -96,12 +125,31 @@ def generate_and_categorise(attempts: DataFrame, category_replies: DataFrame) ->
     )
 
 
-def full_run(
+@dataclass(frozen=True)
+class Run:
+    """Outcome of a full run: results as filed, what was captured, pairs, and the final counts."""
+
+    filed: DataFrame
+    captured: Capture
+    pairs: DataFrame
+    counts: DataFrame
+
+
+def run_all(
     questions: DataFrame, pages: DataFrame, replies: DataFrame, index: S.PageIndex | None = None, pos: str = "qid"
-) -> DataFrame:
-    """Questions to the final counts: search, capture, pairs, report."""
+) -> Run:
+    """Questions to pairs: search, capture, replies. The URL count is taken as results are written."""
     results = S.retrieve(questions, index or index_pages(pages)).select(pos, "category", "question", "urls")
-    filed = durable(U.filed_results(results, pos), "results")
+    seen = Observation()
+    filed = durable(U.filed_results(results, pos).observe(seen, F.coalesce(F.sum(F.size("urls")), F.lit(0)).alias("n_urls")), "results")
+    n_urls = questions.sparkSession.createDataFrame([seen.get], "n_urls bigint")
     captured = capture(U.result_records(filed, pos), filed.select("file_path"), pages)
     pairs = build_qna(captured.documents, replies)
-    return stage_counts(filed.select(F.size("urls").alias("n_urls")), captured.documents, pairs)
+    return Run(filed, captured, pairs, stage_counts(n_urls, captured.documents, pairs))
+
+
+def full_run(
+    questions: DataFrame, pages: DataFrame, replies: DataFrame, index: S.PageIndex | None = None, pos: str = "qid"
+) -> DataFrame:
+    """Questions to the final counts: search, capture, pairs, report."""
+    return run_all(questions, pages, replies, index, pos).counts

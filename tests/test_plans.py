@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from lodestone.operators import url_records as U
 from workload import queries as W
 
 SF = "/root/testdata/sf0.001"
@@ -44,6 +45,11 @@ def test_aggregates_start_before_the_shuffle(spark):
     assert "partial_max_by" in text and "partial_min" in text
 
 
+def test_files_are_deduplicated_without_a_shuffle(spark):
+    documents = spark.createDataFrame([("a.json", "[]")], "file_path string, content string")
+    assert "Exchange" not in plan(U.dedupe_in_documents(U.read_url_documents(documents)))
+
+
 def test_unused_text_is_not_read(spark):
     text = plan(W.page_metadata(spark, SF).select("item_pos", "sourceURL"))
     scans = re.findall(r"ReadSchema: (\S+)", text)

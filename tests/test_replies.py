@@ -99,9 +99,10 @@ def test_running_vocabulary_equals_the_fold(spark):
     decoded = R.decode_categories(frame(spark, [named(c) for c in categories]))
     questions = spark.createDataFrame([(i, f"q{i}") for i in range(len(categories))], "pos long, question string")
     answers = R.answered_categories(decoded)
-    got = R.categorisation_prompts(questions, answers, "Sort.").orderBy("pos").collect()
     expected = [f"Instruction: Sort. Question: q{i}\nExisting categories: {v}" for i, v in enumerate(vocabularies(categories))]
-    assert [r.prompt for r in got] == expected
+    for block in (1, 2, 256):
+        got = R.categorisation_prompts(questions, answers, "Sort.", block).orderBy("pos").collect()
+        assert [r.prompt for r in got] == expected
     final = list(dict.fromkeys(c for c in categories if c))
     assert [(r.category_pos, r.category) for r in R.vocabulary(answers).orderBy("category_pos").collect()] == list(enumerate(final))
     (counts,) = R.categorisation_counts(decoded).collect()

@@ -7,6 +7,18 @@ from pyspark.sql import functions as F
 from lodestone.operators import url_records as U
 
 
+def test_files_in_one_row_are_deduplicated_alike(spark):
+    texts = [
+        ("a.json", '{"A":[{"url":"http://u1","question":"q1"},{"url":"http://u2"},{"url":"bad"}],"B":[{"url":"http://u1","question":"q2","is_pdf":true}]}'),
+        ("b.json", '[{"category":"C","question":"q","urls":["http://u1","http://u1","http://u3",null]},{"urls":["http://u3"]}]'),
+        ("c.json", "[]"), ("d.json", "{oops"), ("e.json", '{"A":[]}'),
+    ]
+    documents = U.read_url_documents(spark.createDataFrame(texts, "file_path string, content string"))
+    one, two = U.dedupe_in_documents(documents), U.dedupe_per_file(U.explode_urls(documents))
+    assert one.columns == two.columns
+    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr) and one.count() == 4
+
+
 def documents(spark, *contents):
     rows = [(f"f{i}.json", c if isinstance(c, str) else json.dumps(c)) for i, c in enumerate(contents)]
     return spark.createDataFrame(rows, "file_path string, content string")

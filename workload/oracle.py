@@ -192,6 +192,7 @@ def all_sql() -> dict[str, str]:
         "explode_urls": _sql("rec", "select * from rec"),
         "split_url_files": _sql("rec", "select * from rec"),
         "dedupe_per_file": _sql("ded", "select * from ded"),
+        "dedupe_in_documents": _sql("ded", "select * from ded"),
         "web_urls": _sql("web", "select file_path, url from web"),
         "distinct_urls": _sql("dim", "select url, first_file as file_path, entry_pos, url_pos from dim"),
         "url_dimension_last_wins": _sql("dim", "select * from dim"),

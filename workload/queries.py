@@ -43,7 +43,7 @@ def _records(spark, sf):
 
 
 def _web(spark, sf):
-    return U.web_only(U.dedupe_per_file(_records(spark, sf)))
+    return U.web_only(dedupe_in_documents(spark, sf))
 
 
 def _items(spark, sf):
@@ -97,6 +97,10 @@ def dedupe_per_file(spark, sf):
     return U.dedupe_per_file(_records(spark, sf))
 
 
+def dedupe_in_documents(spark, sf):
+    return U.dedupe_in_documents(U.read_url_documents(I.url_documents(spark, sf)))
+
+
 def web_urls(spark, sf):
     return _web(spark, sf).select("file_path", "url")
 
@@ -523,6 +527,7 @@ ALL = [
     explode_urls,
     split_url_files,
     dedupe_per_file,
+    dedupe_in_documents,
     web_urls,
     distinct_urls,
     url_dimension_last_wins,
