@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestone.functions import json as J
+from lodestone.functions.text import normalise_unicode
 
 
 def question_blocks(documents: DataFrame) -> DataFrame:
@@ -80,10 +81,16 @@ def explode_questions(blocks: DataFrame, normalise: bool = True) -> DataFrame:
     ).drop("_element", "_text", "_object")
 
 
-def normalise_questions(documents: DataFrame, normalise: bool = True) -> DataFrame:
-    """Usable questions of all documents."""
-    kept = last_block_wins(question_blocks(documents))
-    return explode_questions(kept, normalise).where(F.col("reject").isNull()).drop("reject")
+def normalise_questions(documents: DataFrame, normalise: bool = True, unicode: bool = False) -> DataFrame:
+    """Usable questions of all documents; with ``unicode`` their text and categories in NFC.
+
+    Categories are normalised before repeated ones are told apart.
+    """
+    blocks = question_blocks(documents)
+    if unicode:
+        blocks = blocks.withColumn("category", normalise_unicode(F.col("category")))
+    found = explode_questions(last_block_wins(blocks), normalise).where(F.col("reject").isNull()).drop("reject")
+    return found.withColumn("question", normalise_unicode(F.col("question"))) if unicode else found
 
 
 def question_rejects(documents: DataFrame, normalise: bool = True) -> DataFrame:

@@ -111,9 +111,9 @@ def read_markdown(spark: SparkSession, root: str) -> DataFrame:
     return found.where(F.is_valid_utf8(text)).select(_below(F.col("path"), root).alias("content_path"), text.alias("markdown"))
 
 
-def read_generated_questions(spark: SparkSession, *paths: str) -> DataFrame:
-    """A JSON array of ``{question}`` objects, or one object per line."""
-    return spark.read.schema("question string").option("multiLine", "true").json(list(paths))
+def read_generated_questions(spark: SparkSession, *paths: str, lines: bool = False) -> DataFrame:
+    """``{question}`` objects: files of one JSON array each, or with ``lines`` of an object a line, as ``sinks.write_questions`` leaves them."""
+    return spark.read.schema("question string").option("multiLine", str(not lines).lower()).json(list(paths))
 
 
 def spread(scan: DataFrame) -> DataFrame:

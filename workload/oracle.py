@@ -40,6 +40,9 @@ def _markdown(column: str) -> str:
     return _steps(_entities(_steps(column, PAGE_STEPS)), LINE_STEPS)
 
 
+TITLE = f"trim({_entities("regexp_replace(regexp_extract(html, '(?is)<title>([^<]*)</title>', 1), '[ ]+', ' ', 'g')")})"
+DESCRIPTION = _entities("""regexp_extract(html, '<meta name="description" content="([^"]*)"', 1)""")
+LANGUAGE = """coalesce(nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), ''), 'en')"""
 VALID = r"regexp_matches({0}, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]')"
 SAFE = (
     "coalesce(nullif(left(translate(replace(replace({0}, 'https://', ''), 'http://', ''), '/?&:=.', '______'), 100), ''),"
@@ -218,10 +221,12 @@ def all_sql() -> dict[str, str]:
         ),
         "html_to_markdown": _sql("items", "select item_pos, markdown from items"),
         "page_metadata": _sql(
-            "scr",
-            f"""select item_pos, url as "sourceURL", trim({_entities(f"regexp_replace(regexp_extract(html, {_text('(?is)<title>([^<]*)</title>')}, 1), '[ ]+', ' ', 'g')")}) as title,
-            {_entities(f"regexp_extract(html, {_text('<meta name="description" content="([^"]*)"')}, 1)")} as description,
-            coalesce(nullif(regexp_extract(html, {_text('<html lang="([^"]*)"')}, 1), ''), 'en') as language from scr""",
+            "scr", f"""select item_pos, url as "sourceURL", {TITLE} as title, {DESCRIPTION} as description, {LANGUAGE} as language from scr"""
+        ),
+        "default_metadata": _sql(
+            "items",
+            f"""select item_pos, case when markdown <> '' then url end as "sourceURL", case when markdown = '' then '' else {TITLE} end as title,
+            case when markdown = '' then '' else {DESCRIPTION} end as description, case when markdown = '' then 'en' else {LANGUAGE} end as language from items""",
         ),
         "capture_metadata": _sql("meta", "select * exclude (markdown) from meta"),
         "capture_tally": _sql(
@@ -295,7 +300,7 @@ def all_sql() -> dict[str, str]:
         "supplied_url_bypass": _sql(
             "q", "select qid, 0 as url_pos, 'https://supplied.example.org/' || conv_id || '/' || turn as url from q where conv_id % 7 = 3"
         ),
-        "page_words": _sql("post sizes", "select token, page_id, tf, n_words from post join sizes using (page_id)"),
+        "page_words": _sql("post", "select token, page_id, tf, sum(tf) over (partition by page_id)::bigint as n_words from post"),
         "word_frequency": _sql("post", "select token, count(*) as df from post group by token"),
         "bm25_impacts": _sql("imp", "select token, page_id, impact from imp"),
         "corpus_top_k": _sql(searched, "select qid, page_id, score, rank from (" + _ranked(_asked("question"), 10) + ")"),
@@ -316,6 +321,12 @@ def all_sql() -> dict[str, str]:
             f"""select category, min(qid) as category_pos, count(distinct qid) as n_results, count(url) as n_urls, count(error) as n_errors
             from {_results()} group by category""",
         ),
+        "grouped_results": _sql(
+            searched,
+            f"""select category, min(qid) over (partition by category) as category_pos, qid // 4096 as block,
+            row_number() over (partition by category, qid // 4096 order by qid) - 1 as result_pos, question, dorks, n_urls, error
+            from (select qid, category, question, dorks, error, count(url) as n_urls from {_results()} group by all)""",
+        ),
         "two_engine_union": _sql(
             "q imp mimp places",
             f"""select 'bm25' as engine, qid, rank - 1 as url_pos, url from ({_ranked(_asked("question"), 5)})
@@ -391,6 +402,13 @@ def all_sql() -> dict[str, str]:
             winners as (select run, slug, arg_max(category, first_seen) as category from firsts group by run, slug)
             select * from named join winners using (run, slug, category) qualify run = max(run) over (partition by slug))""",
         ),
+        "written_metadata": _sql(
+            "meta",
+            f"""select category, min(item_pos) over (partition by category) as category_pos, item_pos // 4096 as block,
+            row_number() over (partition by category, item_pos // 4096 order by item_pos) - 1 as entry_pos, {_metadata_fields()} from meta""",
+        ),
+        "written_pairs": _sql("pairs", "select q, a from pairs"),
+        "written_questions": _sql("gen", "select question from gen"),
         "markdown_files_roundtrip": _sql(
             "items", "select 'd' || item_pos || '.md' as content_path, markdown from items where markdown <> ''"
         ),
@@ -421,17 +439,23 @@ def all_sql() -> dict[str, str]:
     sql["harvest_status"] = _sql(
         "l", "select distinct file_path as doc, case when conv_id % 41 = 7 then 'invalid_json' else 'ok' end as status from l"
     )
-    sql["end_to_end_counts"] = _sql(
-        searched,
-        f"""select n_urls, n_documents, n_pairs from (
-        with res as materialized (select *, {SLUG.format('category')} as slug from {_results()}),
+    run = f"""res as materialized (select *, {SLUG.format('category')} as slug from {_results()}),
         kept as materialized (select * from res where category in (select arg_max(category, first_seen) from
             (select category, slug, min(qid) as first_seen from res group by 1, 2) group by slug) and url is not null),
         last as (select url, max(slug) as slug from kept group by url),
-        doc as (select p.page_id, {PATH.format('slug', 'p.url')} as path from last join pages p using (url)),
-        saved as (select path, max(page_id) as page_id from doc group by path)
-        select (select count(*) from kept) as n_urls, (select count(*) from saved) as n_documents,
-        (select count(*) from saved) as n_pairs)""",
+        doc as (select p.page_id, p.url, {PATH.format('slug', 'p.url')} as path from last join pages p using (url)),
+        saved as (select path, max(page_id) as page_id, arg_max(url, page_id) as url from doc group by path)"""
+    sql["end_to_end_counts"] = _sql(
+        searched,
+        f"""select n_urls, n_documents, n_pairs from (with {run} select (select count(*) from kept) as n_urls,
+        (select count(*) from saved) as n_documents, (select count(*) from saved) as n_pairs)""",
+    )
+    sql["end_to_end_pairs"] = _sql(
+        searched,
+        f"""select content_path, prompt_id, pair_pos, q, a from (with {run}
+        select path as content_path, page_id as prompt_id, 0 as pair_pos, url as q, url as a from saved)""",
     )
+    sql["recorded_replies"] = sql["decode_status"]
+    sql["questions_normalised_unicode"] = sql["questions_list_form"]
     sql["corpus_top_k_by_floor"] = sql["corpus_top_k"]
     return sql

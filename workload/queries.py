@@ -156,6 +156,13 @@ def page_metadata(spark, sf):
     return C.with_metadata(I.scrape_items(spark, sf)).select("item_pos", "metadata.*")
 
 
+def default_metadata(spark, sf):
+    """Items that came back empty have no metadata; they get the defaults."""
+    items = C.with_success(_items(spark, sf))
+    lost = items.withColumn("metadata", F.when(F.col("is_success"), F.col("metadata")))
+    return C.with_metadata_defaults(lost).select("item_pos", "metadata.*")
+
+
 def capture_metadata(spark, sf):
     return _metadata(spark, sf).drop("markdown")
 
@@ -252,6 +259,12 @@ def questions_map_form(spark, sf):
     return _flat_questions(Q.normalise_questions(I.question_documents(spark, sf, "map")))
 
 
+def questions_normalised_unicode(spark, sf):
+    """Decomposed letters in documents become the composed ones that the table has."""
+    decomposed = I.question_documents(spark, sf, "list").withColumn("content", F.replace("content", F.lit("é"), F.lit("e\u0301")))
+    return _flat_questions(Q.normalise_questions(decomposed, unicode=True))
+
+
 def raw_questions(spark, sf):
     rows = Q.normalise_questions(I.question_documents(spark, sf, "map"), normalise=False)
     return rows.select("doc", "category", "category_pos", "q_pos", "question")
@@ -355,6 +368,12 @@ def results_by_category(spark, sf):
     )
 
 
+def grouped_results(spark, sf):
+    nested = jobs.results_by_category(_results(spark, sf))
+    rows = nested.select("category", "category_pos", "block", F.posexplode("results").alias("result_pos", "r"))
+    return rows.select("category", "category_pos", "block", "result_pos", "r.question", "r.dorks", F.size("r.urls").alias("n_urls"), "r.error")
+
+
 def two_engine_union(spark, sf):
     both = S.retrieve_two_engines(I.questions(spark, sf), page_index(spark, sf))
     return both.select("engine", "qid", F.posexplode("urls").alias("url_pos", "url"))
@@ -502,6 +521,34 @@ def categories_searched_again(spark, sf):
     return files.read_result_tables(spark, target).select("slug", "qid", "category", "question", "dorks", "error")
 
 
+def written_metadata(spark, sf):
+    target = _fresh(spark, "metadata")
+    sinks.write_blocks(jobs.aggregate_metadata(_metadata(spark, sf)), target)
+    entry = "content_path string, question_count bigint, url string, source_type string"
+    back = spark.read.schema(f"category string, category_pos bigint, block bigint, entries array<struct<{entry}>>").json(target)
+    return back.select("category", "category_pos", "block", F.posexplode("entries").alias("entry_pos", "e")).select(
+        "category", "category_pos", "block", "entry_pos", "e.*"
+    )
+
+
+def written_pairs(spark, sf):
+    target = _fresh(spark, "pairs")
+    sinks.write_pairs(_pairs(spark, sf), target)
+    return spark.read.schema("q string, a string").json(target)
+
+
+def written_questions(spark, sf):
+    target = _fresh(spark, "questions")
+    sinks.write_questions(generated_questions(spark, sf), target)
+    return files.read_generated_questions(spark, target, lines=True)
+
+
+def recorded_replies(spark, sf):
+    target = _fresh(spark, "replies")
+    I.qna_replies(spark, sf).write.parquet(target)
+    return R.decode_qna(files.read_replies(spark, target)).select("prompt_id", "decode_status")
+
+
 def markdown_files_roundtrip(spark, sf):
     """Documents written and read back whole: as ``.md`` files where Arrow opens the shared folder, else as a table."""
     rows = C.with_success(_items(spark, sf)).where("is_success")
@@ -514,11 +561,19 @@ def markdown_files_roundtrip(spark, sf):
     return spark.read.parquet(target)
 
 
-def end_to_end_counts(spark, sf):
+def _run(spark, sf):
     pages = I.table(spark, sf, "pages")
     answered = F.to_json(F.struct(F.struct(F.array(F.struct(F.col("url").alias("q"), F.col("url").alias("a"))).alias("qnaList")).alias("response")))
     replies = pages.select(F.col("page_id").alias("prompt_id"), answered.alias("reply"))
-    return jobs.full_run(I.questions(spark, sf), pages, replies, page_index(spark, sf))
+    return jobs.run_all(I.questions(spark, sf), pages, replies, page_index(spark, sf))
+
+
+def end_to_end_counts(spark, sf):
+    return _run(spark, sf).counts
+
+
+def end_to_end_pairs(spark, sf):
+    return _run(spark, sf).pairs.select("content_path", "prompt_id", "pair_pos", "q", "a")
 
 
 ALL = [
@@ -596,4 +651,12 @@ ALL = [
     categories_searched_again,
     markdown_files_roundtrip,
     end_to_end_counts,
+    end_to_end_pairs,
+    written_metadata,
+    written_pairs,
+    written_questions,
+    recorded_replies,
+    default_metadata,
+    grouped_results,
+    questions_normalised_unicode,
 ]
