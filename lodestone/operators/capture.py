@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from lodestone.functions import html as H
 from lodestone.functions.json import computed_once
 from lodestone.functions.urls import content_path
+from lodestone.operators.membership import bit_table, may_match
 from lodestone.operators.skew import FEW_SALTS, salted_join
 from lodestone.session import durable
 
@@ -44,8 +45,10 @@ def fetch(requested: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages of the requested URLs as scrape items; the page id is the item position."""
     # Found on narrow rows, so that texts are moved for the pages asked for at most.
     found = pages.select("page_id", "url").join(requested.select("url"), "url", "left_semi")
-    found = durable(found.select("page_id"), "found")
-    wanted = pages.join(found, "page_id", "left_semi")
+    found = durable(found.select("page_id").distinct(), "found")
+    # Pages that nobody asked for are dropped in the scan, before texts are moved. A semi-join
+    # would be moved below that step.
+    wanted = may_match(pages, "page_id", bit_table(found, "page_id")).join(found, "page_id")
     return pages_to_markdown(wanted.select(F.col("page_id").alias("item_pos"), "url", "html"))
 
 
