@@ -25,6 +25,23 @@ def test_targets_are_met(spark):
     assert abs(kept / sum(r.n_tokens * r.rate for r in rows) - 1) < 0.1
 
 
+@pytest.mark.parametrize("wanted", [{"high": 0.82, "low": 0.13, "toxic": 0.05}, {"high": 0.92, "low": 0.06, "toxic": 0.02}])
+def test_rare_targets_are_met_to_a_hundredth(spark, wanted):
+    docs, known = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    mixed, fit = mixing.mix(docs, known, wanted, columns=["doc_id"])
+    assert fit.gap < mixing.CLOSE and len(fit.residuals) < 100
+    rows = mixed.select("n_tokens", "posterior", "rate").collect()
+    totals = sum(r.n_tokens * r.rate * np.array(r.posterior) for r in rows) / sum(r.n_tokens for r in rows)
+    assert np.allclose(totals / [wanted[d] for d in mixing.DOMAINS], 1, atol=0.01)
+
+
+def test_targets_out_of_reach_are_told(spark):
+    rated = spark.createDataFrame([(10, [0.5, 0.3, 0.2]), (30, [0.6, 0.3, 0.1])], "n_tokens long, posterior array<double>")
+    with pytest.warns(UserWarning, match="missed"):
+        fit = mixing.fit_rates(rated, {"toxic": 1.0})
+    assert fit.gap > 0.1 and len(fit.residuals) < mixing.STEPS
+
+
 def test_rates_equal_a_direct_solution():
     """The steps end where a solver for the few multipliers ends."""
     rng = np.random.default_rng(1)
