@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lodestone.llm.rows import free_name
+
 #: Bytes of a window, widths of the filters, and filters of each width.
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -199,8 +201,8 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFra
     if not names:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     label = F.arrow_udf(run, "lang string, score double")
-    columns = [F.col(c) for c in docs.columns if c not in ("lang_pred", "score", "_found")]
-    found = docs.select(*columns, F.when(known, label(content)).alias("_found"))
+    columns, made = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")], free_name(docs, "_found")
+    found = docs.select(*columns, F.when(known, label(content)).alias(made))
     return found.select(
-        *columns, F.coalesce("_found.lang", F.lit(UNKNOWN)).alias("lang_pred"), F.coalesce("_found.score", F.lit(0.0)).alias("score")
+        *columns, F.coalesce(f"{made}.lang", F.lit(UNKNOWN)).alias("lang_pred"), F.coalesce(f"{made}.score", F.lit(0.0)).alias("score")
     )

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lodestone.llm.rows import free_name
 from lodestone.session import discard, durable
 
 #: Places of hashed tokens, and labelled rows of each domain that the classifier learns from (about).
@@ -238,7 +239,8 @@ def mix(
     new = ("n_tokens", "posterior", "rate", "copies")
     kept = [c for c in (docs.columns if columns is None else columns) if c not in new]
     # Written once, as texts are costly to read; every step reads its two narrow columns only.
-    ticket = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit(33)), F.lit(1 << 30)).alias("_ticket")
+    drawn = free_name(docs, "_ticket")
+    ticket = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit(33)), F.lit(1 << 30)).alias(drawn)
     rated = posteriors(docs, model, text).select(*kept, "n_tokens", "posterior", ticket)
     rated = durable(rated, "mixing-posteriors")
     fit = fit_rates(rated, targets)
@@ -250,5 +252,5 @@ def mix(
 
     rated = rated.withColumn("rate", F.arrow_udf(run, "double")("posterior"))
     whole = F.floor("rate")
-    copies = whole + (F.col("_ticket") / float(1 << 30) < F.col("rate") - whole).cast("long")
-    return rated.withColumn("copies", copies.cast("int")).drop("_ticket"), fit
+    copies = whole + (F.col(drawn) / float(1 << 30) < F.col("rate") - whole).cast("long")
+    return rated.withColumn("copies", copies.cast("int")).drop(drawn), fit

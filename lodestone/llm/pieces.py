@@ -16,6 +16,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from lodestone.llm.rows import free_name
+
 SPACE = "▁"
 #: Segmentations that a task keeps, the first it meets; others are made again each time.
 CACHED = 500_000
@@ -153,15 +155,16 @@ class _Known(dict):
 
 
 class _Grown(dict):
-    """The ``n`` best ways to cut a chunk, grown by A*, best first: ``(loss, ids as bytes)``."""
+    """The ``n`` best ways to cut a chunk, grown by A*, best first: ``(loss, ids as bytes, whether they spell the chunk)``."""
 
     def __init__(self, words: Vocabulary, n: int):
         super().__init__()
         self.words, self.n = words, n
 
-    def __missing__(self, chunk: str) -> list[tuple[float, bytes]]:
-        found = segmentations(chunk, self.words, self.n)
-        entry = [(found[0][0] - score, array("i", ids).tobytes()) for score, ids in found]
+    def __missing__(self, chunk: str) -> list[tuple[float, bytes, bool]]:
+        found, spelled = segmentations(chunk, self.words, self.n), self.words.spelled
+        plain = chunk.replace(SPACE, " ").encode("utf-8", "surrogatepass")
+        entry = [(found[0][0] - score, array("i", ids).tobytes(), b"".join(map(spelled.__getitem__, ids)) == plain) for score, ids in found]
         if len(self) < CACHED and len(chunk) <= LONGEST_CACHED:
             self[chunk] = entry
         return entry
@@ -193,32 +196,35 @@ class Encoder:
                 out += map(self.known.__getitem__, cut)
         return out
 
-    def ranked(self, lists: list[tuple]) -> list[tuple[float, bytes]]:
-        """The ``n`` best segmentations of a text's ``chunks``, best first: ``(score, ids as bytes)``.
+    def ranked(self, lists: list[tuple]) -> list[tuple[float, bytes, bool]]:
+        """The ``n`` best segmentations of a text's ``chunks``, best first: ``(score, ids as bytes, like the best)``.
 
         Chunks are independent, so the n best take their alternatives from the at most
-        ``n - 1`` chunks whose second choice costs least; only those are grown further.
+        ``n - 1`` chunks whose second choice costs least; only those are grown further. The
+        last value tells that every alternative spells its chunk, so that a segmentation
+        decodes to the text if the best one does.
         """
         score = sum(map(itemgetter(1), lists))
         ids = list(map(itemgetter(0), lists))
         losses = list(map(itemgetter(2), lists))
-        cheap = heapq.nsmallest(self.n - 1, (k for k, loss in enumerate(losses) if loss < math.inf), key=losses.__getitem__)
+        cheap = heapq.nsmallest(self.n - 1, range(len(losses)), key=losses.__getitem__)
+        cheap = [k for k in cheap if losses[k] < math.inf]
         ways = {k: self.grown[lists[k][3]] for k in cheap}
         plans = [(0.0, {})]
         for k in cheap:
             plans = heapq.nsmallest(
-                self.n, ((loss + more, plan | {k: j}) for loss, plan in plans for j, (more, _) in enumerate(ways[k])), key=lambda x: x[0]
+                self.n, ((loss + more, plan | {k: j}) for loss, plan in plans for j, (more, _, _) in enumerate(ways[k])), key=lambda x: x[0]
             )
         out = []
         for loss, plan in plans:
             for k, j in plan.items():
                 ids[k] = ways[k][j][1]
-            out.append((score - loss, b"".join(ids)))
+            out.append((score - loss, b"".join(ids), all(ways[k][j][2] for k, j in plan.items())))
         return out
 
     def n_best(self, text: str) -> list[tuple[float, list[int]]]:
         """The ``n`` best segmentations of the whole text, best first."""
-        return [(score, np.frombuffer(ids, np.int32).tolist()) for score, ids in self.ranked(self.chunks(text))]
+        return [(score, np.frombuffer(ids, np.int32).tolist()) for score, ids, _ in self.ranked(self.chunks(text))]
 
 
 def decode(ids: list[int], words: Vocabulary) -> str:
@@ -250,16 +256,17 @@ def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFr
                 if content is None:
                     ids.append(None), scores.append(None), seconds.append(None), same.append(None), starts.append(None)
                     continue
-                (score, best), *following = encoder.ranked(encoder.chunks(content))
+                (score, best, _), *following = encoder.ranked(encoder.chunks(content))
                 best = np.frombuffer(best, np.int32)
-                following = [(x, np.frombuffer(other, np.int32)) for x, other in following]
+                following = [(x, np.frombuffer(other, np.int32), alike) for x, other, alike in following]
                 starts.append(len(next_ids))
                 ids.append(best)
                 scores.append(score)
                 seconds.append(following[0][0] if following else None)
-                same.append(all(decode(x.tolist(), words) == content for x in (best, *(other for _, other in following))))
-                next_ids += [other for _, other in following]
-                next_scores += [x for x, _ in following]
+                back = decode(best.tolist(), words) == content
+                same.append(back and all(alike or decode(other.tolist(), words) == content for _, other, alike in following))
+                next_ids += [other for _, other, _ in following]
+                next_scores += [x for x, _, _ in following]
             arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64()), pa.array(seconds, pa.float64())]
             pairs = pa.StructArray.from_arrays([pa.array(next_ids, pa.list_(pa.int32())), pa.array(next_scores, pa.float64())], ["ids", "score"])
             others = pa.ListArray.from_arrays(pa.array([*starts, len(next_ids)], pa.int32()), pairs)
@@ -267,7 +274,7 @@ def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFr
 
     names = ["ids", "score", "second", "others", "same"]
     new = ("piece_ids", "piece_score", "next_score", "next_best", "decodes")
-    columns = [F.col(c) for c in docs.columns if c not in (*new, "_found")]
+    columns, made = [F.col(f"`{c}`") for c in docs.columns if c not in new], free_name(docs, "_found")
     kind = "ids array<int>, score double, second double, others array<struct<ids: array<int>, score: double>>, same boolean"
-    found = docs.select(*columns, F.arrow_udf(run, kind)(F.col(text).cast("string")).alias("_found"))
-    return found.select(*columns, *(F.col(f"_found.{old}").alias(name) for old, name in zip(names, new)))
+    found = docs.select(*columns, F.arrow_udf(run, kind)(F.col(text).cast("string")).alias(made))
+    return found.select(*columns, *(F.col(f"{made}.{old}").alias(name) for old, name in zip(names, new)))

@@ -18,3 +18,11 @@ def unboxed(found: DataFrame, box: str, results: Sequence[str]) -> DataFrame:
     """The columns of the struct ``box`` and then the results."""
     names = [c for c in found.schema[box].dataType.names if c != "nothing" or len(found.schema[box].dataType.names) > 1]
     return found.select(*[F.col(box)[c].alias(c) for c in names], *results)
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """A name for a working column that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name

@@ -110,3 +110,24 @@ def test_pipeline_takes_awkward_rows(spark, monkeypatch):
             docs = stage(spark, docs, SF)
         assert docs.columns[: len(table.columns)] == table.columns
         assert docs.count() >= least
+
+
+WORKING = ["_doc", "_mark", "_kept", "_lines", "_blank", "_stay", "_found", "_ticket", "box", "row", "k", "id"]
+
+
+@pytest.mark.parametrize("operator", ["line_dedup", "language", "mixing", "pieces", "runs", "exact"])
+def test_columns_with_working_names_stay(spark, operator):
+    values = {name: f"kept {k}" for k, name in enumerate(WORKING)}
+    rows = [(k, f"some words of text number {k}\nand a line", "en", *values.values()) for k in range(5)]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long, text string, lang string", *(f"{n} string" for n in WORKING)]))
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(5)], "doc_id long, quality int, toxic int")
+    found = {
+        "line_dedup": lambda: Q.line_dedup.deduplicate_lines(docs),
+        "language": lambda: Q.language.predict(docs, Q.language.fit(docs, docs.doc_id >= 0)),
+        "mixing": lambda: mixing.mix(docs, labels, {"high": 0.5, "low": 0.5})[0],
+        "pieces": lambda: Q.pieces.encode(docs, Q.MODEL),
+        "runs": lambda: Q.periodic_runs.periodic_runs(docs),
+        "exact": lambda: Q.exact_dedup.exact_duplicates(docs),
+    }[operator]()
+    assert found.columns[: len(docs.columns)] == docs.columns
+    assert [[r[n] for n in WORKING] for r in found.collect()] == [list(values.values())] * 5
