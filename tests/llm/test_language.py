@@ -1,3 +1,5 @@
+import math
+
 from fixtures import documents, empty
 from pyspark.sql import functions as F
 
@@ -37,6 +39,32 @@ def test_nothing_to_learn_from(spark):
     assert {(r.lang_pred, r.score) for r in language.predict(documents(spark), None).collect()} == {("und", 0.0)}
 
 
+def forward(net, data):
+    """The network's posterior of one window, number by number."""
+    data = data.ljust(language.WINDOW, b"\0")
+    pooled = []
+    for width, table in zip(language.WIDTHS, net.tables):
+        for f in range(language.FILTERS):
+            places = range(language.WINDOW - width + 1)
+            pooled.append(max(sum(float(table[k][data[at + k]][f]) for k in range(width)) for at in places))
+    hidden = [max(0.0, z + float(b)) for z, b in zip(pooled, net.bias)]
+    logits = [sum(h * float(w) for h, w in zip(hidden, net.out[:, j])) + float(net.out_bias[j]) for j in range(len(net.languages))]
+    powers = [math.exp(x - max(logits)) for x in logits]
+    return [x / sum(powers) for x in powers]
+
+
+def test_scores_equal_a_plain_forward_pass(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    net = language.fit(docs, F.lit(True))
+    texts = [r.text for r in docs.where("length(text) < 1200 and text rlike '[a-z]'").limit(5).collect()] + ["é", "a" * 256 + "bcd", "x" * 700]
+    found = language.predict(spark.createDataFrame([(t,) for t in texts], "text string"), net).collect()
+    for row in found:
+        data = row.text.encode()
+        windows = [data[at : at + language.WINDOW] for at in range(0, len(data), language.WINDOW)]
+        means = [sum(len(w) * p for w, p in zip(windows, column)) / len(data) for column in zip(*(forward(net, w) for w in windows))]
+        assert row.lang_pred == net.languages[means.index(max(means))] and abs(row.score - max(means)) < 1e-4
+
+
 def test_whole_text_counts(spark):
     """The end of a text decides as much as its start."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

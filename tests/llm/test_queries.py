@@ -1,6 +1,7 @@
 """Registered queries against their SQL, or against brute force, on whole small tables."""
 
 import hashlib
+import zlib
 
 import duckdb
 import pytest
@@ -75,6 +76,23 @@ def test_op6_equals_brute_force(spark, db):
     assert sorted(map(tuple, Q.op6_suffix_dedup(spark, SF).collect())) == want
 
 
+def test_op9_obeys_its_law(spark, db):
+    """Sizes and digests of every row, whole groups, gapless slots, and no shard off balance by more than a group."""
+    want = {i: (len(t.encode()) + 16, zlib.crc32(t.encode()), t) for i, t in db.sql("select doc_id, coalesce(text, '') from documents").fetchall()}
+    rows = Q.op9_sharding(spark, SF).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {i: v[:2] for i, v in want.items()}
+    homes, groups, sums = {}, {}, {s: 0 for s in range(40)}
+    for r in rows:
+        homes.setdefault(want[r.doc_id][2], set()).add(r.shard)
+        groups[want[r.doc_id][2]] = groups.get(want[r.doc_id][2], 0) + r.size
+        sums[r.shard] += r.size
+    assert all(len(h) == 1 for h in homes.values())
+    for shard in range(40):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    ideal = sum(groups.values()) / 40
+    assert max(sums.values()) <= max(max(groups.values()), ideal + max(g for g in groups.values() if g < ideal))
+
+
 def test_op9_is_balanced(spark):
     rows = Q.op9_sharding(spark, SF).collect()
     sums = [sum(r.size for r in rows if r.shard == s) for s in range(40)]

@@ -27,6 +27,28 @@ def test_known_two_way_example():
     assert abs(sum(s if p else -s for s, p in zip([8, 7, 6, 5, 4], parts))) == 2
 
 
+def plain_differencing(sizes, ways):
+    """Karmarkar-Karp on lists of (sum, items): largest spread first, ties to the earlier partition."""
+    parts = [(k, [(0, ())] * (ways - 1) + [(size, (k,))]) for k, size in enumerate(sizes)]
+    fresh = len(sizes)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (-(p[1][-1][0] - p[1][0][0]), p[0]))
+        (_, one), (_, two), *parts = parts
+        joined = [(a + b, x + y) for (a, x), (b, y) in zip(one, reversed(two))]
+        parts.append((fresh, sorted(joined, key=lambda part: part[0])))
+        fresh += 1
+    return [total for total, _ in parts[0][1]]
+
+
+@pytest.mark.parametrize("ways", [2, 3, 5])
+def test_differencing_equals_a_plain_one(ways):
+    rng = random.Random(ways)
+    for n in (1, 4, 20, 120):
+        sizes = [rng.randint(1, 10**4) for _ in range(n)]
+        parts = sharding.difference(np.array(sizes), ways)
+        assert sorted(np.bincount(parts, weights=sizes, minlength=ways).astype(int).tolist()) == plain_differencing(sizes, ways)
+
+
 def test_few_items_and_none():
     assert sharding.difference(np.zeros(0, np.int64), 4).tolist() == []
     assert len(set(sharding.difference(np.array([5, 5, 5]), 4).tolist())) == 3
