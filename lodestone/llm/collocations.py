@@ -8,7 +8,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodestone.operators.skew import salted_join
 from lodestone.session import discard, durable
@@ -271,7 +271,7 @@ def phrase_counts(windows: DataFrame, least: int) -> DataFrame:
     return frequent.select("lang", "size", F.array_join("words", " ").alias("phrase"), "f")
 
 
-def _part(phrase: str, first: int, n) -> F.Column:
+def _part(phrase: str, first: Column, n: Column) -> Column:
     return F.array_join(F.slice(F.split(phrase, " "), first, n), " ")
 
 
@@ -300,7 +300,7 @@ def collocations(
     totals = counts.where("size = 0").select("lang", F.col("f").alias("n"))
     candidates = phrases.where(F.col("size").between(2, longest)).select("lang", "phrase", "size", F.col("f").alias("a"))
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
-    parts = cuts.withColumns({"head": _part("phrase", 1, F.col("k")), "tail": F.array_join(F.slice(F.split("phrase", " "), F.col("k") + 1, F.col("size")), " ")})
+    parts = cuts.withColumns({"head": _part("phrase", F.lit(1), F.col("k")), "tail": _part("phrase", F.col("k") + 1, F.col("size"))})
     for name, count in (("head", "l"), ("tail", "r")):
         known = phrases.select("lang", F.col("phrase").alias(name), F.col("f").alias(count))
         parts = salted_join(parts, known, ["lang", name], ["phrase", "k"], "inner")
@@ -308,7 +308,9 @@ def collocations(
     best = F.min_by(F.struct("l", "r", "score"), F.struct("score", "k")).alias("best")
     scored = durable(parts.withColumn("score", score).groupBy("lang", "phrase", "size", "a").agg(best), "collocation-scores")
     # Phrases inside longer candidates, each with the most frequent of those.
-    spans = F.flatten(F.transform(F.sequence(F.lit(2), F.col("size") - 1), lambda m: F.transform(F.sequence(F.lit(1), F.col("size") - m + 1), lambda s: F.struct(s.alias("s"), m.alias("m")))))
+    starts = lambda m: F.sequence(F.lit(1), F.col("size") - m + 1)
+    lengths = F.sequence(F.lit(2), F.col("size") - 1)
+    spans = F.flatten(F.transform(lengths, lambda m: F.transform(starts(m), lambda s: F.struct(s.alias("s"), m.alias("m")))))
     inner = scored.where("size > 2").select("lang", F.split("phrase", " ").alias("words"), "a", F.explode(spans).alias("span"))
     inner = inner.select("lang", F.array_join(F.slice("words", F.col("span.s"), F.col("span.m")), " ").alias("phrase"), "a")
     longer = inner.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))

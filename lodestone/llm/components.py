@@ -19,7 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star rounds: every node points its larger, then its
     smaller neighbours at the smallest one it knows, so the number of rounds grows with
     the logarithm of a component's diameter. Rounds are aggregations and equi-joins of
-    node pairs; minima are combined before the shuffle, and no task holds a component.
+    node pairs; minima are combined before the shuffle. The edges of one node meet in one
+    task where adaptive execution does not split it; a large star settles in two rounds.
     Rows with a null and loops count for nothing; repeated edges count once. No edges: no rows.
     """
     wide = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
