@@ -23,7 +23,10 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 MARKS = {"b": "**", "strong": "**", "i": "*", "em": "*", "cite": "*", "dfn": "*", "var": "*", "del": "~~", "s": "~~", "strike": "~~"}
 CODE = {"code", "kbd", "samp", "tt"}
 # Words of a class or an id that name what is not the page's content.
-ASIDE = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "cookie", "footer", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "popup", "promo", "share", "sidebar", "social", "sponsored"}
+ASIDE = {
+    "ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "cookie", "footer", "menu", "modal", "nav", "navbar",
+    "navigation", "newsletter", "popup", "promo", "share", "sidebar", "social", "sponsored",
+}
 #: An element that stands for a level of its own closes open ones of the first set above the nearest of the second.
 CLOSES = {
     "li": ({"li"}, LISTS),

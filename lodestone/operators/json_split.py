@@ -167,7 +167,8 @@ def array_elements(pieces: DataFrame) -> Elements:
     elements = F.when(F.col("_only"), F.array().cast("array<variant>")).otherwise(J.elements(F.col("_value")))
     # A comma asks for a value; only the array's very beginning may be followed by its end.
     enough = F.col("_only") | (F.size(elements) > 0) | (F.col("_first") & ~F.col("whole"))
-    groups = durable(read.select("file_path", "pos", elements.alias("elements"), F.coalesce(elements.isNotNull() & enough, F.lit(False)).alias("ok"), "whole"), "json-groups")
+    sound = F.coalesce(elements.isNotNull() & enough, F.lit(False))
+    groups = durable(read.select("file_path", "pos", elements.alias("elements"), sound.alias("ok"), "whole"), "json-groups")
     # A whole array ends with a group that no object ends.
     judged = groups.groupBy("file_path").agg((F.bool_and("ok") & (F.count_if(~F.col("whole")) == 1)).alias("good"))
     files_ = files.join(judged, "file_path", "left").select(

@@ -4,7 +4,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from lodestone.operators import url_records as U
 from lodestone.sources import files

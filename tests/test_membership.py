@@ -1,5 +1,3 @@
-import re
-
 import pytest
 from pyspark.sql import functions as F
 

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestone.functions import html as H
 from lodestone.functions.text import category_slug, normalise_unicode
 from lodestone.functions.urls import base_name, content_path, is_valid_url, safe_url_name
 from lodestone.operators import capture as C
