@@ -20,7 +20,7 @@ from lodestone.llm.rows import free_name
 
 SPACE = "▁"
 #: Segmentations that a task keeps, the first it meets; others are made again each time.
-CACHED = 500_000
+CACHED = 300_000
 LONGEST_CACHED = 48
 #: What an uncovered character costs more than the worst piece.
 UNCOVERED = 10.0
