@@ -153,3 +153,35 @@ def test_a_word_on_all_pages_of_a_large_corpus_keeps_them(spark):
     index = S.PageIndex(documents, postings, counted.select("token", "df").distinct())
     impacts = [r.impact for r in S.bm25_impacts(index, counted).collect()]
     assert len(impacts) == 50 and min(impacts) > 1_000
+
+
+def test_no_row_for_a_pair_of_a_query_and_a_page(spark, monkeypatch):
+    """Every page has the words of every query; only the best of a group of pages leave a task."""
+    rows = [(i, f"http://h/{i}", "common word " * (1 + i % 7)) for i in range(3000)]
+    index = S.build_index(spark.createDataFrame(rows, "page_id long, url string, body string"))
+    queries = S.with_search_terms(spark.createDataFrame([(q, f"common word rare{q}") for q in range(200)], "query_id long, query string"))
+    seen, meet = [], S._meet
+    monkeypatch.setattr(S, "_meet", lambda *a: seen.append(meet(*a)) or seen[-1])
+    assert S.top_pages(queries, index, S.bm25_impacts, 3).count() == 600
+    assert seen[0].count() <= 200 * 3 * 2
+
+
+def test_repeated_rows_count_as_often_as_they_come(spark):
+    """Repeated pages and queries add up; one query_id may ask in several scopes; a null one is a query too."""
+    pages = [(1, "http://a.org/1", "x y"), (1, "http://a.org/1", "x y"), (2, "http://b.org/2", "x"), (3, "http://b.org/3", "z"), (None, "http://b.org/4", "x")]
+    index = S.build_index(spark.createDataFrame(pages, "page_id long, url string, body string"))
+    asked = [(1, "x"), (1, "x"), (2, "x site:b.org"), (2, "y site:a.org"), (None, "z"), (3, "x y")]
+    queries = S.with_search_terms(spark.createDataFrame(asked, "query_id long, query string"))
+    unit = S.MATCH_UNIT + 1
+    expected = {(1, 1, 8 * unit), (1, 2, 2 * unit), (2, 2, unit), (2, 1, 4 * unit), (None, 3, unit), (3, 1, 8 * unit), (3, 2, unit)}
+    for short_lists in (0, 100):
+        got = S.top_pages(queries, index, S.match_impacts, 5, short_lists).select("query_id", "page_id", "score").collect()
+        assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+
+
+def test_scores_beyond_the_range_of_exact_doubles(spark):
+    huge = lambda index, postings: postings.withColumn("impact", F.lit(1 << 54) + F.col("page_id"))
+    index = S.build_index(spark.createDataFrame([(i, "u", "a b") for i in range(20)], "page_id long, url string, body string"))
+    queries = S.with_search_terms(spark.createDataFrame([(1, "a b")], "query_id long, query string"))
+    got = [(r.page_id, r.score) for r in S.top_pages(queries, index, huge, 2).orderBy("rank").collect()]
+    assert got == [(19, (1 << 55) + 38), (18, (1 << 55) + 36)]
