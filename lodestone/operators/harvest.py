@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodestone.functions.json import FALSY, computed_once, is_one_value
 from lodestone.functions.urls import is_valid_url
+from lodestone.session import durable
+
+#: Bytes of documents whose tokens a task sorts; a document is in one task, however large.
+PART_BYTES = 2 << 20
 
 # A string literal and, for an object key, the colon after it; a bracket; any other literal.
 TOKEN = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"(?:\s*+:)?|[{}\[\]]|[^\s"{}\[\]:,]++'
@@ -24,6 +28,17 @@ def _text(literal: Column) -> Column:
     return F.when(F.contains(literal, F.lit("\\")), F.get_json_object(wrapped, "$.v")).otherwise(plain)
 
 
+def _dealt(documents: DataFrame) -> DataFrame:
+    """Documents dealt over as many tasks as their size asks for.
+
+    Tokens are many times as large as their document, so the number of tasks that fits the
+    documents does not fit the tokens.
+    """
+    kept = durable(documents.select("doc", "content"), "documents")
+    size = kept.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    return kept.repartition(max(1, -(-size // PART_BYTES)), "doc")
+
+
 def _tokens(documents: DataFrame) -> DataFrame:
     """Tokens ``(doc, at, token, next, after, opens, named, container, name)`` of valid documents that count.
 
@@ -34,7 +49,7 @@ def _tokens(documents: DataFrame) -> DataFrame:
     task's work, documents are dealt over all.
     """
     literal = F.col("token")
-    found = documents.where(is_one_value(F.col("content"))).select(
+    found = _dealt(documents).where(is_one_value(F.col("content"))).select(
         "doc", F.posexplode(F.regexp_extract_all("content", F.lit(TOKEN), F.lit(0))).alias("at", "token")
     )
     opens, closes = literal.isin("{", "["), literal.isin("}", "]")

@@ -1,6 +1,8 @@
 import json
 import random
 
+from pyspark.sql import functions as F
+
 from lodestone.operators import harvest as V
 
 
@@ -119,3 +121,13 @@ def test_bad_documents_have_a_status(spark):
     rows = spark.createDataFrame([(1, '{"a":1}'), (2, "{oops"), (3, None), (4, ""), (5, '"http://a"')], "doc int, content string")
     assert dict(map(tuple, V.harvest_status(rows).collect())) == {1: "ok", 2: "invalid_json", 3: "invalid_json", 4: "invalid_json", 5: "ok"}
     assert [(r.doc, r.url) for r in V.harvest_urls(rows).collect()] == [(5, "http://a")]
+
+
+def test_tokens_are_dealt_by_the_size_of_the_documents(spark, monkeypatch):
+    """Tokens are sorted in tasks of bounded size, however few partitions the session shuffles into."""
+    monkeypatch.setattr(V, "PART_BYTES", 1_000)
+    content = '{"hits":[{"url":"http://a.b/1","is_pdf":true},{"url":"http://a.b/2"}],"more":"' + "x" * 400 + '"}'
+    documents = spark.range(40).select(F.col("id").alias("doc"), F.lit(content).alias("content"))
+    found = V.harvest_urls(documents)
+    assert found.count() == 80 and found.rdd.getNumPartitions() >= 15
+    assert V.harvest_urls_with_pdf(documents.limit(0)).count() == 0
