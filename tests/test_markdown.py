@@ -2,6 +2,7 @@
 
 import time
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -106,3 +107,13 @@ def test_columns_take_nulls(spark):
     html = F.col("html")
     rows = pages.select("id", H.to_markdown(html), H.title(html), H.description(html), H.language(html)).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(1, None, None, None, None), (2, "", "", "", "en"), (3, "x", "", "", "en")]
+
+
+def test_few_pages_are_python_objects_at_once(spark, monkeypatch):
+    sizes, converted = [], H._converted
+    monkeypatch.setattr(H, "_converted", lambda part: sizes.append(len(part)) or converted(part))
+    pages = ["<p>a</p>", None, "", "<p>\ud800</p>".encode("utf-8", "replace").decode()] * 100
+    found = H._page.func(pa.array(pages)).to_pylist()
+    assert max(sizes) <= H.AT_ONCE < len(pages) and len(found) == 400
+    assert found[0]["markdown"] == "a" and found[1]["markdown"] is None and found[2]["markdown"] == ""
+    assert H._page.func(pa.array([], pa.string())).to_pylist() == []
