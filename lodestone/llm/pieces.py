@@ -20,8 +20,10 @@ from lodestone.llm.rows import free_name
 
 SPACE = "▁"
 #: Segmentations that a task keeps, the first it meets; others are made again each time.
-CACHED = 300_000
+CACHED = 150_000
 LONGEST_CACHED = 48
+#: Texts whose segmentations are Python objects at once; an Arrow batch may hold many more.
+AT_ONCE = 512
 #: What an uncovered character costs more than the worst piece.
 UNCOVERED = 10.0
 
@@ -73,36 +75,76 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(trie, [order[b] for b in range(256)], spelled, frozenset(order.values()), penalty, chunk)
 
 
-def ranked_paths(chunk: str, words: Vocabulary, several: bool = True) -> Iterator[tuple[float, tuple[int, ...], float | None]]:
-    """All ways to cut ``chunk`` into pieces, best first: ``(score, ids, score of the next)``.
-
-    A forward Viterbi pass gives the best score of every prefix. A* then grows paths from
-    the end to the start; a path's own score plus the best score of what is left to its
-    left is exactly what it can reach, so paths come out in order, and the best bound
-    that waits is the next path's score. A character without a piece is an edge of its
-    own, spelled in bytes. Unless ``several``, only the best way comes.
-    """
+def _lattice(chunk: str, words: Vocabulary) -> tuple[list[float], list[list]]:
+    """The best score of every prefix, and the edges ``(start, piece, score)`` into its end."""
     length, root = len(chunk), words.trie
     best = [0.0] + [-1e300] * length
     into: list[list] = [[] for _ in range(length + 1)]
     for start in range(length):
-        score, below, end = best[start], root, start
-        covered = chunk[start] in root and root[chunk[start]][1] is not None
-        while end < length:
+        score, below, covered = best[start], root, False
+        for end in range(start, length):
             node = below.get(chunk[end])
             if node is None:
                 break
             below, piece = node
-            end += 1
             if piece is not None:
                 number, gain = piece
-                into[end].append((start, number, gain))
-                if score + gain > best[end]:
-                    best[end] = score + gain
+                into[end + 1].append((start, number, gain))
+                if score + gain > best[end + 1]:
+                    best[end + 1] = score + gain
+                if end == start:
+                    covered = True
+            if not below:
+                break
         if not covered:
             into[start + 1].append((start, -1 - start, words.penalty))
             if score + words.penalty > best[start + 1]:
                 best[start + 1] = score + words.penalty
+    return best, into
+
+
+def _spelled(path: tuple | None, chunk: str, words: Vocabulary) -> tuple[int, ...]:
+    """The ids of a path, first to last; characters without a piece in bytes."""
+    ids: list[int] = []
+    while path is not None:
+        piece, path = path
+        if piece >= 0:
+            ids.append(piece)
+        else:
+            ids.extend(words.bytes_at[b] for b in chunk[-1 - piece].encode("utf-8", "surrogatepass"))
+    return tuple(ids)
+
+
+def first_path(chunk: str, words: Vocabulary) -> tuple[float, tuple[int, ...], float | None]:
+    """What ``ranked_paths`` gives first. No path has to wait for that, only the best bound is kept."""
+    place, score, path, following = len(chunk), 0.0, None, None
+    best, into = _lattice(chunk, words)
+    reachable = best[place]
+    while place:
+        chosen = None
+        for start, piece, gain in into[place]:
+            reach = best[start] + (score + gain)
+            if chosen is None and reach == reachable:
+                chosen = (start, score + gain, (piece, path))
+            elif following is None or reach > following:
+                following = reach
+        if chosen is None:  # sums of the other order differ in their last digit
+            return next(ranked_paths(chunk, words))
+        place, score, path = chosen
+    return score, _spelled(path, chunk, words), following
+
+
+def ranked_paths(chunk: str, words: Vocabulary, several: bool = True) -> Iterator[tuple[float, tuple[int, ...], float | None]]:
+    """All ways to cut ``chunk`` into pieces, best first: ``(score, ids, score of the next)``.
+
+    A forward Viterbi pass gives the best score of every prefix. A* then grows paths from
+    the end to the start; a path's own score plus the best score of what is left to its
+    left is exactly what it can reach, so paths come out in order, and the best bound
+    that waits is the next path's score. A character without a piece is an edge of its
+    own, spelled in bytes. Unless ``several``, only the best way comes.
+    """
+    length = len(chunk)
+    best, into = _lattice(chunk, words)
     heap, count = [(-best[length], 0, length, 0.0, None)], 0
     while heap:
         bound, _, place, score, path = heapq.heappop(heap)
@@ -122,14 +164,7 @@ def ranked_paths(chunk: str, words: Vocabulary, several: bool = True) -> Iterato
             place, score, path = chosen
         if place:
             continue
-        ids = []
-        while path is not None:
-            piece, path = path
-            if piece >= 0:
-                ids.append(piece)
-            else:
-                ids.extend(words.bytes_at[b] for b in chunk[-1 - piece].encode("utf-8", "surrogatepass"))
-        yield score, tuple(ids), -heap[0][0] if heap else None
+        yield score, _spelled(path, chunk, words), -heap[0][0] if heap else None
         if not several:
             return
 
@@ -147,7 +182,7 @@ class _Known(dict):
         self.words, self.n = words, n
 
     def __missing__(self, chunk: str) -> tuple:
-        score, ids, following = next(ranked_paths(chunk, self.words, self.n > 1))
+        score, ids, following = first_path(chunk, self.words)
         entry = (array("i", ids).tobytes(), score, math.inf if following is None else score - following, chunk)
         if len(self) < CACHED and len(chunk) <= LONGEST_CACHED:
             self[chunk] = entry
@@ -246,31 +281,33 @@ def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFr
     """
     words = load(path)
 
+    def segmented(encoder: Encoder, column: pa.Array) -> pa.Array:
+        ids, scores, seconds, same = [], [], [], []
+        starts, next_ids, next_scores = [], [], []
+        for content in column.to_pylist():
+            if content is None:
+                ids.append(None), scores.append(None), seconds.append(None), same.append(None), starts.append(None)
+                continue
+            (score, best, _), *following = encoder.ranked(encoder.chunks(content))
+            best = np.frombuffer(best, np.int32)
+            following = [(x, np.frombuffer(other, np.int32), alike) for x, other, alike in following]
+            starts.append(len(next_ids))
+            ids.append(best)
+            scores.append(score)
+            seconds.append(following[0][0] if following else None)
+            back = decode(best.tolist(), words) == content
+            same.append(back and all(alike or decode(other.tolist(), words) == content for _, other, alike in following))
+            next_ids += [other for _, other, _ in following]
+            next_scores += [x for x, _, _ in following]
+        arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64()), pa.array(seconds, pa.float64())]
+        pairs = pa.StructArray.from_arrays([pa.array(next_ids, pa.list_(pa.int32())), pa.array(next_scores, pa.float64())], ["ids", "score"])
+        others = pa.ListArray.from_arrays(pa.array([*starts, len(next_ids)], pa.int32()), pairs)
+        return pa.StructArray.from_arrays([*arrays, others, pa.array(same, pa.bool_())], names)
+
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(words, n)
         for column in columns:
-            ids, scores, seconds, same = [], [], [], []
-            starts, next_ids, next_scores = [], [], []
-            for value in column:
-                content = value.as_py()
-                if content is None:
-                    ids.append(None), scores.append(None), seconds.append(None), same.append(None), starts.append(None)
-                    continue
-                (score, best, _), *following = encoder.ranked(encoder.chunks(content))
-                best = np.frombuffer(best, np.int32)
-                following = [(x, np.frombuffer(other, np.int32), alike) for x, other, alike in following]
-                starts.append(len(next_ids))
-                ids.append(best)
-                scores.append(score)
-                seconds.append(following[0][0] if following else None)
-                back = decode(best.tolist(), words) == content
-                same.append(back and all(alike or decode(other.tolist(), words) == content for _, other, alike in following))
-                next_ids += [other for _, other, _ in following]
-                next_scores += [x for x, _, _ in following]
-            arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64()), pa.array(seconds, pa.float64())]
-            pairs = pa.StructArray.from_arrays([pa.array(next_ids, pa.list_(pa.int32())), pa.array(next_scores, pa.float64())], ["ids", "score"])
-            others = pa.ListArray.from_arrays(pa.array([*starts, len(next_ids)], pa.int32()), pairs)
-            yield pa.StructArray.from_arrays([*arrays, others, pa.array(same, pa.bool_())], names)
+            yield pa.concat_arrays([segmented(encoder, column.slice(at, AT_ONCE)) for at in range(0, max(1, len(column)), AT_ONCE)])
 
     names = ["ids", "score", "second", "others", "same"]
     new = ("piece_ids", "piece_score", "next_score", "next_best", "decodes")
