@@ -149,3 +149,11 @@ def test_columns_with_working_names_stay(spark, operator):
     }[operator]()
     assert found.columns[: len(docs.columns)] == docs.columns
     assert [[r[n] for n in WORKING] for r in found.collect()] == [list(values.values())] * 5
+
+
+def test_pipeline_ends_with_several_segmentations(spark):
+    docs = spark.createDataFrame([(1, "several words here"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in corpus_pipeline.encoded(spark, docs, SF).collect()}
+    assert len(got[1].next_best) == corpus_pipeline.SEGMENTATIONS - 1 == 1 and got[1].decodes
+    assert got[1].next_best[0].score == got[1].next_score <= got[1].piece_score and got[1].next_best[0].ids != got[1].piece_ids
+    assert got[2].piece_ids is None
