@@ -185,3 +185,45 @@ def test_scores_beyond_the_range_of_exact_doubles(spark):
     queries = S.with_search_terms(spark.createDataFrame([(1, "a b")], "query_id long, query string"))
     got = [(r.page_id, r.score) for r in S.top_pages(queries, index, huge, 2).orderBy("rank").collect()]
     assert got == [(19, (1 << 55) + 38), (18, (1 << 55) + 36)]
+
+
+def test_rows_that_leave_tasks_do_not_grow_with_the_pages(spark, monkeypatch):
+    """Twelve times the blocks of pages: a query still gives its best of two groups of them."""
+    monkeypatch.setattr(S, "SPLIT_ROWS", 64)
+    monkeypatch.setattr(S, "LEAST_TASKS", 2)
+    monkeypatch.setattr(S, "SPLIT_PAIRS", 16 * S.BLOCK_PAGES)
+    queries = S.with_search_terms(spark.createDataFrame([(q, f"common word rare{q}") for q in range(64)], "query_id long, query string"))
+    meet, left = S._meet, []
+    monkeypatch.setattr(S, "_meet", lambda *a: left.append(meet(*a)) or left[-1])
+    for n in (250, 3000):
+        rows = [(i, f"http://h/{i}", "common word " * (1 + i % 7)) for i in range(n)]
+        index = S.build_index(spark.createDataFrame(rows, "page_id long, url string, body string"))
+        assert S.top_pages(queries, index, S.bm25_impacts, 3).count() == 64 * 3
+    assert max(f.count() for f in left) <= 64 * 3 * 2
+
+
+@pytest.mark.parametrize("weigh, impacts", [(S.bm25_impacts, bm25), (S.match_impacts, matches)])
+def test_rounds_give_the_same_pages(spark, monkeypatch, weigh, impacts):
+    monkeypatch.setattr(S, "ROUND_ROWS", 50)
+    monkeypatch.setattr(S, "SPLIT_ROWS", 100)
+    pages, text = corpus(6, 300, 80, 30)
+    queries = [(i, text(random.randint(1, 8))) for i in range(30)]
+    assert ranked(spark, pages, queries, weigh, 4) == brute_force(pages, queries, impacts(pages), 4)
+
+
+def test_two_engines_share_their_page_blocks(spark, monkeypatch):
+    pages, text = corpus(8, 200, 60, 20)
+    asked = [(i, text(4)) for i in range(20)] + [(50, "w0 w1"), (51, "w0 w1"), (52, None), (53, "nowhere")]
+    index = S.build_index(spark.createDataFrame(pages, "page_id long, url string, body string"))
+    questions = spark.createDataFrame([(*a, None, None) for a in asked], "qid long, question string, dorks string, urls array<string>")
+    labels, write = [], S.durable
+    monkeypatch.setattr(S, "durable", lambda df, label, *more: labels.append(label) or write(df, label, *more))
+    got = {(r.engine, r.qid): (r.urls, r.error) for r in S.retrieve_two_engines(questions, index, 3).collect()}
+    assert labels.count("page-blocks") == labels.count("used") == 1
+    urls = {p: u for p, u, _ in pages}
+    for engine, impacts in (("bm25", bm25(pages)), ("matches", matches(pages))):
+        best = brute_force(pages, [(q, t or "") for q, t in asked], impacts, 3)
+        for q, t in asked:
+            expected = [urls[p] for p, _ in best[q]]
+            assert got[engine, q] == (expected, S.NO_QUESTION if t is None else None if expected else S.NO_RESULTS)
+    assert len(got) == 2 * len(asked)
