@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import heapq
 import math
 import re
@@ -20,9 +21,9 @@ from lodestone.llm.rows import free_name
 
 SPACE = "▁"
 #: Segmentations that a task keeps, the first it meets; others are made again each time.
-CACHED = 150_000
+CACHED = 225_000
 LONGEST_CACHED = 48
-#: Texts whose segmentations are Python objects at once; an Arrow batch may hold many more.
+#: Texts whose segmentations are in memory at once; an Arrow batch may hold many more.
 AT_ONCE = 512
 #: What an uncovered character costs more than the worst piece.
 UNCOVERED = 10.0
@@ -30,6 +31,7 @@ UNCOVERED = 10.0
 
 class Vocabulary(NamedTuple):
     trie: dict  # by character: (the trie below, id and score of the piece that ends here, or None)
+    behind: dict  # the same over the pieces' characters from last to first
     bytes_at: list[int]  # id of each byte's piece
     spelled: list[bytes]  # by id: a piece's bytes, none for marks
     bare: frozenset[int]  # ids of the bytes' pieces
@@ -65,14 +67,25 @@ def load(path: str) -> Vocabulary:
         other = f"[^{SPACE}{alone}]"
         chunk = f"{SPACE}*{other}(?:[^{SPACE}{alone}{signs}]+|(?<![^\\W\\d_])[{signs}])*|{SPACE}+|[{alone or SPACE}]"
     penalty = min(score for _, score in pieces.values()) - UNCOVERED
-    trie: dict = {}
-    for piece in sorted(pieces):
-        below = trie
+    reverse = {piece[::-1]: found for piece, found in pieces.items()}
+    return Vocabulary(_trie(pieces), _trie(reverse), [order[b] for b in range(256)], spelled, frozenset(order.values()), penalty, chunk)
+
+
+#: What is below the last character of a piece that no other one goes on: one for all, as there are many.
+LEAF: dict = {}
+
+
+def _trie(pieces: dict[str, tuple[int, float]]) -> dict:
+    root: dict = {}
+    for piece in pieces:
+        below = root
         for end, c in enumerate(piece, 1):
-            if c not in below:
-                below[c] = ({}, pieces.get(piece[:end]))
-            below = below[c][0]
-    return Vocabulary(trie, [order[b] for b in range(256)], spelled, frozenset(order.values()), penalty, chunk)
+            node = below.get(c) or (LEAF, pieces.get(piece[:end]))
+            if end < len(piece) and node[0] is LEAF:
+                node = ({}, node[1])
+            below[c] = node
+            below = node[0]
+    return root
 
 
 def _lattice(chunk: str, words: Vocabulary) -> tuple[list[float], list[list]]:
@@ -115,22 +128,70 @@ def _spelled(path: tuple | None, chunk: str, words: Vocabulary) -> tuple[int, ..
     return tuple(ids)
 
 
+def _best(chunk: str, words: Vocabulary) -> list[float]:
+    """The best score of every prefix."""
+    length, root, penalty = len(chunk), words.trie.get, words.penalty
+    best = [0.0] + [-1e300] * length
+    for start in range(length):
+        score, node = best[start], root(chunk[start])
+        end = start + 1
+        if node is None or node[1] is None:
+            if score + penalty > best[end]:
+                best[end] = score + penalty
+            if node is None:
+                continue
+        below, piece = node
+        while True:
+            if piece is not None:
+                reach = score + piece[1]
+                if reach > best[end]:
+                    best[end] = reach
+            if not below or end == length:
+                break
+            node = below.get(chunk[end])
+            if node is None:
+                break
+            below, piece = node
+            end += 1
+    return best
+
+
 def first_path(chunk: str, words: Vocabulary) -> tuple[float, tuple[int, ...], float | None]:
-    """What ``ranked_paths`` gives first. No path has to wait for that, only the best bound is kept."""
+    """What ``ranked_paths`` gives first. No path has to wait for that, only the best bound is kept.
+
+    Edges are looked up at the path's own places only, from each place to the left.
+    """
     place, score, path, following = len(chunk), 0.0, None, None
-    best, into = _lattice(chunk, words)
+    best, root, penalty = _best(chunk, words), words.behind.get, words.penalty
     reachable = best[place]
     while place:
-        chosen = None
-        for start, piece, gain in into[place]:
-            reach = best[start] + (score + gain)
-            if chosen is None and reach == reachable:
-                chosen = (start, score + gain, (piece, path))
+        # The best edge with the smallest start is taken; edges come with falling starts.
+        chosen, start = None, place - 1
+        node = root(chunk[start])
+        if node is None or node[1] is None:
+            reach = best[start] + (score + penalty)
+            if reach == reachable:
+                chosen = (start, -1 - start, penalty)
             elif following is None or reach > following:
                 following = reach
+        while node is not None:
+            below, piece = node
+            if piece is not None:
+                reach = best[start] + (score + piece[1])
+                if reach == reachable:
+                    if chosen is not None:
+                        following = reach
+                    chosen = (start, *piece)
+                elif following is None or reach > following:
+                    following = reach
+            if not below or not start:
+                break
+            start -= 1
+            node = below.get(chunk[start])
         if chosen is None:  # sums of the other order differ in their last digit
             return next(ranked_paths(chunk, words))
-        place, score, path = chosen
+        place, piece, gain = chosen
+        score, path = score + gain, (piece, path)
     return score, _spelled(path, chunk, words), following
 
 
@@ -270,6 +331,41 @@ def decode(ids: list[int], words: Vocabulary) -> str:
     return data.decode("utf-8", "surrogatepass")
 
 
+FOUND = ["ids", "score", "second", "others", "same"]
+
+
+def _segmented(encoder: Encoder, column: pa.Array) -> pa.Array:
+    words = encoder.words
+    ids, scores, seconds, same = [], [], [], []
+    starts, next_ids, next_scores = [], [], []
+    for content in column.to_pylist():
+        if content is None:
+            ids.append(None), scores.append(None), seconds.append(None), same.append(None), starts.append(None)
+            continue
+        (score, best, _), *following = encoder.ranked(encoder.chunks(content))
+        best = np.frombuffer(best, np.int32)
+        following = [(x, np.frombuffer(other, np.int32), alike) for x, other, alike in following]
+        starts.append(len(next_ids))
+        ids.append(best)
+        scores.append(score)
+        seconds.append(following[0][0] if following else None)
+        back = decode(best.tolist(), words) == content
+        same.append(back and all(alike or decode(other.tolist(), words) == content for _, other, alike in following))
+        next_ids += [other for _, other, _ in following]
+        next_scores += [x for x, _, _ in following]
+    arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64()), pa.array(seconds, pa.float64())]
+    pairs = pa.StructArray.from_arrays([pa.array(next_ids, pa.list_(pa.int32())), pa.array(next_scores, pa.float64())], ["ids", "score"])
+    others = pa.ListArray.from_arrays(pa.array([*starts, len(next_ids)], pa.int32()), pairs)
+    return pa.StructArray.from_arrays([*arrays, others, pa.array(same, pa.bool_())], FOUND)
+
+
+def _in_slices(encoder: Encoder, columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Texts' segmentations, ``AT_ONCE`` texts at a time."""
+    for column in columns:
+        for at in range(0, max(1, len(column)), AT_ONCE):
+            yield _segmented(encoder, column.slice(at, AT_ONCE))
+
+
 def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFrame:
     """``docs`` with ``piece_ids`` of the best segmentation, ``piece_score``, ``next_score``, ``next_best`` and ``decodes``.
 
@@ -281,37 +377,12 @@ def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFr
     """
     words = load(path)
 
-    def segmented(encoder: Encoder, column: pa.Array) -> pa.Array:
-        ids, scores, seconds, same = [], [], [], []
-        starts, next_ids, next_scores = [], [], []
-        for content in column.to_pylist():
-            if content is None:
-                ids.append(None), scores.append(None), seconds.append(None), same.append(None), starts.append(None)
-                continue
-            (score, best, _), *following = encoder.ranked(encoder.chunks(content))
-            best = np.frombuffer(best, np.int32)
-            following = [(x, np.frombuffer(other, np.int32), alike) for x, other, alike in following]
-            starts.append(len(next_ids))
-            ids.append(best)
-            scores.append(score)
-            seconds.append(following[0][0] if following else None)
-            back = decode(best.tolist(), words) == content
-            same.append(back and all(alike or decode(other.tolist(), words) == content for _, other, alike in following))
-            next_ids += [other for _, other, _ in following]
-            next_scores += [x for x, _, _ in following]
-        arrays = [pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64()), pa.array(seconds, pa.float64())]
-        pairs = pa.StructArray.from_arrays([pa.array(next_ids, pa.list_(pa.int32())), pa.array(next_scores, pa.float64())], ["ids", "score"])
-        others = pa.ListArray.from_arrays(pa.array([*starts, len(next_ids)], pa.int32()), pairs)
-        return pa.StructArray.from_arrays([*arrays, others, pa.array(same, pa.bool_())], names)
-
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(words, n)
-        for column in columns:
-            yield pa.concat_arrays([segmented(encoder, column.slice(at, AT_ONCE)) for at in range(0, max(1, len(column)), AT_ONCE)])
+        gc.freeze()  # else every collection walks the vocabulary
+        return _in_slices(Encoder(words, n), columns)
 
-    names = ["ids", "score", "second", "others", "same"]
     new = ("piece_ids", "piece_score", "next_score", "next_best", "decodes")
     columns, made = [F.col(f"`{c}`") for c in docs.columns if c not in new], free_name(docs, "_found")
     kind = "ids array<int>, score double, second double, others array<struct<ids: array<int>, score: double>>, same boolean"
     found = docs.select(*columns, F.arrow_udf(run, kind)(F.col(text).cast("string")).alias(made))
-    return found.select(*columns, *(F.col(f"{made}.{old}").alias(name) for old, name in zip(names, new)))
+    return found.select(*columns, *(F.col(f"{made}.{old}").alias(name) for old, name in zip(FOUND, new)))

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from fixtures import AWKWARD, documents, empty
 
@@ -99,3 +100,28 @@ def test_encode_gives_the_n_best(spark, words, n):
 
 def test_empty(spark):
     assert pieces.encode(empty(spark), MODEL).count() == 0
+
+
+def test_first_path_is_the_first_ranked_one():
+    """Ties, characters without a piece, and scores whose sums depend on their order."""
+    random.seed(11)
+    for exact in (True, False):
+        scores = {a: -random.randint(1, 9) / (1 if exact else 7) for a in {"".join(random.choices("abc", k=random.randint(1, 4))) for _ in range(25)} - {"b"}}
+        found = {piece: (k, float(score)) for k, (piece, score) in enumerate(scores.items())}
+        reverse = {piece[::-1]: x for piece, x in found.items()}
+        words = pieces.Vocabulary(pieces._trie(found), pieces._trie(reverse), list(range(100, 356)), [], frozenset(), -19.0, "")
+        for _ in range(500):
+            chunk = "".join(random.choices("abcd", k=random.randint(1, 9)))
+            score, ids, following = pieces.first_path(chunk, words)
+            ranked = next(pieces.ranked_paths(chunk, words))
+            assert (score, ids) == ranked[:2] and following == pytest.approx(ranked[2], abs=1e-9) if ranked[2] is not None else following is None
+
+
+def test_no_more_than_a_slice_of_a_batch_is_made_at_once(spark, words):
+    n = 2 * pieces.AT_ONCE + 3
+    texts = [f"text number {k}" if k % 7 else None for k in range(n)]
+    slices = list(pieces._in_slices(pieces.Encoder(words, 2), iter([pa.array(texts), pa.array([], pa.string())])))
+    assert [len(x) for x in slices] == [pieces.AT_ONCE, pieces.AT_ONCE, 3, 0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = pieces.encode(docs, MODEL, n=2).orderBy("doc_id").collect()
+    assert [r.piece_ids and pieces.decode(r.piece_ids, words) for r in rows] == texts
