@@ -378,8 +378,12 @@ def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFr
     words = load(path)
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        gc.collect()
         gc.freeze()  # else every collection walks the vocabulary
-        return _in_slices(Encoder(words, n), columns)
+        try:
+            yield from _in_slices(Encoder(words, n), columns)
+        finally:
+            gc.unfreeze()
 
     new = ("piece_ids", "piece_score", "next_score", "next_best", "decodes")
     columns, made = [F.col(f"`{c}`") for c in docs.columns if c not in new], free_name(docs, "_found")
