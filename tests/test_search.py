@@ -1,11 +1,13 @@
 import math
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodestone.operators import search as S
+from lodestone.session import run_dir
 
 
 def tokens(text):
@@ -227,3 +229,24 @@ def test_two_engines_share_their_page_blocks(spark, monkeypatch):
             expected = [urls[p] for p, _ in best[q]]
             assert got[engine, q] == (expected, S.NO_QUESTION if t is None else None if expected else S.NO_RESULTS)
     assert len(got) == 2 * len(asked)
+
+
+def tables_of(spark):
+    at = Path(run_dir(spark).removeprefix("file:"))
+    return {f for f in at.iterdir()} if at.exists() else set()
+
+
+@pytest.mark.parametrize("short_lists", [0, S.SHORT_LISTS])
+def test_a_search_leaves_only_what_its_result_reads(spark, monkeypatch, short_lists):
+    """Tables of earlier steps would stay on disk next to all that the session does later."""
+    monkeypatch.setattr(S, "SHORT_LISTS", short_lists)
+    monkeypatch.setattr(S, "READ_ALL_FACTOR", 0)
+    pages, text = corpus(9, 60, 30, 10)
+    index = S.build_index(spark.createDataFrame(pages, "page_id long, url string, body string"))
+    rows = spark.createDataFrame([(i, text(3), text(3)) for i in range(9)], "query_id long, question string, query string")
+    before = tables_of(spark)
+    asked = rows.selectExpr("query_id as qid", "question", "cast(null as string) as dorks", "cast(null as array<string>) as urls")
+    assert S.retrieve(asked, index, 3).count() == S.retrieve_two_engines(asked, index, 3).count() / 2 == 9
+    left = tables_of(spark) - before
+    assert sorted(t.name.rsplit("-", 1)[0] for t in left) == ["ranked", "ranked"]
+    assert all(f.name.endswith(".zstd.parquet") for t in left for f in t.glob("part-*"))
