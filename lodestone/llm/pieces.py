@@ -7,7 +7,7 @@ import heapq
 import math
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 from operator import itemgetter
 from typing import NamedTuple
@@ -17,14 +17,18 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from lodestone.llm.piece_paths import PieceTable
 from lodestone.llm.rows import free_name
 
 SPACE = "▁"
 #: Segmentations that a task keeps, the first it meets; others are made again each time.
-CACHED = 225_000
+CACHED = 100_000
 LONGEST_CACHED = 48
 #: Texts whose segmentations are in memory at once; an Arrow batch may hold many more.
 AT_ONCE = 512
+#: Characters of texts whose chunks are segmented together (one text at least), and chunks on arrays at once.
+CHARACTERS = 1_000_000
+CHUNKS = 10_000
 #: What an uncovered character costs more than the worst piece.
 UNCOVERED = 10.0
 
@@ -236,13 +240,29 @@ def segmentations(chunk: str, words: Vocabulary, n: int) -> list[tuple[float, tu
 
 
 class _Known(dict):
-    """Segmented chunks: ``(ids as bytes, best score, loss of the second best, the chunk)``."""
+    """Segmented chunks: ``(ids as bytes, best score, loss of the second best, the chunk)``.
+
+    ``passing`` has those of the texts at hand that are more than a task keeps.
+    """
 
     def __init__(self, words: Vocabulary, n: int):
         super().__init__()
-        self.words, self.n = words, n
+        self.words, self.n, self.passing = words, n, {}
+
+    def learn(self, chunks: set[str], table: PieceTable) -> None:
+        """Segment chunks together; what ``table`` leaves out, and long ones, are done when they are asked for."""
+        new, self.passing = [c for c in chunks if c not in self and len(c) <= LONGEST_CACHED], {}
+        for at in range(0, len(new), CHUNKS):
+            some = new[at : at + CHUNKS]
+            for chunk, found in zip(some, table.first_paths(some)):
+                if found:
+                    score, ids, following = found
+                    (self if len(self) < CACHED else self.passing)[chunk] = (ids, score, score - following, chunk)
 
     def __missing__(self, chunk: str) -> tuple:
+        entry = self.passing.get(chunk)
+        if entry:
+            return entry
         score, ids, following = first_path(chunk, self.words)
         entry = (array("i", ids).tobytes(), score, math.inf if following is None else score - following, chunk)
         if len(self) < CACHED and len(chunk) <= LONGEST_CACHED:
@@ -269,8 +289,9 @@ class _Grown(dict):
 class Encoder:
     """Encodes whole texts; chunks that come up again are not segmented again."""
 
-    def __init__(self, words: Vocabulary, n: int = 1):
+    def __init__(self, words: Vocabulary, n: int = 1, table: PieceTable | None = None):
         self.words, self.n, self.known, self.grown = words, n, _Known(words, n), _Grown(words, n)
+        self.table = table or PieceTable(words.trie, words.penalty)
         self.cut = re.compile(words.chunk).findall
         self.mark = tuple(words.bytes_at[b] for b in SPACE.encode())
 
@@ -284,8 +305,25 @@ class Encoder:
 
     def chunks(self, text: str) -> list[tuple]:
         """The text's chunks, segmented, as ``_Known`` has them."""
+        return self._segmented(self.cuts(text)) if text else []
+
+    def chunks_of(self, texts: list[str | None]) -> Iterator[tuple[str | None, list[tuple]]]:
+        """Every text with its ``chunks``; those of several texts are segmented together."""
+        at = 0
+        while at < len(texts):
+            cuts, size = [], 0
+            while at + len(cuts) < len(texts) and size < CHARACTERS:
+                text = texts[at + len(cuts)] or ""
+                cuts.append(list(self.cuts(text)) if text else [])
+                size += len(text)
+            self.known.learn({chunk for lists in cuts for cut in lists if cut for chunk in cut}, self.table)
+            for text, lists in zip(texts[at : at + len(cuts)], cuts):
+                yield text, self._segmented(lists)
+            at += len(cuts)
+
+    def _segmented(self, cuts: Iterable[list[str] | None]) -> list[tuple]:
         out: list[tuple] = []
-        for cut in self.cuts(text) if text else ():
+        for cut in cuts:
             if cut is None:
                 out.append((array("i", self.mark).tobytes(), self.words.penalty, math.inf, SPACE))
             else:
@@ -338,11 +376,11 @@ def _segmented(encoder: Encoder, column: pa.Array) -> pa.Array:
     words = encoder.words
     ids, scores, seconds, same = [], [], [], []
     starts, next_ids, next_scores = [], [], []
-    for content in column.to_pylist():
+    for content, chunks in encoder.chunks_of(column.to_pylist()):
         if content is None:
             ids.append(None), scores.append(None), seconds.append(None), same.append(None), starts.append(None)
             continue
-        (score, best, _), *following = encoder.ranked(encoder.chunks(content))
+        (score, best, _), *following = encoder.ranked(chunks)
         best = np.frombuffer(best, np.int32)
         following = [(x, np.frombuffer(other, np.int32), alike) for x, other, alike in following]
         starts.append(len(next_ids))
@@ -376,13 +414,16 @@ def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFr
     columns of these names are replaced, all others stay.
     """
     words = load(path)
+    table = PieceTable(words.trie, words.penalty)
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         gc.collect()
         gc.freeze()  # else every collection walks the vocabulary
+        gc.disable()  # nothing here refers back to itself
         try:
-            yield from _in_slices(Encoder(words, n), columns)
+            yield from _in_slices(Encoder(words, n, table), columns)
         finally:
+            gc.enable()
             gc.unfreeze()
 
     new = ("piece_ids", "piece_score", "next_score", "next_best", "decodes")

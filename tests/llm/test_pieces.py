@@ -125,3 +125,35 @@ def test_no_more_than_a_slice_of_a_batch_is_made_at_once(spark, words):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     rows = pieces.encode(docs, MODEL, n=2).orderBy("doc_id").collect()
     assert [r.piece_ids and pieces.decode(r.piece_ids, words) for r in rows] == texts
+
+
+def test_chunks_on_arrays_have_their_first_paths(words):
+    rng = random.Random(5)
+    scores = {a: -rng.randint(1, 9) / 7 for a in {"".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(25)} - {"b"}}
+    small = {piece: (k, score) for k, (piece, score) in enumerate(scores.items())}
+    tries = [(pieces._trie(small), -19.0, "abcd"), (words.trie, words.penalty, "▁thae inoné漢\ud800")]
+    for trie, penalty, letters in tries:
+        behind = pieces._trie({p[::-1]: x for p, x in small.items()}) if letters == "abcd" else words.behind
+        own = words._replace(trie=trie, behind=behind, penalty=penalty)
+        chunks = ["".join(rng.choices(letters, k=rng.randint(1, 20))) for _ in range(2_000)]
+        found = pieces.PieceTable(trie, penalty).first_paths(chunks)
+        assert sum(x is not None for x in found) > 100
+        for chunk, got in zip(chunks, found):
+            score, ids, following = pieces.first_path(chunk, own)
+            assert got is None or got == (score, pieces.array("i", ids).tobytes(), -pieces.math.inf if following is None else following)
+
+
+def test_texts_together_equal_texts_alone(words, monkeypatch):
+    """Only long chunks and characters without a piece are searched alone, whatever a task keeps."""
+    rng = random.Random(6)
+    texts = [None, "", *("".join(rng.choice("thae. ,in(oné\n▁") for _ in range(rng.randint(1, 60))) for _ in range(200)), "x" * 5_000]
+    alone = [None if t is None else pieces.Encoder(words, 3).n_best(t) for t in texts]
+    single, first = [], pieces.first_path
+    monkeypatch.setattr(pieces, "first_path", lambda chunk, own: single.append(chunk) or first(chunk, own))
+    for kept, characters in ((100_000, 1_000_000), (5, 100)):
+        monkeypatch.setattr(pieces, "CACHED", kept)
+        monkeypatch.setattr(pieces, "CHARACTERS", characters)
+        rows = pieces._segmented(pieces.Encoder(words, 3), pa.array(texts)).to_pylist()
+        found = [r["ids"] if r["ids"] is None else [(r["score"], r["ids"]), *((x["score"], x["ids"]) for x in r["others"])] for r in rows]
+        assert found == alone and all(r["same"] in (True, None) for r in rows)
+    assert all(len(chunk) > pieces.LONGEST_CACHED or chunk == "\n" for chunk in single)
