@@ -250,3 +250,36 @@ def test_a_search_leaves_only_what_its_result_reads(spark, monkeypatch, short_li
     left = tables_of(spark) - before
     assert sorted(t.name.rsplit("-", 1)[0] for t in left) == ["ranked", "ranked"]
     assert all(f.name.endswith(".zstd.parquet") for t in left for f in t.glob("part-*"))
+
+
+def test_what_a_round_has_looked_up_goes_when_it_is_packed(spark, monkeypatch):
+    """Page blocks hold counts, not impacts, and are never on disk next to all that was looked up."""
+    monkeypatch.setattr(S, "ROUND_ROWS", 50)
+    monkeypatch.setattr(S, "SPLIT_ROWS", 100)
+    pages, text = corpus(11, 300, 80, 30)
+    index = S.build_index(spark.createDataFrame(pages, "page_id long, url string, body string"))
+    queries = S.with_search_terms(spark.createDataFrame([(i, text(4)) for i in range(30)], "query_id long, query string"))
+    before, present, columns, write = tables_of(spark), [], [], S.durable
+
+    def watched(df, label, *more):
+        out = write(df, label, *more)
+        if label == "page-blocks":
+            columns.extend(c for c in out.columns if c.startswith("impact"))
+            present.append([t.name.rsplit("-", 1)[0] for t in tables_of(spark) - before])
+        return out
+
+    monkeypatch.setattr(S, "durable", watched)
+    assert S.top_pages(queries, index, S.bm25_impacts, 3).count() > 0
+    assert len(present) > 4 and not columns
+    assert [names.count("used") for names in present] == list(range(len(present), 0, -1))
+
+
+def test_tasks_weigh_as_columns_do(spark):
+    """Impacts made in tasks are those of the expression, to the last unit."""
+    rows = [(f"t{i}", i, 1 + i % 9, 1 + (i * 7919) % 997, 1 + (i * 104729) % 5000) for i in range(4000)]
+    counted = spark.createDataFrame(rows, "token string, page_id long, tf long, n_words long, df long")
+    index = S.PageIndex(counted.select("page_id", F.lit("u").alias("url"), "n_words"), counted, counted.select("token", "df").distinct())
+    for weigh in (S.bm25_impacts, S.match_impacts):
+        found = weigh(index, counted).withColumn("weight", S._idf(F.col("df"), F.lit(4000).cast("long"))).toPandas()
+        got = S._rankings(index, [weigh])[0].impacts(found.tf.to_numpy(), found.n_words.to_numpy(), found.weight.to_numpy())
+        assert (got == found.impact.to_numpy()).all()
