@@ -27,7 +27,7 @@ LONGEST_CACHED = 48
 #: Texts whose segmentations are in memory at once; an Arrow batch may hold many more.
 AT_ONCE = 512
 #: Characters of texts whose chunks are segmented together (one text at least), and chunks on arrays at once.
-CHARACTERS = 1_000_000
+CHARACTERS = 500_000
 CHUNKS = 10_000
 #: What an uncovered character costs more than the worst piece.
 UNCOVERED = 10.0
@@ -398,9 +398,11 @@ def _segmented(encoder: Encoder, column: pa.Array) -> pa.Array:
 
 
 def _in_slices(encoder: Encoder, columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Texts' segmentations, ``AT_ONCE`` texts at a time."""
+    """Texts' segmentations, ``AT_ONCE`` texts at a time. What Arrow frees goes back at once, as an executor has several such processes."""
+    pool = pa.default_memory_pool()
     for column in columns:
         for at in range(0, max(1, len(column)), AT_ONCE):
+            pool.release_unused()
             yield _segmented(encoder, column.slice(at, AT_ONCE))
 
 
@@ -425,6 +427,7 @@ def encode(docs: DataFrame, path: str, n: int = 1, text: str = "text") -> DataFr
         finally:
             gc.enable()
             gc.unfreeze()
+            pa.default_memory_pool().release_unused()
 
     new = ("piece_ids", "piece_score", "next_score", "next_best", "decodes")
     columns, made = [F.col(f"`{c}`") for c in docs.columns if c not in new], free_name(docs, "_found")

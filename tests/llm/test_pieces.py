@@ -157,3 +157,13 @@ def test_texts_together_equal_texts_alone(words, monkeypatch):
         found = [r["ids"] if r["ids"] is None else [(r["score"], r["ids"]), *((x["score"], x["ids"]) for x in r["others"])] for r in rows]
         assert found == alone and all(r["same"] in (True, None) for r in rows)
     assert all(len(chunk) > pieces.LONGEST_CACHED or chunk == "\n" for chunk in single)
+
+
+def test_what_arrow_frees_goes_back_with_every_slice(words, monkeypatch):
+    released = []
+    pool = type("Pool", (), {"release_unused": lambda self: released.append(1)})()
+    encoder = pieces.Encoder(words, 2)
+    monkeypatch.setattr(pieces.pa, "default_memory_pool", lambda: pool)
+    monkeypatch.setattr(pieces, "AT_ONCE", 4)
+    out = list(pieces._in_slices(encoder, iter([pa.array(["a b"] * 9)])))
+    assert [len(x) for x in out] == [4, 4, 1] and len(released) == 3
