@@ -302,7 +302,8 @@ def collocations(
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     parts = cuts.withColumns({"head": _part("phrase", F.lit(1), F.col("k")), "tail": _part("phrase", F.col("k") + 1, F.col("size"))})
     for name, count in (("head", "l"), ("tail", "r")):
-        known = phrases.select("lang", F.col("phrase").alias(name), F.col("f").alias(count))
+        # Merged, never broadcast: Spark would judge a side by its compressed file, without the copies and cuts made of each row.
+        known = phrases.select("lang", F.col("phrase").alias(name), F.col("f").alias(count)).hint("merge")
         parts = salted_join(parts, known, ["lang", name], ["phrase", "k"], "inner")
     score = F.expr("(2000000BD * cast(a as decimal(20,0))) div (cast(l as decimal(20,0)) + r)")
     best = F.min_by(F.struct("l", "r", "score"), F.struct("score", "k")).alias("best")

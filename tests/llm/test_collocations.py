@@ -94,3 +94,17 @@ def test_scores_pass_64_bits(spark):
                                     "lang string, w1 string, w2 string, w3 string, w4 string, count long")
     counts = {(r.size, r.phrase): r.f for r in C.phrase_counts(windows, 30).collect()}
     assert counts == {(0, ""): 2 * b - a, (1, "x"): b, (1, "y"): b - a, (2, "x y"): a}
+
+
+def test_parts_of_phrases_are_not_broadcast(spark, monkeypatch):
+    """A table of frequent phrases has small files; its rows, copied for the salted joins, fill the driver."""
+    plans, write = {}, C.durable
+
+    def watched(df, label, *more):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, label, *more)
+
+    monkeypatch.setattr(C, "durable", watched)
+    C.collocations(spark.createDataFrame(corpus(), "lang string, text string"))
+    assert plans["collocation-scores"].count("SortMergeJoin") == 2
+    assert "Broadcast" not in plans["collocation-scores"]
