@@ -3,6 +3,7 @@ import random
 import re
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,3 +284,28 @@ def test_tasks_weigh_as_columns_do(spark):
         found = weigh(index, counted).withColumn("weight", S._idf(F.col("df"), F.lit(4000).cast("long"))).toPandas()
         got = S._rankings(index, [weigh])[0].impacts(found.tf.to_numpy(), found.n_words.to_numpy(), found.weight.to_numpy())
         assert (got == found.impact.to_numpy()).all()
+
+
+def test_page_blocks_are_sorted_when_they_are_packed(spark, monkeypatch):
+    """A block meets every block of queries, so it holds each word once and its numbers are bytes that Spark hands on whole."""
+    pages, text = corpus(12, 300, 80, 30)
+    index = S.build_index(spark.createDataFrame(pages, "page_id long, url string, body string"))
+    queries = S.with_search_terms(spark.createDataFrame([(i, text(4)) for i in range(30)], "query_id long, query string"))
+    blocks, write = [], S.durable
+    monkeypatch.setattr(S, "durable", lambda df, label, *more: (blocks if label == "page-blocks" else []).append(t := write(df, label, *more)) or t)
+    assert S.top_pages(queries, index, S.bm25_impacts, 3).count() > 0
+    assert {c for c, kind in blocks[0].dtypes if kind != "binary"} == {"lead", "page_scopes"}
+    for block in (row for table in blocks for row in table.collect()):
+        ids, words, lengths, rows, counts = (np.frombuffer(block[c], np.int64) for c in ("page_ids", "page_words", "word_lengths", "word_rows", "tf"))
+        assert (np.diff(ids) > 0).all() and (np.diff(words) > 0).all()
+        assert lengths.sum() == len(rows) == len(counts) and (counts > 0).all()
+
+
+def test_repeated_pages_of_other_lengths(spark):
+    """Words of a page are weighed by the row that they come from."""
+    pages = [(i % 7, f"http://h/{i}", "x " * (1 + i % 3) + "y " * (i % 5) + "z" * (i % 2)) for i in range(40)]
+    index = S.build_index(spark.createDataFrame(pages, "page_id long, url string, body string"))
+    queries = S.with_search_terms(spark.createDataFrame([(1, "x"), (2, "x y"), (3, "z y")], "query_id long, query string"))
+    in_columns = lambda index, postings: S.bm25_impacts(index, postings)
+    found = [sorted(map(tuple, S.top_pages(queries, index, weigh, 5).collect())) for weigh in (S.bm25_impacts, in_columns)]
+    assert found[0] == found[1] and len(found[0]) == 15
