@@ -29,14 +29,14 @@ def _text(literal: Column) -> Column:
 
 
 def _dealt(documents: DataFrame) -> DataFrame:
-    """Documents dealt over as many tasks as their size asks for.
+    """Documents dealt over as many tasks as their size asks for, two at least.
 
     Tokens are many times as large as their document, so the number of tasks that fits the
     documents does not fit the tokens.
     """
     kept = durable(documents.select("doc", "content"), "documents")
     size = kept.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    return kept.repartition(max(1, -(-size // PART_BYTES)), "doc")
+    return kept.repartition(max(2, -(-size // PART_BYTES)), "doc")
 
 
 def _tokens(documents: DataFrame) -> DataFrame:
